@@ -66,6 +66,13 @@ def widen(df: DataFrame) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.col(WIDE_STRUCT))))
 
 
+def project_dictionary(df: DataFrame, keep: list[str], payload, names) -> DataFrame:
+    """Wide projection of a JSON-object text column by a dictionary (P10): the
+    ``keep`` columns, then one string column per dictionary name."""
+    schema = dictionary_schema(names)
+    return df.select(*keep, F.inline(F.array(F.from_json(payload, schema))))
+
+
 def shred_all(docs: DataFrame, specs: tuple[TableSpec, ...] | list[TableSpec],
               dictionaries: Mapping[str, object] | None = None,
               widen_wide: bool = True) -> dict[str, DataFrame]:

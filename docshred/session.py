@@ -22,6 +22,7 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
 
