@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from docshred.session import shared_dir
 from docshred.sources.dictionary import write_dictionary
+from docshred.sources.documents import read_documents
 
 CORPUS_VERSION = "v1"
 
@@ -251,12 +252,12 @@ def corpus(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write (once) the documents and the two dictionaries for ``sf_dir``.
 
     Returns paths: ``documents`` and ``conversations`` (JSON lines), ``oasis``
-    and ``mds`` (dictionary CSV).
+    and ``mds`` (dictionary CSV), and where ``staged`` Parquet goes.
     Reused while the ``_SUCCESS`` markers exist."""
     key = hashlib.sha1(f"{CORPUS_VERSION}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
     root = f"{shared_dir(spark)}/docshred-corpus/{key}"
     paths = {"documents": f"{root}/documents", "conversations": f"{root}/conversations",
-             "oasis": f"{root}/dict_oasis", "mds": f"{root}/dict_mds"}
+             "oasis": f"{root}/dict_oasis", "mds": f"{root}/dict_mds", "staged": f"{root}/staged"}
     if not _fs_exists(spark, f"{paths['documents']}/_SUCCESS"):
         build_documents(spark, sf_dir).write.mode("overwrite").text(paths["documents"])
     if not _fs_exists(spark, f"{paths['conversations']}/_SUCCESS"):
@@ -265,3 +266,16 @@ def corpus(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         if not _fs_exists(spark, f"{paths[kind]}/_SUCCESS"):
             write_dictionary(spark, dictionary_items(kind), paths[kind])
     return paths
+
+
+def staged(spark: SparkSession, sf_dir: str) -> str:
+    """Parquet copy of the parsed documents (one JSON parse, then nested column
+    pruning per table); written once next to the corpus.  Returns its path."""
+    paths = corpus(spark, sf_dir)
+    if not _fs_exists(spark, f"{paths['staged']}/_SUCCESS"):
+        stage(spark, paths["documents"], paths["staged"])
+    return paths["staged"]
+
+
+def stage(spark: SparkSession, json_path: str, out: str) -> None:
+    read_documents(spark, json_path).write.mode("overwrite").parquet(out)

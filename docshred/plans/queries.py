@@ -49,9 +49,15 @@ def _table(name: str) -> Query:
     return q
 
 
+def _staged_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed documents from the Parquet stage: queries over many tables parse
+    the JSON once, then each table reads only its nested columns."""
+    return spark.read.parquet(nest.staged(spark, sf_dir))
+
+
 def _all_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame], list[TableSpec]]:
     specs = list(clinical_specs())
-    docs = _docs(spark, sf_dir)
+    docs = _staged_docs(spark, sf_dir)
     dicts = _dicts(spark, sf_dir)
     return docs, {s.name: shred(docs, s, dicts, widen=False) for s in specs}, specs
 
@@ -66,7 +72,7 @@ def q_scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_union_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three identifier tables as one bag, columns matched by name."""
-    docs = _docs(spark, sf_dir, ["demographics", "dischargeInfo", "facility"])
+    docs = _staged_docs(spark, sf_dir)
     parts = [shred(docs, spec_by_name(n)).withColumn("source_table", F.lit(n))
              for n in ("demographicIdentifiers", "dischargeDestinationIdentifiers", "facilityIdentifiers")]
     return union_tables(*parts)
@@ -105,7 +111,7 @@ def q_conversation_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_expected_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expected_counts(_docs(spark, sf_dir), list(clinical_specs()))
+    return expected_counts(_staged_docs(spark, sf_dir), list(clinical_specs()))
 
 
 def q_dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
