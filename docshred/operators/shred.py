@@ -29,6 +29,10 @@ def _rows(docs: DataFrame, spec: TableSpec) -> DataFrame:
         df = df.select("*", F.explode(spec.rows()).alias("e"))
         if spec.element_where is not None:
             df = df.where(spec.element_where())
+    if spec.prepare:
+        # a separate projection: each helper is evaluated once per row and
+        # stays un-inlined because several output columns reference it
+        df = df.select("*", *[fn().alias(name) for name, fn in spec.prepare])
     return df
 
 

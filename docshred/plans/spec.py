@@ -32,6 +32,9 @@ class TableSpec:
     where: ColumnFn | None = None                 # document-level filter, before explode
     element_where: ColumnFn | None = None         # element-level filter, after explode
     wide: WideSpec | None = None
+    # helper columns computed once per row before ``columns`` (e.g. one parse
+    # of a JSON text that several output columns read)
+    prepare: tuple[tuple[str, ColumnFn], ...] = ()
     # data quality
     expected: ColumnFn | None = None              # per-document source count (typed columns)
     expected_raw: ColumnFn | None = None          # same, from the raw line of a partially failed record
