@@ -28,7 +28,7 @@ from docshred.session import shared_dir
 from docshred.sources.dictionary import write_dictionary
 from docshred.sources.documents import read_documents
 
-CORPUS_VERSION = "v1"
+CORPUS_VERSION = "v2"
 
 # ---- scalar fields of one document, as SQL over the joined row -----------------------
 # {ts:x} → 'yyyy-MM-dd HH:mm:ss.SSS' text, {day:x} → 'yyyy-MM-dd' text, per dialect.
@@ -133,44 +133,67 @@ def joined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("*", *[F.expr(render(sql, "spark")).alias(name) for name, sql in BASE_FIELDS.items()])
 
 
-def _obj(**fields: str) -> str:
-    """VARIANT object from name → SQL; a None value leaves the key out, an
-    SQL NULL value writes an explicit JSON null."""
-    parts = ", ".join(f"'{k}', {v}" for k, v in fields.items() if v is not None)
-    return f"to_variant_object(named_struct({parts}))"
+# An explicit JSON null is written as this one-character string and replaced
+# by ``null`` in the finished text; an SQL NULL field is left out (missing key).
+NULL = "chr(1)"
+ALT_KEYS = ("id", "authority", "facility", "type", "ty pe")
+_NULL_TEXT = '"\\\\u0001"'     # how to_json writes the sentinel, escaped for an SQL literal
 
 
-NULL = "CAST(NULL AS STRING)"
+def _st(**fields: str) -> str:
+    """``named_struct`` from name → SQL; a None value leaves the field out."""
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items() if v is not None) + ")"
+
+
+def _js(**fields: str) -> str:
+    """JSON text of one object."""
+    return f"to_json({_st(**fields)})"
 
 
 def _arr(*elements: tuple[str, str]) -> str:
-    """Array of VARIANT elements, each kept when its condition holds."""
+    """Array of structs of one type, each kept when its condition holds."""
     items = ", ".join(f"CASE WHEN {cond} THEN {el} END" for cond, el in elements)
     return f"filter(array({items}), x -> x IS NOT NULL)"
 
 
+def _jarr(*elements: tuple[str, str]) -> str:
+    """JSON text of an array whose elements have different shapes."""
+    items = ", ".join(f"CASE WHEN {cond} THEN {el} END" for cond, el in elements)
+    return f"concat('[', concat_ws(',', {items}), ']')"
+
+
 def document_json() -> str:
-    """SQL for the JSON text of one document over ``joined_rows``."""
+    """SQL for the JSON text of one document over ``joined_rows``.
+
+    The fixed-shape part is one ``to_json`` of a struct; the three sections
+    whose shape varies between documents (dischargeInfo, payors, facility) are
+    JSON texts of their own, spliced in before the closing brace."""
+    none = "CAST(NULL AS STRING)"
+
+    def alt(**f):
+        # one struct type for every identifier; an SQL NULL field is a missing key
+        return _st(**{k: f.get(k, none) for k in ALT_KEYS})
+
     dest_alts = _arr(
-        ("l_returnflag <> 'N'", _obj(id="alt_s_id", authority="'npi'", facility="s_name", type="'supplier'")),
-        ("l_returnflag <> 'N' AND l_linestatus = 'O'", _obj(id="alt_p_id", authority="p_brand", type="p_type")),
+        ("l_returnflag <> 'N'", alt(id="alt_s_id", authority="'npi'", facility="s_name", type="'supplier'")),
+        ("l_returnflag <> 'N' AND l_linestatus = 'O'", alt(id="alt_p_id", authority="p_brand", type="p_type")),
     )
-    dest_obj = _obj(id="dest_id", name="dest_name", careSetting="dest_care", alternateIdentifiers=dest_alts)
+    dest_obj = _st(id="dest_id", name="dest_name", careSetting="dest_care", alternateIdentifiers=dest_alts)
     discharge = f"""CASE c_mktsegment
         WHEN 'AUTOMOBILE' THEN NULL
-        WHEN 'BUILDING' THEN {_obj(disposition='disposition', destination=dest_obj)}
-        WHEN 'FURNITURE' THEN {_obj(disposition='disposition', destination='CAST(dest_name AS VARIANT)')}
-        WHEN 'HOUSEHOLD' THEN {_obj(disposition='disposition', inception='admit',
-                                    destinationDescription=dest_obj,
-                                    destination="CAST('ignored-' || dest_name AS VARIANT)")}
-        ELSE {_obj(disposition=NULL, destinationDescription=NULL, destination=dest_obj)} END"""
+        WHEN 'BUILDING' THEN {_js(disposition='disposition', destination=dest_obj)}
+        WHEN 'FURNITURE' THEN {_js(disposition='disposition', destination='dest_name')}
+        WHEN 'HOUSEHOLD' THEN {_js(disposition='disposition', inception='admit', destinationDescription=dest_obj,
+                                   destination="'ignored-' || dest_name")}
+        ELSE {_js(disposition=NULL, destinationDescription=NULL, destination=dest_obj)} END"""
     name = f"""CASE c_mktsegment
         WHEN 'AUTOMOBILE' THEN NULL
-        WHEN 'HOUSEHOLD' THEN parse_json('{{}}')
-        ELSE {_obj(first='first_name', last='last_name', middle='middle', title=NULL, suffix=NULL)} END"""
+        WHEN 'HOUSEHOLD' THEN {_st(first=NULL, last=NULL, middle=NULL, title=NULL, suffix=NULL)}
+        ELSE {_st(first='first_name', last='last_name', middle='middle', title=NULL, suffix=NULL)} END"""
+    ident = "named_struct('id', {}, 'authority', {}, 'type', {}, 'facility', {})"
     identifiers = f"""CASE WHEN n_ids = 0 AND l_returnflag = 'N' THEN NULL ELSE {_arr(
-        ("n_ids >= 1", _obj(id="id1", authority="'cms'", type="'mc'")),
-        ("n_ids >= 2", _obj(id="id2", authority="r_name", type="'mrn'", facility="n_name")))} END"""
+        ("n_ids >= 1", ident.format("id1", "'cms'", "'mc'", "CAST(NULL AS STRING)")),
+        ("n_ids >= 2", ident.format("id2", "r_name", "'mrn'", "n_name")))} END"""
     flag_status = "l_returnflag || l_linestatus"
     phones = f"""CASE {flag_status}
         WHEN 'AF' THEN array(phone1, phone2) WHEN 'AO' THEN array(phone1, phone2)
@@ -178,48 +201,49 @@ def document_json() -> str:
     emergency = f"""CASE {flag_status}
         WHEN 'AO' THEN array(emerg1) WHEN 'NF' THEN array(emerg1)
         WHEN 'RF' THEN CAST(array() AS ARRAY<STRING>) WHEN 'RO' THEN array(emerg1, emerg2) END"""
-    demographics = f"""named_struct('id', dem_id, 'name', {name}, 'dob', dob, 'sex', sex,
-        'identifiers', {identifiers}, 'expirationIndicator', expired, 'patientClass', pclass,
-        'phoneNumbers', {phones}, 'emergencyContacts', {emergency})"""
+    demographics = _st(id="dem_id", name=name, dob="dob", sex="sex", identifiers=identifiers,
+                       expirationIndicator="expired", patientClass="pclass",
+                       phoneNumbers=phones, emergencyContacts=emergency)
+    dx = "named_struct('method', {}, 'code', {}, 'description', {}, 'priority', {}, 'type', {})"
     diagnoses = f"""CASE WHEN o_orderstatus = 'P' THEN NULL ELSE {_arr(
-        ("true", _obj(method="'icd10'", code="dx1_code", description="p_name", priority="'primary'",
-                      type="'admitting'")),
-        ("l_returnflag <> 'N'", _obj(method="'icd9'", code="dx2_code", priority="'secondary'", type="'working'")),
-        ("l_linestatus = 'F'", _obj(method="'snomed'", code="dx3_code", description="s_name",
-                                    type="o_orderpriority")))} END"""
-    payors = _arr(
-        ("true", _obj(companyName="c_mktsegment", policyNumber="policy1", effectiveDate="admit",
-                      expiresDate=NULL, priority="'primary'")),
-        ("l_linestatus = 'O'", _obj(policy=_obj(payor=_obj(name=_obj(name="n_name")), policyNumber="policy2"),
-                                    effectiveDate="disch", priority="'secondary'")),
-        ("l_returnflag = 'R'", _obj(policy="CAST(NULL AS VARIANT)", companyName="x_company")),
-    )
-    fac_alts = f"""CASE WHEN l_returnflag = 'A' THEN array({_obj(**{'id': 'alt_s_id', 'authority': "'npi'",
-                                                                     'facility': NULL, 'ty pe': "'npi'"})})
-        WHEN l_linestatus = 'O' THEN array({_obj(id='alt_s_id', authority="'npi'", type="'npi'")},
-                                           {_obj(id='alt_c_id', authority="'tin'", facility='s_name', type="'tin'")})
-        ELSE CAST(array() AS ARRAY<VARIANT>) END"""
-    facility = f"""CASE n_regionkey WHEN 0 THEN NULL WHEN 1 THEN parse_json('null')
-        ELSE {_obj(id='fac_id', name='n_name', careSetting='r_name', alternateIdentifiers=fac_alts)} END"""
-    documents = _arr(
-        ("true", _obj(filename="file1", displayFilename="display1", filetype="'pdf'", dataType="'nursingNotes'")),
-        ("l_returnflag = 'R'", _obj(filename="file2", filetype="'xml'", dataType="'labResults'")),
+        ("true", dx.format("'icd10'", "dx1_code", "p_name", "'primary'", "'admitting'")),
+        ("l_returnflag <> 'N'", dx.format("'icd9'", "dx2_code", none, "'secondary'", "'working'")),
+        ("l_linestatus = 'F'", dx.format("'snomed'", "dx3_code", "s_name", none, "o_orderpriority")))} END"""
+    payors = _jarr(
+        ("true", _js(companyName="c_mktsegment", policyNumber="policy1", effectiveDate="admit",
+                     expiresDate=NULL, priority="'primary'")),
+        ("l_linestatus = 'O'", _js(policy=_st(payor=_st(name=_st(name="n_name")), policyNumber="policy2"),
+                                   effectiveDate="disch", priority="'secondary'")),
+        ("l_returnflag = 'R'", _js(policy=NULL, companyName="x_company")),
     )
-    payload = _obj(L_ORDERKEY="k_orderkey", L_PARTKEY="k_partkey", L_SUPPKEY="k_suppkey",
-                   L_LINENUMBER="l_linenumber", L_QUANTITY="k_quantity", L_RETURNFLAG="l_returnflag",
-                   L_LINESTATUS="CASE WHEN l_linestatus = 'O' THEN NULL ELSE l_linestatus END",
-                   L_SHIPDATE="k_shipday", EXTRA_NOTE="'outside the dictionary'")
+    fac_alts = f"""CASE WHEN l_returnflag = 'A' THEN array({alt(id='alt_s_id', authority="'npi'", facility=NULL,
+                                                                 **{'ty pe': "'npi'"})})
+        WHEN l_linestatus = 'O' THEN array({alt(id='alt_s_id', authority="'npi'", facility=none, type="'npi'")},
+                                           {alt(id='alt_c_id', authority="'tin'", facility='s_name', type="'tin'")})
+        ELSE CAST(array() AS ARRAY<STRUCT<{", ".join(f"`{k}`: STRING" for k in ALT_KEYS)}>>) END"""
+    facility = f"""CASE n_regionkey WHEN 0 THEN NULL WHEN 1 THEN 'null'
+        ELSE {_js(id='fac_id', name='n_name', careSetting='r_name', alternateIdentifiers=fac_alts)} END"""
+    documents = f"""array({_st(filename="file1", displayFilename="display1", filetype="'pdf'",
+                               dataType="'nursingNotes'")},
+        CASE WHEN l_returnflag = 'R' THEN {_st(filename="file2", displayFilename=none, filetype="'xml'",
+                                               dataType="'labResults'")} END)"""
+    documents = f"filter({documents}, x -> x IS NOT NULL)"
+    payload = _st(L_ORDERKEY="k_orderkey", L_PARTKEY="k_partkey", L_SUPPKEY="k_suppkey",
+                  L_LINENUMBER="l_linenumber", L_QUANTITY="k_quantity", L_RETURNFLAG="l_returnflag",
+                  L_LINESTATUS=f"CASE WHEN l_linestatus = 'O' THEN {NULL} ELSE l_linestatus END",
+                  L_SHIPDATE="k_shipday", EXTRA_NOTE="'outside the dictionary'")
+    asmt = "named_struct('id', {}, 'type', {}, 'occurredAt', {}, 'assessmentData', {})"
     assessments = _arr(
-        ("true", _obj(id="asmt1_id", type="asmt1_type", occurredAt="disch", assessmentData=payload)),
-        ("l_linestatus = 'F'", _obj(id="asmt2_id", type="'mds'", occurredAt="admit", assessmentData=payload)),
+        ("true", asmt.format("asmt1_id", "asmt1_type", "disch", payload)),
+        ("l_linestatus = 'F'", asmt.format("asmt2_id", "'mds'", "admit", payload)),
     )
-    # a SQL NULL top-level field is left out of the text (missing key);
-    # facility 'null' is a VARIANT null, written as an explicit JSON null
-    return f"""to_json(named_struct(
-        'version', ver, 'id', pid, 'admitDate', admit, 'dischargeDate', disch,
-        'demographics', {demographics}, 'dischargeInfo', {discharge}, 'diagnoses', {diagnoses},
-        'payors', {payors}, 'facility', {facility}, 'documents', {documents},
-        'assessments', {assessments}))"""
+    main = _js(version="ver", id="pid", admitDate="admit", dischargeDate="disch", demographics=demographics,
+               diagnoses=diagnoses, documents=documents, assessments=assessments)
+    spliced = f"""concat(substr({main}, 1, length({main}) - 1),
+        coalesce(concat(',"dischargeInfo":', {discharge}), ''),
+        ',"payors":', {payors},
+        coalesce(concat(',"facility":', {facility}), ''), '}}')"""
+    return f"replace({spliced}, '{_NULL_TEXT}', 'null')"
 
 
 def build_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,10 +259,11 @@ def conversation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     assessment whose type is the speaker role and whose payload holds the
     whole text."""
     c = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    payload = _obj(TURN="turn", ROLE="role", TEXT="text")
-    asmt = _obj(id="CAST(conv_id AS STRING) || '-' || CAST(turn AS STRING)", type="role",
-                occurredAt="CAST(turn AS STRING)", assessmentData=payload)
-    doc = f"to_json(named_struct('version', '2.7', 'id', CAST(conv_id AS STRING), 'assessments', array({asmt})))"
+    payload = _st(TURN="turn", ROLE="role", TEXT=f"coalesce(text, {NULL})")
+    asmt = _st(id="CAST(conv_id AS STRING) || '-' || CAST(turn AS STRING)", type="role",
+               occurredAt="CAST(turn AS STRING)", assessmentData=payload)
+    doc = (f"replace(to_json(named_struct('version', '2.7', 'id', CAST(conv_id AS STRING), "
+           f"'assessments', array({asmt}))), '{_NULL_TEXT}', 'null')")
     return c.select(F.expr(doc).alias("value"))
 
 
