@@ -44,6 +44,19 @@ def wide_schema(spec: TableSpec, dictionaries: Mapping[str, object]) -> StructTy
     return schema
 
 
+def keys_only(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, object] | None = None) -> DataFrame:
+    """The table's rows with its fixed columns only (no dictionary items) —
+    what row counts and key null counts need.  For a wide spec the exploded
+    array is rebuilt without payloads, so Parquet never reads them."""
+    if spec.wide is None or spec.wide.keys_only_rows is None:
+        return shred(docs, spec, dictionaries, widen=False)
+    df = docs.where(spec.where()) if spec.where is not None else docs
+    df = df.select("*", F.explode(spec.wide.keys_only_rows()).alias("e"))
+    if spec.element_where is not None:
+        df = df.where(spec.element_where())
+    return df.select(*[fn().alias(name) for name, fn in spec.columns])
+
+
 def shred(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, object] | None = None,
           widen: bool = True) -> DataFrame:
     """Build one table.  For a wide spec the dictionary items follow the fixed

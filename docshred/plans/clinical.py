@@ -103,7 +103,9 @@ def _contacts():
 
 
 def _assessment_count(kind: str):
-    return lambda: F.coalesce(F.size(F.filter(col("assessments"), lambda a: a["type"] == kind)), F.lit(0))
+    # ``assessments.type`` (not a lambda over the element) lets the scan read
+    # only that field of the staged documents
+    return lambda: F.coalesce(F.size(F.filter(col("assessments.type"), lambda t: t == kind)), F.lit(0))
 
 
 def _raw_assessment_count(kind: str):
@@ -114,6 +116,15 @@ def _raw_assessment_count(kind: str):
     return fn
 
 
+def _assessment_keys():
+    """The assessments with every field but the payload: same elements, same
+    order, built from field arrays so the scan can skip the payload column."""
+    a = "assessments"
+    return F.arrays_zip(col(f"{a}.id"), col(f"{a}.type"), col(f"{a}.occurredAt"),
+                        F.array_repeat(F.lit(None).cast("string"), F.size(col(f"{a}.id")))
+                        ).cast("array<struct<id:string,type:string,occurredAt:string,assessmentData:string>>")
+
+
 def _raw_contacts():
     return F.greatest(raw_array_len(col(CORRUPT), "$.demographics.phoneNumbers"),
                       raw_array_len(col(CORRUPT), "$.demographics.emergencyContacts"))
@@ -229,14 +240,14 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             "oasis", ("assessments",), _wide_columns("oasis"),
             rows=lambda: col("assessments"),
             element_where=lambda: col("e.type") == OASIS_TYPE,
-            wide=WideSpec(payload=_e("assessmentData"), dictionary="oasis"),
+            wide=WideSpec(payload=_e("assessmentData"), dictionary="oasis", keys_only_rows=_assessment_keys),
             expected=_assessment_count(OASIS_TYPE), expected_raw=_raw_assessment_count(OASIS_TYPE),
             gates=("patient_id", "PAA_version", "oasis_id")),
         TableSpec(
             "mds", ("assessments",), _wide_columns("mds"),
             rows=lambda: col("assessments"),
             element_where=lambda: col("e.type") == MDS_TYPE,
-            wide=WideSpec(payload=_e("assessmentData"), dictionary="mds"),
+            wide=WideSpec(payload=_e("assessmentData"), dictionary="mds", keys_only_rows=_assessment_keys),
             expected=_assessment_count(MDS_TYPE), expected_raw=_raw_assessment_count(MDS_TYPE),
             gates=("patient_id", "PAA_version", "mds_id")),
     )

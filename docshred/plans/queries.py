@@ -14,10 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docshred.operators.combine import drop_complete_duplicates, union_tables
+from docshred.operators.combine import dedup_counts, drop_complete_duplicates, union_tables
 from docshred.operators.quality import (actual_metrics, expected_counts, quality_report,
                                         row_count_checks)
-from docshred.operators.shred import project_dictionary, shred
+from docshred.operators.shred import keys_only, project_dictionary, shred
 from docshred.plans import nest
 from docshred.plans.clinical import clinical_specs, spec_by_name
 from docshred.plans.pipeline import resolve_dictionaries
@@ -110,34 +110,36 @@ def q_conversation_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred(docs, conversation_spec(), {"turns": list(nest.TURN_ITEMS)})
 
 
+def _metric_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame], list[TableSpec]]:
+    """Tables as the checks need them: fixed columns only, payloads unread."""
+    specs = list(clinical_specs())
+    docs = _staged_docs(spark, sf_dir)
+    return docs, {s.name: keys_only(docs, s) for s in specs}, specs
+
+
 def q_dq_expected_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expected_counts(_staged_docs(spark, sf_dir), list(clinical_specs()))
 
 
 def q_dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, tables, specs = _all_tables(spark, sf_dir)
+    docs, tables, specs = _metric_tables(spark, sf_dir)
     return row_count_checks(docs, tables, specs)
 
 
 def q_dq_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, tables, specs = _all_tables(spark, sf_dir)
+    _, tables, specs = _metric_tables(spark, sf_dir)
     return actual_metrics(tables, specs).select("table", "column", "null_count", "gates")
 
 
 def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, tables, specs = _all_tables(spark, sf_dir)
+    docs, tables, specs = _metric_tables(spark, sf_dir)
     return quality_report(docs, tables, specs)
 
 
 def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, tables, specs = _all_tables(spark, sf_dir)
-    parts = []
-    for s in specs:
-        before = tables[s.name]
-        b = before.agg(F.count(F.lit(1)).cast("long").alias("rows_before_dedup"))
-        a = drop_complete_duplicates(before).agg(F.count(F.lit(1)).cast("long").alias("rows_after_dedup"))
-        parts.append(b.crossJoin(a).select(F.lit(s.name).alias("table"), "rows_before_dedup",
-                                           "rows_after_dedup"))
+    parts = [dedup_counts(tables[s.name]).select(F.lit(s.name).alias("table"), "rows_before_dedup",
+                                                 "rows_after_dedup") for s in specs]
     return reduce(lambda x, y: x.unionByName(y), parts)
 
 

@@ -21,6 +21,9 @@ class WideSpec:
     """Dictionary-driven projection of an open JSON object (P10)."""
     payload: ColumnFn           # raw JSON object text, per row after explode
     dictionary: str             # key into the dictionaries mapping given at build time
+    # the exploded array without payloads (same elements): row counts and key
+    # null counts need no payload, and this lets the scan skip reading it
+    keys_only_rows: ColumnFn | None = None
 
 
 @dataclass(frozen=True)

@@ -48,3 +48,18 @@ def test_wide_dedup_shuffles_text_not_struct(spark, write_lines):
     agg = [ln for ln in plan.splitlines() if "Aggregate" in ln][0]
     assert "_items_json" in agg and "_items#" not in agg     # grouped by the text, not the struct
     assert "StructsToJson" in plan or "to_json" in plan   # Spark 4 prints to_json as its evaluator
+
+
+def test_checks_do_not_read_wide_payloads(spark, write_lines, tmp_path):
+    import contextlib
+    import io
+
+    from docshred.operators.shred import keys_only
+    staged = stage_documents(read_documents(spark, write_lines([HAPPY])), str(tmp_path / "k"))
+    df = keys_only(staged, spec_by_name("mds")).groupBy().count()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    schema = [ln for ln in buf.getvalue().splitlines() if "ReadSchema" in ln]
+    assert schema and "assessmentData" not in " ".join(schema)
+    assert keys_only(staged, spec_by_name("oasis")).count() == 1
