@@ -28,7 +28,7 @@ from docshred.session import shared_dir
 from docshred.sources.dictionary import write_dictionary
 from docshred.sources.documents import read_documents
 
-CORPUS_VERSION = "v2"
+CORPUS_VERSION = "v3"
 
 # ---- scalar fields of one document, as SQL over the joined row -----------------------
 # {ts:x} → 'yyyy-MM-dd HH:mm:ss.SSS' text, {day:x} → 'yyyy-MM-dd' text, per dialect.
@@ -45,7 +45,7 @@ BASE_FIELDS: dict[str, str] = {
     "first_name": "c_name",
     "last_name": "c_mktsegment",
     "middle": "substr(n_name, 1, 1)",
-    "n_ids": "l_linenumber % 3",
+    "n_ids": "CASE o_orderpriority WHEN '1-URGENT' THEN 2 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 1 ELSE 0 END",
     "id1": "'MC' || CAST(l_orderkey AS STRING)",
     "id2": "'MRN' || CAST(c_custkey AS STRING)",
     "phone1": "'tel:' || CAST(c_custkey AS STRING) || '-1'",
