@@ -22,7 +22,7 @@ from docshred.plans import nest
 from docshred.plans.clinical import clinical_specs, spec_by_name
 from docshred.plans.pipeline import resolve_dictionaries
 from docshred.plans.spec import TableSpec, WideSpec
-from docshred.sources.documents import read_documents
+from docshred.sources.documents import read_documents, well_formed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,15 +44,16 @@ def _table(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = spec_by_name(name)
         dicts = _dicts(spark, sf_dir) if spec.wide else None
-        return shred(_docs(spark, sf_dir, list(spec.sections)), spec, dicts)
+        return shred(_staged_docs(spark, sf_dir), spec, dicts)
     q.__name__ = f"table_{name}"
     return q
 
 
 def _staged_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed documents from the Parquet stage: queries over many tables parse
-    the JSON once, then each table reads only its nested columns."""
-    return spark.read.parquet(nest.staged(spark, sf_dir))
+    """Well-formed parsed documents from the Parquet stage, as ``build`` uses
+    them: the JSON is parsed once, then each table reads only its nested
+    columns (``scan_documents`` and the staging itself exercise the JSON scan)."""
+    return well_formed(spark.read.parquet(nest.staged(spark, sf_dir)))
 
 
 def _all_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame], list[TableSpec]]:
@@ -79,13 +80,11 @@ def q_union_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_drop_complete_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = spec_by_name("diagnoses")
-    return drop_complete_duplicates(shred(_docs(spark, sf_dir, list(spec.sections)), spec))
+    return drop_complete_duplicates(shred(_staged_docs(spark, sf_dir), spec_by_name("diagnoses")))
 
 
 def q_mds_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = spec_by_name("mds")
-    narrow = shred(_docs(spark, sf_dir, list(spec.sections)), spec, _dicts(spark, sf_dir), widen=False)
+    narrow = shred(_staged_docs(spark, sf_dir), spec_by_name("mds"), _dicts(spark, sf_dir), widen=False)
     return drop_complete_duplicates(narrow)
 
 
