@@ -63,3 +63,15 @@ def test_checks_do_not_read_wide_payloads(spark, write_lines, tmp_path):
     schema = [ln for ln in buf.getvalue().splitlines() if "ReadSchema" in ln]
     assert schema and "assessmentData" not in " ".join(schema)
     assert keys_only(staged, spec_by_name("oasis")).count() == 1
+
+
+def test_dedup_collapses_hot_group_of_copies_map_side(spark, write_lines):
+    """A third (here: most) of all rows are copies of one document: the partial
+    aggregate before the shuffle turns them into one row per task."""
+    from docshred.operators.combine import drop_complete_duplicates
+    other = dict(HAPPY, id="other")
+    docs = read_documents(spark, write_lines([HAPPY] * 2000 + [other] * 10))
+    out = drop_complete_duplicates(shred(docs, spec_by_name("diagnoses")))
+    assert out.count() == 4
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") >= 2 and "Exchange" in plan
