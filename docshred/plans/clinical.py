@@ -150,7 +150,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
                  ("suffix", lambda: col("demographics.name.suffix")),
                  ("dob", lambda: col("demographics.dob")),
                  ("sex", lambda: col("demographics.sex")),
-                 ("expirationIndicator", lambda: col("demographics.expirationIndicator")),
+                 ("expirationIndicator", lambda: col("demographics.expirationIndicator").try_cast("boolean")),
                  ("patientClass", lambda: col("demographics.patientClass"))),
             expected=lambda: F.lit(1), expected_raw=lambda: F.lit(1),
             gates=("patient_id", "PAA_version", "admitDate", "firstName")),

@@ -28,7 +28,7 @@ from docshred.session import shared_dir
 from docshred.sources.dictionary import write_dictionary
 from docshred.sources.documents import read_documents
 
-CORPUS_VERSION = "v3"
+CORPUS_VERSION = "v4"
 
 # ---- scalar fields of one document, as SQL over the joined row -----------------------
 # {ts:x} → 'yyyy-MM-dd HH:mm:ss.SSS' text, {day:x} → 'yyyy-MM-dd' text, per dialect.

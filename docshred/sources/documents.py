@@ -11,8 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
@@ -24,10 +23,11 @@ def _strings(*names: str) -> list[StructField]:
 IDENTIFIER = StructType(_strings("id", "authority", "type", "facility"))
 ALT_IDENTIFIER = StructType(_strings("id", "authority", "facility", "type"))
 
+# expirationIndicator is the one boolean of the contract; it is read as text and
+# converted in the projection, so a stray "false" string or number cannot make
+# the typed parse fail and null the whole demographics section
 DEMOGRAPHICS = StructType(
-    _strings("id", "dob", "sex")
-    + [StructField("expirationIndicator", BooleanType())]
-    + _strings("patientClass")
+    _strings("id", "dob", "sex", "expirationIndicator", "patientClass")
     + [
         StructField("name", StructType(_strings("first", "last", "middle", "title", "suffix"))),
         StructField("identifiers", ArrayType(IDENTIFIER)),

@@ -187,3 +187,18 @@ def test_dictionary_clash_with_key_column(spark, write_lines):
 
 def test_specs_cover_the_twelve_tables():
     assert tuple(s.name for s in clinical_specs()) == TABLE_NAMES
+
+
+def test_boolean_as_text_does_not_sink_demographics(spark, write_lines):
+    recs = [{"id": "a", "version": "1", "demographics": {"expirationIndicator": "false", "identifiers": [{"id": "x"}]}},
+            {"id": "b", "version": "1", "demographics": {"expirationIndicator": True}},
+            {"id": "c", "version": "1", "demographics": {"expirationIndicator": "maybe"}}]
+    assert rows(_table(spark, write_lines, recs, "patientInfo"), "patient_id", "expirationIndicator") == [
+        ("a", False), ("b", True), ("c", None)]
+    assert _table(spark, write_lines, recs, "demographicIdentifiers").count() == 1
+
+
+def test_payload_keys_are_case_sensitive(spark, write_lines):
+    rec = {"id": "k", "version": "1", "assessments": [{"id": "o", "type": "oasis",
+                                                       "assessmentData": {"m0010": "lower", "M0020": "upper"}}]}
+    assert rows(_table(spark, write_lines, [rec], "oasis"), "M0010", "M0020") == [(None, "upper")]
