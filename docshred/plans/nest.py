@@ -20,6 +20,7 @@ The corpus is written once per input folder under the shared folder named by
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -267,10 +268,40 @@ def conversation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.expr(doc).alias("value"))
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _fs_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _write_once(spark: SparkSession, final: str, write) -> None:
+    """Write ``final`` unless a complete copy is there.  The data goes to a
+    private folder first and is published by one directory rename, so two
+    sessions building the same corpus never overwrite each other's files; the
+    one that loses the race keeps the winner's (identical) copy."""
+    if _fs_exists(spark, f"{final}/_SUCCESS"):
+        return
+    tmp = f"{final}.tmp-{uuid.uuid4().hex[:12]}"
+    write(tmp)
+    jvm = spark.sparkContext._jvm
+    _, src = _fs(spark, tmp)
+    _, dest = _fs(spark, final)
+    ctx = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        dest.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    no_overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    no_overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        ctx.rename(src, dest, no_overwrite)     # atomic; fails if ``final`` exists
+    except Exception:
+        if not _fs_exists(spark, f"{final}/_SUCCESS"):
+            raise                               # not a lost race: a real failure
+        fs, _ = _fs(spark, tmp)
+        fs.delete(src, True)                    # lost the race: drop our private copy
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -283,13 +314,10 @@ def corpus(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     root = f"{shared_dir(spark)}/docshred-corpus/{key}"
     paths = {"documents": f"{root}/documents", "conversations": f"{root}/conversations",
              "oasis": f"{root}/dict_oasis", "mds": f"{root}/dict_mds", "staged": f"{root}/staged"}
-    if not _fs_exists(spark, f"{paths['documents']}/_SUCCESS"):
-        build_documents(spark, sf_dir).write.mode("overwrite").text(paths["documents"])
-    if not _fs_exists(spark, f"{paths['conversations']}/_SUCCESS"):
-        conversation_documents(spark, sf_dir).write.mode("overwrite").text(paths["conversations"])
+    _write_once(spark, paths["documents"], lambda p: build_documents(spark, sf_dir).write.text(p))
+    _write_once(spark, paths["conversations"], lambda p: conversation_documents(spark, sf_dir).write.text(p))
     for kind in ("oasis", "mds"):
-        if not _fs_exists(spark, f"{paths[kind]}/_SUCCESS"):
-            write_dictionary(spark, dictionary_items(kind), paths[kind])
+        _write_once(spark, paths[kind], lambda p, k=kind: write_dictionary(spark, dictionary_items(k), p))
     return paths
 
 
@@ -297,8 +325,7 @@ def staged(spark: SparkSession, sf_dir: str) -> str:
     """Parquet copy of the parsed documents (one JSON parse, then nested column
     pruning per table); written once next to the corpus.  Returns its path."""
     paths = corpus(spark, sf_dir)
-    if not _fs_exists(spark, f"{paths['staged']}/_SUCCESS"):
-        stage(spark, paths["documents"], paths["staged"])
+    _write_once(spark, paths["staged"], lambda p: stage(spark, paths["documents"], p))
     return paths["staged"]
 
 
