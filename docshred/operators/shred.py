@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from docshred.plans.spec import TableSpec
 from docshred.sources.dictionary import dictionary_schema
 
 WIDE_STRUCT = "_items"
+ITEMS_META = "docshred.dictionary"      # column metadata: all dictionary names, in order
 
 
 def _rows(docs: DataFrame, spec: TableSpec) -> DataFrame:
@@ -57,30 +58,68 @@ def keys_only(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, objec
     return df.select(*[fn().alias(name) for name, fn in spec.columns])
 
 
+def present_items(rows: DataFrame, payload: Column, names: list[str]) -> list[str]:
+    """Dictionary names that occur as a key in at least one payload, in
+    dictionary order.  One aggregate: keys are filtered to the dictionary
+    before the distinct (partial aggregation map-side), so at most
+    ``len(names)`` rows — a size-checked dictionary — reach the driver."""
+    keys = rows.select(F.explode(F.json_object_keys(payload)).alias("k"))
+    found = {r[0] for r in keys.where(F.col("k").isin(names)).distinct().collect()}
+    return [n for n in names if n in found]
+
+
+def _strings(names: list[str]) -> StructType:
+    return StructType([StructField(n, StringType()) for n in names])
+
+
+def order_items(df: DataFrame, fixed: list[str], names: list[str], parsed: set[str]) -> DataFrame:
+    """Fixed columns, then every dictionary name in order; names that were not
+    parsed (no payload has them) are typed null literals."""
+    items = [F.col(f"`{n}`") if n in parsed else F.lit(None).cast("string").alias(n) for n in names]
+    return df.select(*[F.col(f"`{c}`") for c in fixed], *items)
+
+
 def shred(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, object] | None = None,
-          widen: bool = True) -> DataFrame:
+          widen: bool = True, discover_items: bool = True) -> DataFrame:
     """Build one table.  For a wide spec the dictionary items follow the fixed
     columns; with ``widen=False`` they stay packed in one struct column
-    ``_items`` (cheaper to deduplicate, see ``combine.drop_complete_duplicates``)."""
+    ``_items`` (cheaper to deduplicate, see ``combine.drop_complete_duplicates``).
+
+    With ``discover_items`` (default) a wide table first finds which dictionary
+    names occur in the payloads (one small aggregate job) and parses only
+    those; the parse cost then follows the items present instead of the
+    dictionary width, and the result is the same."""
     df = _rows(docs, spec)
     fixed = [fn().alias(name) for name, fn in spec.columns]
     if spec.wide is None:
         return df.select(*fixed)
-    schema = wide_schema(spec, dictionaries or {})
+    names = wide_schema(spec, dictionaries or {}).names
+    payload = spec.wide.payload()
+    parse = present_items(df, payload, names) if discover_items else names
+    parse = parse or names[:1]          # keep a non-empty struct when nothing occurs
     # from_json to a struct keeps the last of duplicate keys and drops keys
-    # outside the dictionary; inline(array(...)) keeps it one parse per row.
-    parsed = F.from_json(spec.wide.payload(), schema)
+    # outside the struct; inline(array(...)) keeps it one parse per row.
+    parsed = F.from_json(payload, _strings(parse))
     if not widen:
-        return df.select(*fixed, parsed.alias(WIDE_STRUCT))
-    return df.select(*fixed, F.inline(F.array(parsed)))
+        return df.select(*fixed, parsed.alias(WIDE_STRUCT, metadata={ITEMS_META: names}))
+    out = df.select(*fixed, F.inline(F.array(parsed)))
+    return order_items(out, spec.column_names, names, set(parse))
+
+
+def item_names(df: DataFrame) -> tuple[list[str], StructType]:
+    """(all dictionary names in order, parsed struct type) of a narrow wide table."""
+    field = df.schema[WIDE_STRUCT]
+    return list(field.metadata.get(ITEMS_META) or field.dataType.names), field.dataType
 
 
 def widen(df: DataFrame) -> DataFrame:
     """Unpack the ``_items`` struct of a narrow wide table into columns."""
     if WIDE_STRUCT not in df.columns:
         return df
+    names, struct = item_names(df)
     keep = [c for c in df.columns if c != WIDE_STRUCT]
-    return df.select(*keep, F.inline(F.array(F.col(WIDE_STRUCT))))
+    out = df.select(*keep, F.inline(F.array(F.col(WIDE_STRUCT))))
+    return order_items(out, keep, names, set(struct.names))
 
 
 def project_dictionary(df: DataFrame, keep: list[str], payload, names) -> DataFrame:
