@@ -60,11 +60,13 @@ def keys_only(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, objec
 
 def present_items(rows: DataFrame, payload: Column, names: list[str]) -> list[str]:
     """Dictionary names that occur as a key in at least one payload, in
-    dictionary order.  One aggregate: keys are filtered to the dictionary
-    before the distinct (partial aggregation map-side), so at most
-    ``len(names)`` rows — a size-checked dictionary — reach the driver."""
+    dictionary order.  One aggregate: keys are semi-joined to the dictionary
+    (broadcast: its size is checked, at most ``MAX_DICTIONARY_NAMES``) before
+    the distinct (partial aggregation map-side), so at most ``len(names)``
+    rows reach the driver."""
     keys = rows.select(F.explode(F.json_object_keys(payload)).alias("k"))
-    found = {r[0] for r in keys.where(F.col("k").isin(names)).distinct().collect()}
+    dictionary = rows.sparkSession.createDataFrame([(n,) for n in names], "k string")
+    found = {r[0] for r in keys.join(F.broadcast(dictionary), "k", "left_semi").distinct().collect()}
     return [n for n in names if n in found]
 
 
@@ -72,11 +74,8 @@ def _strings(names: list[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
-def order_items(df: DataFrame, fixed: list[str], names: list[str], parsed: set[str]) -> DataFrame:
-    """Fixed columns, then every dictionary name in order; names that were not
-    parsed (no payload has them) are typed null literals."""
-    items = [F.col(f"`{n}`") if n in parsed else F.lit(None).cast("string").alias(n) for n in names]
-    return df.select(*[F.col(f"`{c}`") for c in fixed], *items)
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def shred(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, object] | None = None,
@@ -100,10 +99,8 @@ def shred(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, object] |
     # from_json to a struct keeps the last of duplicate keys and drops keys
     # outside the struct; inline(array(...)) keeps it one parse per row.
     parsed = F.from_json(payload, _strings(parse))
-    if not widen:
-        return df.select(*fixed, parsed.alias(WIDE_STRUCT, metadata={ITEMS_META: names}))
-    out = df.select(*fixed, F.inline(F.array(parsed)))
-    return order_items(out, spec.column_names, names, set(parse))
+    narrow = df.select(*fixed, parsed.alias(WIDE_STRUCT, metadata={ITEMS_META: names}))
+    return narrow if not widen else widen_items(narrow)
 
 
 def item_names(df: DataFrame) -> tuple[list[str], StructType]:
@@ -112,14 +109,24 @@ def item_names(df: DataFrame) -> tuple[list[str], StructType]:
     return list(field.metadata.get(ITEMS_META) or field.dataType.names), field.dataType
 
 
+def widen_items(df: DataFrame) -> DataFrame:
+    """Fixed columns, then one column per dictionary name read from the
+    ``_items`` struct (parsed once: Catalyst does not inline a costly
+    expression that several columns reference) or a typed null if unparsed."""
+    names, struct = item_names(df)
+    parsed = set(struct.names)
+    keep = [c for c in df.columns if c != WIDE_STRUCT]
+    # one selectExpr call: building ~1250 Column objects through py4j costs seconds
+    items = [f"{WIDE_STRUCT}.{_q(n)} AS {_q(n)}" if n in parsed else f"CAST(NULL AS STRING) AS {_q(n)}"
+             for n in names]
+    return df.selectExpr(*[_q(c) for c in keep], *items)
+
+
 def widen(df: DataFrame) -> DataFrame:
     """Unpack the ``_items`` struct of a narrow wide table into columns."""
     if WIDE_STRUCT not in df.columns:
         return df
-    names, struct = item_names(df)
-    keep = [c for c in df.columns if c != WIDE_STRUCT]
-    out = df.select(*keep, F.inline(F.array(F.col(WIDE_STRUCT))))
-    return order_items(out, keep, names, set(struct.names))
+    return widen_items(df)
 
 
 def project_dictionary(df: DataFrame, keep: list[str], payload, names) -> DataFrame:
