@@ -2,7 +2,7 @@
 
 Entry points:
     docshred.plans.pipeline.build(spark, path, dictionaries)  → tables, checks, dedup
-    docshred.operators.shred.shred(docs, spec)                → one table
+    docshred.operators.shredder.shred(docs, spec)                → one table
 """
 
 __version__ = "0.1.0"

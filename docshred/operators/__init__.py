@@ -2,7 +2,7 @@ from docshred.operators.combine import (drop_complete_duplicates, drop_complete_
                                         union_tables)
 from docshred.operators.quality import (actual_metrics, expected_counts, quality_report,
                                         row_count_checks, table_metrics)
-from docshred.operators.shred import shred, shred_all, widen
+from docshred.operators.shredder import shred, shred_all, widen
 
 __all__ = ["actual_metrics", "drop_complete_duplicates", "drop_complete_duplicates_all",
            "expected_counts", "quality_report", "row_count_checks", "shred", "shred_all",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from docshred.operators.combine import dedup_counts, drop_complete_duplicates, union_tables
 from docshred.operators.quality import (actual_metrics, expected_counts, quality_report,
                                         row_count_checks)
-from docshred.operators.shred import keys_only, project_dictionary, shred
+from docshred.operators.shredder import keys_only, project_dictionary, shred
 from docshred.plans import nest
 from docshred.plans.clinical import clinical_specs, spec_by_name
 from docshred.plans.pipeline import resolve_dictionaries

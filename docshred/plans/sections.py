@@ -11,7 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from docshred.operators.shred import shred
+from docshred.operators.shredder import shred
 from docshred.plans.clinical import spec_by_name
 
 # ---- fixed values: which tables each document section produces ------------------------

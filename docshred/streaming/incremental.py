@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docshred.operators.combine import drop_complete_duplicates
 from docshred.operators.quality import quality_report
-from docshred.operators.shred import shred
+from docshred.operators.shredder import shred
 from docshred.plans.clinical import clinical_specs
 from docshred.plans.pipeline import resolve_dictionaries
 from docshred.session import shared_dir

@@ -1,7 +1,7 @@
 """Plan shape: shredding is one narrow stage, the discriminator filter runs
 before the payload parse, the wide payload is parsed once, scans are pruned."""
 
-from docshred.operators.shred import shred
+from docshred.operators.shredder import shred
 from docshred.plans.clinical import spec_by_name
 from docshred.sources.documents import read_documents, stage_documents
 from tests.test_shred import DICTS, HAPPY
@@ -55,7 +55,7 @@ def test_checks_do_not_read_wide_payloads(spark, write_lines, tmp_path):
     import contextlib
     import io
 
-    from docshred.operators.shred import keys_only
+    from docshred.operators.shredder import keys_only
     staged = stage_documents(read_documents(spark, write_lines([HAPPY])), str(tmp_path / "k"))
     df = keys_only(staged, spec_by_name("mds")).groupBy().count()
     buf = io.StringIO()

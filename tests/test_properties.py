@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from docshred.operators.quality import expected_counts
-from docshred.operators.shred import shred
+from docshred.operators.shredder import shred
 from docshred.plans.clinical import clinical_specs, spec_by_name
 from docshred.sources.documents import read_documents, well_formed
 

@@ -5,7 +5,7 @@ import copy
 
 import pytest
 
-from docshred.operators.shred import shred, widen
+from docshred.operators.shredder import shred, widen
 from docshred.plans.clinical import TABLE_NAMES, clinical_specs, spec_by_name
 from docshred.sources.documents import read_documents, well_formed
 from tests.conftest import rows
