@@ -14,6 +14,7 @@ accumulated tables instead.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,7 +65,10 @@ def start(spark: SparkSession, input_dir: str, out_root: str, dictionaries: Mapp
           processing_time: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the shredding stream; returns the running query."""
     dicts = resolve_dictionaries(spark, dictionaries)
-    checkpoint = checkpoint or f"{shared_dir(spark)}/docshred-stream/{abs(hash(out_root)):x}"
+    # a stable name per output root (Python's str hash changes per process, and
+    # a new checkpoint folder after a restart would re-read every input file)
+    key = hashlib.sha1(out_root.rstrip("/").encode()).hexdigest()[:16]
+    checkpoint = checkpoint or f"{shared_dir(spark)}/docshred-stream/{key}"
     w = (stream_documents(spark, input_dir, max_files_per_trigger).writeStream
          .foreachBatch(lambda df, bid: shred_batch(df, bid, out_root, dicts))
          .option("checkpointLocation", checkpoint))

@@ -36,3 +36,16 @@ def test_stream_shreds_new_files(spark, tmp_path):
     rep = spark.read.parquet(f"{out}/_quality")
     assert rep.where("table = 'patientInfo'").select("_batch", "actual_rows").distinct().count() == 2
     assert spark.read.parquet(f"{out}/_rejected").count() == 1
+
+
+def test_default_checkpoint_is_stable_across_processes(spark, tmp_path):
+    import subprocess
+    import sys
+    code = ("import hashlib; print(hashlib.sha1('/x/out'.encode()).hexdigest()[:16])")
+    a = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True).stdout
+    b = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True).stdout
+    assert a == b
+    import inspect
+
+    from docshred.streaming import incremental
+    assert "hash(out_root)" not in inspect.getsource(incremental.start)
