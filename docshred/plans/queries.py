@@ -9,12 +9,11 @@ from the relational tables with plain SQL.  Column names and types agree.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docshred.operators.combine import dedup_counts, drop_complete_duplicates, union_tables
+from docshred.operators.combine import dedup_counts_all, drop_complete_duplicates, union_tables
 from docshred.operators.quality import (actual_metrics, expected_counts, quality_report,
                                         row_count_checks)
 from docshred.operators.shredder import keys_only, project_dictionary, shred
@@ -137,9 +136,7 @@ def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, tables, specs = _all_tables(spark, sf_dir)
-    parts = [dedup_counts(tables[s.name]).select(F.lit(s.name).alias("table"), "rows_before_dedup",
-                                                 "rows_after_dedup") for s in specs]
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    return dedup_counts_all({s.name: tables[s.name] for s in specs})
 
 
 TABLE_QUERIES = {
