@@ -76,3 +76,18 @@ def test_dedup_collapses_hot_group_of_copies_map_side(spark, write_lines):
     assert out.count() == 4
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") >= 2 and "Exchange" in plan
+
+
+def test_summary_counts_use_two_shuffles_for_any_number_of_tables(spark):
+    import re
+
+    from docshred.operators.combine import dedup_counts_all
+    tables = {f"t{i}": spark.createDataFrame([("a", str(i))] * 3, "x string, y string") for i in range(6)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")      # show the full static plan
+    try:
+        plan = dedup_counts_all(tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+    got = {r.table: (r.rows_before_dedup, r.rows_after_dedup) for r in dedup_counts_all(tables).collect()}
+    assert got == {f"t{i}": (3, 1) for i in range(6)}
