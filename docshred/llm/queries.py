@@ -13,10 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docshred.llm.common import table
+from docshred.llm.cost_packing import pack_documents, piece_digest
+from docshred.llm.ppm_language import identify
 from docshred.llm.token_secrets import find_secrets, span_list
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -27,8 +30,16 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         span_list(F.col("spans")).alias("spans"))
 
 
+def op8_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digest(pack_documents(table(spark, sf_dir, "documents"), TOKENIZER))
+
+
+def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op7_secret_scan": op7_secret_scan}
+    return {f.__name__: f for f in (op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language)}
 
 
 def oracle_sql() -> dict[str, str]:
