@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: int = 1, max_bytes: int = SL
     whatever Spark puts into a batch."""
     for batch in batches:
         size, start = 0, 0
-        lengths = pa.compute.binary_length(batch.column(text)).to_pylist()
+        lengths = pc.binary_length(batch.column(text)).to_pylist()
         for i, n in enumerate(lengths):
             n = n or 0
             if i > start and size + n > max_bytes:

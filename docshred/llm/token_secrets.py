@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
