@@ -16,6 +16,8 @@ from docshred.llm.common import table
 from docshred.llm.cost_packing import pack_documents, piece_digest
 from docshred.llm.ppm_language import identify
 from docshred.llm.token_secrets import find_secrets, span_list
+from docshred.llm.warc_zstd import read_archives, train_dictionary, with_record_types, write_archives
+from docshred.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +25,25 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op2_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = scratch_path(spark, "warc")
+    write_archives(with_record_types(pages), path, train_dictionary(pages))
+    return read_archives(spark, path, keep_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+     f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to, CASE WHEN again THEN NULL ELSE true END AS digest_ok
+FROM (SELECT *, first IS NOT NULL AND page_id IS DISTINCT FROM first AS again
+      FROM p LEFT JOIN f USING (payload_digest))
+"""
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
@@ -39,8 +60,8 @@ def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language)}
+    return {f.__name__: f for f in (op2_warc_dictionary, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc_dictionary": OP2_SQL}
