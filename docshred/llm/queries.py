@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from docshred.llm.common import table
 from docshred.llm.cost_packing import pack_documents, piece_digest
+from docshred.llm.divergence_rules import judge
 from docshred.llm.ppm_language import identify
 from docshred.llm.token_secrets import find_secrets, span_list
 from docshred.llm.warc_zstd import read_archives, train_dictionary, with_record_types, write_archives
@@ -44,6 +45,10 @@ FROM (SELECT *, first IS NOT NULL AND page_id IS DISTINCT FROM first AS again
 """
 
 
+def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
@@ -60,7 +65,7 @@ def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_warc_dictionary, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language)}
+    return {f.__name__: f for f in (op2_warc_dictionary, op3_divergence_rules, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language)}
 
 
 def oracle_sql() -> dict[str, str]:
