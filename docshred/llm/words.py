@@ -18,6 +18,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_SEP = np.zeros(256, dtype=bool)
 _IS_SEP[[ord(c) for c in SEPARATORS]] = True
+_NOT_ALNUM = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,11 +62,13 @@ def join_bytes(texts) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"\n".join([*raw, b""]), dtype=np.uint8), offsets
 
 
-def split_words(texts, hashes: bool = True, lower: bool = True) -> WordBatch:
+def split_words(texts, hashes: bool = True, lower: bool = True, punctuation: bool = True) -> WordBatch:
+    """Words of a batch; without ``punctuation`` every ASCII character that is
+    no letter or digit separates words too."""
     data, offsets = join_bytes(texts)
     if lower:
         data = _LOWER[data]
-    inside = ~_IS_SEP[data]
+    inside = ~(_IS_SEP if punctuation else _NOT_ALNUM)[data]
     edges = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
     start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     first = np.searchsorted(start, offsets)
