@@ -16,6 +16,7 @@ from docshred.llm.common import table
 from docshred.llm.cost_packing import pack_documents, piece_digest
 from docshred.llm.divergence_rules import judge
 from docshred.llm.ppm_language import identify
+from docshred.llm.span_dedup import remove_repeats
 from docshred.llm.spaced_seeds import find_overlaps
 from docshred.llm.token_secrets import find_secrets, span_list
 from docshred.llm.warc_zstd import read_archives, train_dictionary, with_record_types, write_archives
@@ -50,6 +51,10 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -70,7 +75,7 @@ def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_warc_dictionary, op3_divergence_rules, op6_spaced_seeds, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language)}
+    return {f.__name__: f for f in (op2_warc_dictionary, op3_divergence_rules, op5_sentence_spans, op6_spaced_seeds, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language)}
 
 
 def oracle_sql() -> dict[str, str]:
