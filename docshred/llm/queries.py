@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from docshred.llm.common import table
 from docshred.llm.cost_packing import pack_documents, piece_digest
 from docshred.llm.divergence_rules import judge
+from docshred.llm.jaccard_join import similarity_components
 from docshred.llm.ppm_language import identify
 from docshred.llm.span_dedup import remove_repeats
 from docshred.llm.spaced_seeds import find_overlaps
@@ -74,8 +75,14 @@ def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_warc_dictionary, op3_divergence_rules, op5_sentence_spans, op6_spaced_seeds, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language)}
+    return {f.__name__: f for f in (
+        op2_warc_dictionary, op3_divergence_rules, op5_sentence_spans, op6_spaced_seeds, op7_secret_scan,
+        op8_cost_balanced_packing, op9_ppm_language, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
