@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 4 << 20
+BROADCAST_KEYS = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,4 +50,6 @@ def bounded_sample(df: DataFrame, size: Column, bound: int, key: Column, by: Col
         total = df.agg(F.sum(size).alias("n")).first()["n"] or 0
         return df if total <= bound else df.where(seed < F.lit(bound / total))
     totals = df.groupBy(by.alias("_by")).agg((F.lit(float(bound)) / F.greatest(F.sum(size), F.lit(1))).alias("_share"))
+    if totals.count() <= BROADCAST_KEYS:  # else Spark shuffles by key and splits hot ones
+        totals = F.broadcast(totals)
     return df.join(totals, by == F.col("_by")).where(seed < F.col("_share")).drop("_by", "_share")
