@@ -20,9 +20,12 @@ from docshred.llm.ppm_language import identify
 from docshred.llm.span_dedup import remove_repeats
 from docshred.llm.spaced_seeds import find_overlaps
 from docshred.llm.token_secrets import find_secrets, span_list
+from docshred.llm.toxicity_grammar import score_toxicity
 from docshred.llm.warc_zstd import read_archives, train_dictionary, with_record_types, write_archives
 from docshred.session import scratch_path
 
+THRESHOLD = 0.7  # of the scores' predictions
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +55,11 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -81,7 +89,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_warc_dictionary, op3_divergence_rules, op5_sentence_spans, op6_spaced_seeds, op7_secret_scan,
+        op2_warc_dictionary, op3_divergence_rules, op4_toxicity_grammar, op5_sentence_spans, op6_spaced_seeds, op7_secret_scan,
         op8_cost_balanced_packing, op9_ppm_language, op10_jaccard_join)}
 
 
