@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from docshred.llm.common import table
 from docshred.llm.cost_packing import pack_documents, piece_digest
+from docshred.llm.crf_quality import score_quality
 from docshred.llm.divergence_rules import judge
 from docshred.llm.jaccard_join import similarity_components
 from docshred.llm.ppm_language import identify
@@ -32,6 +33,11 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     path = scratch_path(spark, "warc")
@@ -89,8 +95,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_warc_dictionary, op3_divergence_rules, op4_toxicity_grammar, op5_sentence_spans, op6_spaced_seeds, op7_secret_scan,
-        op8_cost_balanced_packing, op9_ppm_language, op10_jaccard_join)}
+        op1_crf_quality, op2_warc_dictionary, op3_divergence_rules, op4_toxicity_grammar, op5_sentence_spans,
+        op6_spaced_seeds, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
