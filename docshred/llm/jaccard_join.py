@@ -235,11 +235,17 @@ def search(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("q", "block").applyInArrow(_verify(percent), "a string, b string")
 
 
+def row_key(id_col: str, text_col: str):
+    """64-bit key of a row's id and text."""
+    return F.xxhash64(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
+
+
 def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                           text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, cls) for every row of ``docs``."""
+    """(doc_id, n_shingles, component_id, group, key) for every row of ``docs``:
+    ``group`` names the component (null without shingles), ``key`` the row's id and text."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
+    rows = rows.withColumn("key", row_key("doc_id", "text"))
     members = _stored(rows.mapInArrow(_members(width), "doc_id bigint, key bigint, n bigint, cls string"), "members")
     classes = members.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"), F.min("key").alias("key"))
     links = similar_classes(rows, classes.select("key"), width, percent)
@@ -247,10 +253,12 @@ def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80, id
     named = joined.join(classes, F.col("node") == F.col("cls"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     label = classes.join(joined, F.col("cls") == F.col("node"), "left").join(least, "root", "left").select(
-        F.col("cls").alias("_cls"), F.coalesce("component_id", "least").alias("component_id"))
+        F.col("cls").alias("_cls"), F.coalesce("component_id", "least").alias("component_id"),
+        F.coalesce("root", "cls").alias("group"))
     return members.join(label, F.col("cls") == F.col("_cls"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "cls")
+        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "group", "key")
 
 
 def similar_classes(rows: DataFrame, one_each: DataFrame, width: int, percent: int) -> DataFrame:

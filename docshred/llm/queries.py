@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,7 +97,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_crf_quality, op2_warc_dictionary, op3_divergence_rules, op4_toxicity_grammar, op5_sentence_spans,
-        op6_spaced_seeds, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language, op10_jaccard_join)}
+        op6_spaced_seeds, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language, op10_jaccard_join)} | {
+        "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
