@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -198,7 +199,7 @@ def divide_skip(query: np.ndarray, candidates: list[np.ndarray], sizes: np.ndarr
         for k, one in enumerate(long):
             if have >= target[c] or have + len(long) - k < target[c]:
                 break
-            place = np.searchsorted(one, c)
+            place = bisect_left(one, c)
             have += place < len(one) and one[place] == c
         return have >= target[c]
 
