@@ -10,7 +10,8 @@ documents link when the Jaccard similarity of their sets is at least
    shingles there.  Over a fixed hash range of all shingles, a set whose
    shingles without a second owner already exceed that number has no partner.
    One sorted shuffle of that range finds these owners; a shingle that repeats
-   within a task's slice is announced once, so a hot one stays small.
+   within a task's slice is announced once, so a hot one stays small.  The
+   classes that remain are pruned once more over the whole range.
 3. The inverted lists of the remaining classes: shingles with a single owner
    carry no link and only count; the others are ordered by list length.
 4. Candidates share a shingle among the first n - ceil(p n) + 1 of that order
@@ -46,7 +47,7 @@ from docshred.llm.common import slices
 from docshred.llm.components import _stored, components
 from docshred.llm.words import mix, split_words, windows
 
-MARK_SHARE = 0.25  # part of the hash range that the pruning step looks at
+MARK_SHARE = 0.25  # part of the hash range that the first pruning step looks at
 PROBE_COST = 0.0085  # cost of a probe step against a merge step, from the method's paper
 BLOCK = 512  # candidates of one query that are searched together
 
@@ -99,17 +100,18 @@ def _members(width: int):
     return work
 
 
-def _marks(width: int, percent: int):
-    """(token, key, n, known): one row per shingle of the range and document.
+def _marks(width: int, percent: int, share: float):
+    """(token, key, kind, slack): one row per shingle of the range and document
+    (texts, or the sets themselves when the second column is a list).
 
     A shingle with several owners in the slice is announced once (known 0, no
     owner asked for); its owners get one row each with the number of such
     shingles, under a spread-out token of their own."""
-    limit = np.uint64(int(MARK_SHARE * 2**64))
+    limit = np.uint64(int(share * 2**63) * 2 - 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = shingles(batch.column(1).to_pylist(), width)
+        for batch in slices(batches) if share < 1 else batches:
+            sets = shingles(batch.column(1).to_pylist(), width) if share < 1 else _arrays(batch.column(1))
             key = np.array(batch.column(0).to_pylist(), dtype=np.int64)
             part = [s[:np.searchsorted(s, limit)] for s in sets]
             token = np.concatenate([np.empty(0, np.uint64), *part])
@@ -125,9 +127,10 @@ def _marks(width: int, percent: int):
             size_of = np.array([len(s) for s in sets], dtype=np.int64)
             in_range = np.array([len(p) for p in part], dtype=np.int64)
             one, shared = start[size == 1], start[size > 1]
+            figures = mix(key[docs].view(np.uint64))
             # kinds: 0 owner to be counted, 1 announcement, 2 the document's own figures
             yield pa.RecordBatch.from_arrays(
-                [_signed(np.concatenate([token[one], token[shared], mix(key[docs].view(np.uint64) | limit)])),
+                [_signed(np.concatenate([token[one], token[shared], figures])),
                  pa.array(np.concatenate([key[owner[one]], np.zeros(len(shared), np.int64), key[docs]])),
                  pa.array(np.concatenate([np.zeros(len(one), np.int8), np.ones(len(shared), np.int8),
                                           np.full(len(docs), 2, np.int8)])),
@@ -140,8 +143,9 @@ def _marks(width: int, percent: int):
 
 def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by token: one point for every owner of a token with
-    another row, and the documents' own figures.  Streams; the last run of a
-    batch waits for the next batch only if it is cut there."""
+    another row (a row of kind 2 with an equal value is no owner, yet may add a
+    point: the pruning errs on the safe side), and the documents' own figures.
+    Streams; a run that a batch's end cuts goes on in the next batch."""
     held: tuple[int, int, int] | None = None  # (token, key or -1 when already given, kind)
     for batch in batches:
         token, key, kind, slack = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
@@ -167,11 +171,24 @@ def _sets(width: int):
         for batch in slices(batches):
             sets = shingles(batch.column(1).to_pylist(), width)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([class_of(s) for s in sets], pa.string()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["cls", "tokens"])
+                [batch.column(0), pa.array([class_of(s) for s in sets], pa.string()),
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["key", "cls", "tokens"])
     return work
 
 
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    return [c.values.to_numpy(zero_copy_only=False).view(np.uint64) for c in column]
+
+
+MARKS = "token bigint, key bigint, kind tinyint, slack bigint"
+
+
+def possible(marks: DataFrame) -> DataFrame:
+    """Keys whose sets may still have a partner."""
+    points = marks.repartition("token").sortWithinPartitions("token").mapInArrow(_owners, "key bigint, slack bigint")
+    return points.groupBy("key").agg(F.sum("slack").alias("slack")).where("slack >= 0").select("key")
+
+
 def divide_skip(query: np.ndarray, candidates: list[np.ndarray], sizes: np.ndarray, query_size: int,
                 percent: int) -> list[int]:
     """Candidates (indexes) whose overlap with the query reaches their T.
@@ -266,11 +283,11 @@ def similar_classes(rows: DataFrame, one_each: DataFrame, width: int, percent: i
     """Links (a, b) that connect all classes of equal sets that are connected by
     similarity (not every link inside one component is listed).  ``rows`` have a
     key, ``one_each`` names one row of each class."""
-    marks = rows.select("key", "text").mapInArrow(_marks(width, percent), "token bigint, key bigint, kind tinyint, slack bigint")
-    points = marks.repartition("token").sortWithinPartitions("token").mapInArrow(_owners, "key bigint, slack bigint")
-    kept = points.groupBy("key").agg(F.sum("slack").alias("slack")).where("slack >= 0").select("key")
+    kept = possible(rows.select("key", "text").mapInArrow(_marks(width, percent, MARK_SHARE), MARKS))
     alive = rows.select("key", "text").join(kept.join(one_each, "key"), "key", "left_semi").dropDuplicates(["key"])
-    sets = _stored(alive.mapInArrow(_sets(width), "cls string, tokens array<bigint>"), "sets")
+    sets = _stored(alive.mapInArrow(_sets(width), "key bigint, cls string, tokens array<bigint>"), "sets")
+    again = possible(sets.select("key", "tokens").mapInArrow(_marks(width, percent, 1.0), MARKS))
+    sets = _stored(sets.join(again, "key", "left_semi"), "sets")
     owned = sets.select("cls", F.size("tokens").cast("bigint").alias("n"), F.explode("tokens").alias("token"))
     lists = owned.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     shared = owned.join(lists, "token").groupBy("cls", "n").agg(
