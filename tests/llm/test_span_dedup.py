@@ -1,0 +1,85 @@
+import re
+
+from docshred.llm.span_dedup import Spans, remove_repeats
+from tests.llm.fixtures import documents, empty, frame
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def slow(docs, rule=Spans()):
+    """Removed sentence numbers of every distinct (id, text) by plain dictionaries."""
+    import zlib
+
+    def parts(text):
+        out, current, last_end = [], [], 0
+        for m in WORD.finditer(text):
+            if current and "\n" in text[last_end:m.start()]:
+                out.append(current)
+                current = []
+            w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in m.group())
+            current.append(w)
+            last_end = m.end()
+            if w[-1] in ".!?,;:" or len(w.encode()) >= rule.long_word:
+                out.append(current)
+                current = []
+        return [*out, current] if current else out
+
+    distinct = sorted({(r[0], r[1]) for r in docs if r[1] is not None},
+                      key=lambda r: (r[0] is not None, r[0] or 0, zlib.crc32(r[1].encode()) & 0x7FFFFFFF))
+    first, removed = {}, {}
+    for key in distinct:
+        sent, gone = parts(key[1]), set()
+        for a in range(len(sent)):
+            b, words = a, 0
+            while b < len(sent) and (b - a < rule.run or words < rule.min_words):
+                words += len(sent[b])
+                b += 1
+            if b - a < rule.run or words < rule.min_words:
+                continue
+            span = tuple(w for s in sent[a:b] for w in s)
+            if first.setdefault(span, (key, a)) != (key, a):
+                gone.update(range(a, b))
+        removed[key] = (len(sent), gone, sum(len(sent[k]) for k in gone))
+    return removed
+
+
+def test_removed_sentences_are_those_of_the_plain_search(spark):
+    rows = documents()
+    want = slow(rows)
+    got = remove_repeats(frame(spark)).collect()
+    assert len(got) == len(rows)
+    texts = {}
+    for r in rows:
+        texts.setdefault(r[0], []).append(r[1])
+    counts = sorted((r["doc_id"], r["n_sentences"], r["n_removed"], r["removed_words"]) for r in got
+                    if r["doc_id"] is not None)
+    expected = sorted((r[0], *((0, 0, 0) if r[1] is None else (want[r[0], r[1]][0], len(want[r[0], r[1]][1]),
+                                                               want[r[0], r[1]][2]))) for r in rows if r[0] is not None)
+    assert counts == expected
+    assert sum(c[2] for c in counts) > 20
+
+
+def test_text_is_cut_at_the_spans(spark):
+    for r in remove_repeats(frame(spark, extra=False)).collect():
+        if r["doc_id"] in (10, 20):
+            assert r["n_removed"] == 0
+        if r["doc_id"] in (11, 12):
+            assert r["text"] == ""
+        if r["doc_id"] == 3:
+            assert r["text"] is None
+    rows = {r[0]: r[1] for r in documents() if r[0] is not None and r[0] > 0}
+    for r in remove_repeats(frame(spark)).where("doc_id > 0").collect():
+        text, at, out = rows[r["doc_id"]], 0, ""
+        for s in r["removed"]:
+            out += text[at:s["start"]]
+            at = s["end"]
+        assert r["text"] == (None if text is None else out + text[at:])
+
+
+def test_pasted_passages_go_except_the_first(spark):
+    got = {r["doc_id"]: r["removed_words"] for r in remove_repeats(frame(spark)).where("doc_id in (20, 21, 22)").collect()}
+    assert got[20] == 0 and got[21] > 30 and got[22] > 30
+
+
+def test_empty_table(spark):
+    assert remove_repeats(empty(spark)).count() == 0

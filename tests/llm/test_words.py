@@ -1,0 +1,45 @@
+import re
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from docshred.llm.words import split_words, windows
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="aAb é日\t\n.,x ", max_size=60)), max_size=6)
+
+
+def ascii_lower(t):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+
+
+@settings(max_examples=150, deadline=None)
+@given(TEXTS)
+def test_words_are_those_of_the_pattern_and_hash_alike(texts):
+    batch = split_words(texts)
+    want = [w for t in texts for w in WORD.findall(ascii_lower(t or ""))]
+    got = [bytes(batch.data[s:e]).decode() for s, e in zip(batch.start, batch.end)]
+    assert got == want
+    assert np.diff(batch.first).tolist() == [len(WORD.findall(t or "")) for t in texts]
+    seen = {}
+    for w, h in zip(got, batch.hash.tolist()):
+        assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_hashes_do_not_depend_on_the_place_or_on_blocks():
+    long = "x" * 200_000 + "y"
+    texts = ["a b", long, "b", "pad " * 50_000 + "b a", long]
+    batch = split_words(texts)
+    by_word = {}
+    for s, e, h in zip(batch.start, batch.end, batch.hash.tolist()):
+        assert by_word.setdefault(bytes(batch.data[s:e]), h) == h
+    assert len(set(by_word.values())) == len(by_word) == 4
+
+
+def test_windows_stay_inside_a_text():
+    batch = split_words(["a b c d e f", "a b c d", "a b c d e"])
+    h, at = windows(batch, 5)
+    assert at.tolist() == [0, 1, 10]
+    assert h[0] == h[2] != h[1]
