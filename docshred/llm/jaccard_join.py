@@ -14,15 +14,16 @@ documents link when the Jaccard similarity of their sets is at least
    classes that remain are pruned once more over the whole range.
 3. The inverted lists of the remaining classes: shingles with a single owner
    carry no link and only count; the others are ordered by list length.
-4. Candidates share a shingle among the first n - ceil(p n) + 1 of that order
-   (prefix filter).  Each list first pairs its members with one pivot; linked
-   classes are merged, and only pairs of different components that pass the
-   length and position bounds are paired afterwards.  So a group of near copies
-   costs rows in proportion to its lists, not to its pairs.
-5. T-occurrence search (DivideSkip) per query class over a block of its
-   candidates: the short inverted lists are merged with a heap, candidates that
-   can still reach the overlap T are looked up in the L longest lists by binary
-   search, and those with T occurrences or more are links.
+4. Partners share a shingle among the first n - ceil(p n) + 1 of that order
+   (prefix filter).  Each prefix list first pairs its members with one pivot, and
+   linked classes are merged.
+5. T-occurrence search (DivideSkip) for the rest: classes are placed in blocks
+   with the others of their longest prefix list, and every class asks each block
+   that holds a class of another component on one of its prefix lists.  In a
+   block the short inverted lists are merged with a heap, members that can still
+   reach the overlap T are looked up in the L longest lists by binary search, and
+   those with T occurrences or more are links.  No pairs are listed: rows are
+   classes times blocks, and groups of near copies cost no more.
 6. Components of the links; every row gets its class's smallest reachable id.
 
 Null and empty texts have no shingles and are linked with nothing: their
@@ -47,9 +48,9 @@ from docshred.llm.common import slices
 from docshred.llm.components import _stored, components
 from docshred.llm.words import mix, split_words, windows
 
-MARK_SHARE = 0.25  # part of the hash range that the first pruning step looks at
+MARK_SHARE = 0.3125  # part of the hash range that the first pruning step looks at
 PROBE_COST = 0.0085  # cost of a probe step against a merge step, from the method's paper
-BLOCK = 512  # candidates of one query that are searched together
+BLOCK = 512  # classes that are searched together
 
 
 def required(n: int | np.ndarray, m: int | np.ndarray, percent: int):
@@ -189,48 +190,82 @@ def possible(marks: DataFrame) -> DataFrame:
     return points.groupBy("key").agg(F.sum("slack").alias("slack")).where("slack >= 0").select("key")
 
 
-def divide_skip(query: np.ndarray, candidates: list[np.ndarray], sizes: np.ndarray, query_size: int,
-                percent: int) -> list[int]:
-    """Candidates (indexes) whose overlap with the query reaches their T.
+def t_occurrence(lists: list[list[int]], target) -> list[int]:
+    """Members that occur in at least ``target[member]`` of the sorted lists.
 
-    ``query`` and ``candidates`` hold sorted tokens with more than one owner;
-    sizes are those of the whole sets."""
-    target = required(query_size, sizes, percent)
-    least = int(target.min()) if len(target) else 0
-    tokens = np.concatenate([np.empty(0, query.dtype), *candidates])
-    owner = np.repeat(np.arange(len(candidates)), [len(c) for c in candidates])
-    wanted = np.isin(tokens, query)
-    tokens, owner = tokens[wanted], owner[wanted]
-    order = np.lexsort((owner, tokens))
-    tokens, owner = tokens[order], owner[order]
-    cut = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else []
-    lists = sorted((part.tolist() for part in np.split(owner, cut[1:])), key=len) if len(tokens) else []
+    DivideSkip: the L longest lists are set aside, the others are merged with a
+    heap, and a member that can still reach its target is looked up in the long
+    ones by binary search until it cannot."""
+    if not lists:
+        return []
+    lists = sorted(lists, key=len)
+    least = min(int(target[c]) for c in set().union(*lists))
     if len(lists) < least:
         return []
-    longest = len(lists[-1]) if lists else 1
-    probed = max(0, min(least - 1, int(least / (PROBE_COST * np.log2(max(longest, 2)) + 1))))  # L of DivideSkip
-    short, long = lists[:len(lists) - probed], lists[len(lists) - probed:]
-    found, count, at = [], 0, -1
-
-    def probe(c: int, have: int) -> bool:
-        for k, one in enumerate(long):
-            if have >= target[c] or have + len(long) - k < target[c]:
-                break
+    spare = int(least / (PROBE_COST * np.log2(max(len(lists[-1]), 2)) + 1))
+    keep = len(lists) - max(0, min(least - 1, spare))
+    short, long = lists[:keep], lists[keep:]
+    found: list[int] = []
+
+    def settle(c: int, have: int) -> None:
+        missing = have + len(long) - int(target[c])  # lists it may still be absent from
+        for one in long:
+            if missing < 0:
+                return
             place = bisect_left(one, c)
-            have += place < len(one) and one[place] == c
-        return have >= target[c]
+            if place == len(one) or one[place] != c:
+                missing -= 1
+        if missing >= 0:
+            found.append(c)
 
+    at, count = -1, 0
     for c in heapq.merge(*short):
         if c != at:
-            if at >= 0 and count + len(long) >= target[at] and probe(at, count):
-                found.append(at)
+            if at >= 0:
+                settle(at, count)
             at, count = c, 0
         count += 1
-    if at >= 0 and count + len(long) >= target[at] and probe(at, count):
-        found.append(at)
+    if at >= 0:
+        settle(at, count)
     return found
 
 
+class ListIndex:
+    """Inverted lists of a block of sets (sorted token arrays)."""
+
+    def __init__(self, members: list[np.ndarray]):
+        token = np.concatenate([np.empty(0, np.int64), *members])
+        owner = np.repeat(np.arange(len(members)), [len(m) for m in members])
+        order = np.argsort(token, kind="stable")
+        self.owner = owner[order]
+        self.token, start = np.unique(token[order], return_index=True)
+        self.bounds = np.append(start, len(token))
+
+    def lists(self, query: np.ndarray, allowed: np.ndarray) -> list[list[int]]:
+        """The lists of the query's tokens, without members that are not allowed."""
+        if not len(self.token):
+            return []
+        k = np.minimum(np.searchsorted(self.token, query), len(self.token) - 1)
+        k = k[self.token[k] == query]
+        size = self.bounds[k + 1] - self.bounds[k]
+        first = np.cumsum(size) - size
+        owner = self.owner[np.arange(size.sum()) + np.repeat(self.bounds[k] - first, size)]
+        fit = allowed[owner]
+        which = np.repeat(np.arange(len(k)), size)[fit]
+        cut = np.flatnonzero(np.diff(which)) + 1
+        return [part.tolist() for part in np.split(owner[fit], cut) if len(part)]
+
+
+def divide_skip(query: np.ndarray, candidates: list[np.ndarray], sizes: np.ndarray, query_size: int,
+                percent: int) -> list[int]:
+    """Candidates (indexes) whose overlap with the query reaches their T.
+
+    ``query`` and ``candidates`` hold sorted tokens with more than one owner;
+    sizes are those of the whole sets."""
+    index = ListIndex(candidates)
+    return t_occurrence(index.lists(query, np.ones(len(candidates), dtype=bool)), required(query_size, sizes, percent))
+
+
 def _verify(percent: int):
     def work(key, table):
         query = table.column("q_tokens")[0].values.to_numpy(zero_copy_only=False)
@@ -305,17 +340,70 @@ def similar_classes(rows: DataFrame, one_each: DataFrame, width: int, percent: i
     star = star.select(F.col("p.cls").alias("q"), F.col("cls").alias("c")).distinct()
     first = _stored(search(star, active, percent), "star")
     merged = components(first)
-    placed = lists.join(merged, F.col("cls") == F.col("node"), "left").select(
-        "token", "cls", "n", "rest", F.coalesce("root", "cls").alias("root"))
-    mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
-    placed = placed.join(mixed, "token", "left_semi")
-    other = placed.select("token", *(F.col(k).alias(f"c_{k}") for k in ("cls", "n", "rest", "root")))
-    cross = placed.join(other, "token").where((F.col("cls") < F.col("c_cls")) & (F.col("root") != F.col("c_root")) & _can_link(
-        F.col("n"), F.col("rest"), F.col("c_n"), F.col("c_rest"), percent))
-    cross = cross.select(F.col("cls").alias("q"), F.col("c_cls").alias("c")).distinct()
-    cross = cross.join(star, ["q", "c"], "left_anti").join(star.select(F.col("q").alias("c"), F.col("c").alias("q")),
-                                                          ["q", "c"], "left_anti")
-    return first.unionAll(search(cross, active, percent))
+    rooted = active.join(merged, F.col("cls") == F.col("node"), "left").select(
+        "cls", "n", "shared", F.coalesce("root", "cls").alias("root"))
+    placed = lists.select("token", "cls").join(rooted.select("cls", "root"), "cls")
+    mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("df")).where(
+        "lo <> hi").select("token", "df")
+    placed = placed.join(mixed, "token")
+    # a class lives with the others of its longest list, so that a group's
+    # members share blocks; long lists are dealt over several blocks
+    home = placed.groupBy("cls", "root").agg(F.max(F.struct("df", "token")).alias("h")).select(
+        "cls", "root", F.struct(F.col("h.token").alias("t"), F.pmod(
+            F.xxhash64("cls"), F.ceil(F.col("h.df") / BLOCK)).alias("k")).alias("block"))
+    home = _stored(home, "home")
+    reach = placed.join(home.select("cls", "block"), "cls").groupBy("token", "block").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"))
+    asked = placed.select("token", F.col("cls"), F.col("root")).join(reach, "token").where(
+        (F.col("lo") != F.col("root")) | (F.col("hi") != F.col("root"))).select("cls", "block").distinct()
+    return first.unionAll(block_search(asked, home.select("cls", "block"), rooted, percent))
+
+
+def block_search(asked: DataFrame, home: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the query classes to members of the blocks they ask (cls, block),
+    one for each component that a query reaches in a block.
+
+    A block and a share of its queries make one group of bounded size, however
+    many queries ask a block."""
+    asked = asked.withColumn("block", F.xxhash64("block"))
+    home = home.withColumn("block", F.xxhash64("block"))
+    shares = asked.groupBy("block").agg(F.ceil(F.count("*") / (2 * BLOCK)).alias("shares"))
+    queries = asked.join(shares, "block").select("cls", "block", F.pmod(F.xxhash64("cls"), "shares").alias("share"),
+                                                 F.lit(True).alias("query"))
+    members = home.join(shares, "block").select("cls", "block", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share"), F.lit(False).alias("query"))
+    rows = queries.unionAll(members).join(sets, "cls")
+    return rows.groupBy("block", "share").applyInArrow(_search_block(percent), "a string, b string")
+
+
+def _search_block(percent: int):
+    def work(key, table):
+        rows = table.combine_chunks()
+        name, root = rows.column("cls").to_pylist(), rows.column("root").to_pylist()
+        is_query = np.array(rows.column("query").to_pylist(), dtype=bool)
+        n = rows.column("n").to_numpy()
+        tokens = [v.values.to_numpy(zero_copy_only=False) for v in rows.column("shared")]
+        rank = {c: k for k, c in enumerate(sorted(set(name)))}
+        number = np.array([rank[c] for c in name])
+        group = np.unique(np.array(root, dtype=object).astype(str), return_inverse=True)[1]
+        held = np.array([len(t) for t in tokens])
+        member = np.flatnonzero(~is_query)
+        index = ListIndex([tokens[k] for k in member])
+        a, b = [], []
+        for q in np.flatnonzero(is_query).tolist():
+            target = required(int(n[q]), n[member], percent)
+            allowed = ((number[member] < number[q]) & (group[member] != group[q])
+                       & (np.minimum(held[member], held[q]) >= target))
+            if not allowed.any():
+                continue
+            reached = set()
+            for c in t_occurrence(index.lists(tokens[q], allowed), target):
+                if group[member[c]] not in reached:
+                    reached.add(group[member[c]])
+                    a.append(name[q])
+                    b.append(name[member[c]])
+        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+    return work
 
 
 def _can_link(n, rest, m, rest_m, percent: int):
