@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     paths = write_tables(res.tables, args.out, fmt=args.format)
     paths.update(write_tables({"_quality": res.quality, "_rejected": res.rejected}, args.out, fmt=args.format))
     if args.summary:
-        for r in summary(res).collect():          # one row per table
+        for r in summary(res, paths, args.format).collect():          # one row per table
             print(json.dumps(r.asDict()))
     print(json.dumps(paths))
 

@@ -1,6 +1,3 @@
-from docshred.functions.json_fields import (array_len, by_shape, either_nonempty, has_key,
-                                            is_object, key_fallback, raw_array_len,
-                                            struct_or_scalar, zip_arrays)
+from docshred.functions.json_fields import array_len, has_key, key_fallback, raw_array_len, zip_arrays
 
-__all__ = ["array_len", "by_shape", "either_nonempty", "has_key", "is_object", "key_fallback",
-           "raw_array_len", "struct_or_scalar", "zip_arrays"]
+__all__ = ["array_len", "has_key", "key_fallback", "raw_array_len", "zip_arrays"]

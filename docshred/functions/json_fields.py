@@ -1,4 +1,4 @@
-"""Column → Column helpers for loosely typed JSON (P6-P9, E9, F5, F6).
+"""Column → Column helpers for loosely typed JSON (P6, P7, P9, E9).
 
 All of them are compositions of built-in functions, so they stay inside the
 JVM and whole-stage code generation; no Python UDF is involved.
@@ -24,11 +24,6 @@ def has_key(raw: Column | str, key: str) -> Column:
     return F.coalesce(F.array_contains(keys, F.lit(key)), F.lit(False))
 
 
-def is_object(raw: Column | str) -> Column:
-    """True when the raw JSON text is an object (not a scalar, array or null)."""
-    return F.coalesce(F.ltrim(_c(raw)).startswith("{"), F.lit(False))
-
-
 def key_fallback(present_key: str, parsed: Column, raw: Column | str, fallback: str) -> Column:
     """Value of ``present_key`` if the key exists in ``raw`` (its value may be
     null), else the value of ``fallback``; ``parsed`` is ``from_json(raw, ...)``
@@ -36,19 +31,6 @@ def key_fallback(present_key: str, parsed: Column, raw: Column | str, fallback:
     return F.when(has_key(raw, present_key), parsed[present_key]).otherwise(parsed[fallback])
 
 
-def struct_or_scalar(text: Column | str, fields: list[str]) -> list[Column]:
-    """For text holding an object, its ``fields``; for any other value, the text
-    itself in every position (a scalar destination fills all columns)."""
-    t = _c(text)
-    obj = F.from_json(t, StructType([StructField(f, StringType()) for f in fields]))
-    return [F.when(is_object(t), obj[f]).otherwise(t) for f in fields]
-
-
-def by_shape(raw: Column | str, key: str, if_present: Column, otherwise: Column) -> Column:
-    """Pick between two projections by the presence of ``key`` in ``raw``."""
-    return F.when(has_key(raw, key), if_present).otherwise(otherwise)
-
-
 def array_len(arr: Column | str) -> Column:
     """Number of elements, 0 for a null or missing array."""
     return F.coalesce(F.size(_c(arr)), F.lit(0))
@@ -60,11 +42,6 @@ def raw_array_len(raw_doc: Column | str, path: str) -> Column:
     return F.coalesce(F.json_array_length(F.get_json_object(_c(raw_doc), path)), F.lit(0))
 
 
-def either_nonempty(a: Column | str, b: Column | str) -> Column:
-    """At least one of two arrays has an element (null-safe)."""
-    return (array_len(a) > 0) | (array_len(b) > 0)
-
-
 def zip_arrays(a: Column | str, b: Column | str, names: tuple[str, str],
                element_type=StringType()) -> Column:
     """Zip two parallel arrays into an array of structs ``names``.

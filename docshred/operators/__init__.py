@@ -1,9 +1,6 @@
-from docshred.operators.combine import (drop_complete_duplicates, drop_complete_duplicates_all,
-                                        union_tables)
-from docshred.operators.quality import (actual_metrics, expected_counts, quality_report,
-                                        row_count_checks, table_metrics)
-from docshred.operators.shredder import shred, shred_all, widen
+from docshred.operators.combine import count_rows, drop_complete_duplicates, union_tables
+from docshred.operators.quality import actual_metrics, expected_counts, quality_report, row_count_checks
+from docshred.operators.shredder import occurring_items, shred, widen
 
-__all__ = ["actual_metrics", "drop_complete_duplicates", "drop_complete_duplicates_all",
-           "expected_counts", "quality_report", "row_count_checks", "shred", "shred_all",
-           "table_metrics", "union_tables", "widen"]
+__all__ = ["actual_metrics", "count_rows", "drop_complete_duplicates", "expected_counts", "occurring_items",
+           "quality_report", "row_count_checks", "shred", "union_tables", "widen"]

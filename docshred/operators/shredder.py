@@ -9,6 +9,7 @@ row, so a document id repeated over several lines never multiplies rows.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ def _rows(docs: DataFrame, spec: TableSpec) -> DataFrame:
     df = docs
     if spec.where is not None:
         df = df.where(spec.where())
+    if spec.document_prepare:
+        df = df.select("*", *[fn().alias(name) for name, fn in spec.document_prepare])
     if spec.rows is not None:
         # non-outer explode: a null or empty array yields no rows
         df = df.select("*", F.explode(spec.rows()).alias("e"))
@@ -58,16 +61,28 @@ def keys_only(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, objec
     return df.select(*[fn().alias(name) for name, fn in spec.columns])
 
 
-def present_items(rows: DataFrame, payload: Column, names: list[str]) -> list[str]:
-    """Dictionary names that occur as a key in at least one payload, in
-    dictionary order.  One aggregate: keys are semi-joined to the dictionary
-    (broadcast: its size is checked, at most ``MAX_DICTIONARY_NAMES``) before
-    the distinct (partial aggregation map-side), so at most ``len(names)``
-    rows reach the driver."""
-    keys = rows.select(F.explode(F.json_object_keys(payload)).alias("k"))
-    dictionary = rows.sparkSession.createDataFrame([(n,) for n in names], "k string")
-    found = {r[0] for r in keys.join(F.broadcast(dictionary), "k", "left_semi").distinct().collect()}
-    return [n for n in names if n in found]
+def occurring_items(docs: DataFrame, specs, dictionaries: Mapping[str, object]) -> DataFrame:
+    """(dictionary, name): dictionary names that occur as a payload key of a
+    wide table.  Keys are semi-joined to the broadcast dictionary (its size is
+    checked by the caller's reader) before the distinct, which combines map-side,
+    so the result has at most one row per dictionary name."""
+    found = []
+    for spec in specs:
+        if spec.wide is not None:
+            names = wide_schema(spec, dictionaries).names
+            keys = _rows(docs, spec).select(F.explode(F.json_object_keys(spec.wide.payload())).alias("name"))
+            known = docs.sparkSession.createDataFrame([(n,) for n in names], "name string")
+            found.append(keys.join(F.broadcast(known), "name", "left_semi").distinct().select(
+                F.lit(spec.wide.dictionary).alias("dictionary"), "name"))
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
+def items_by_dictionary(found: DataFrame) -> dict[str, list[str]]:
+    """The rows of ``occurring_items`` as lists (bounded by the dictionaries)."""
+    out: dict[str, list[str]] = {}
+    for r in found.collect():
+        out.setdefault(r["dictionary"], []).append(r["name"])
+    return out
 
 
 def _strings(names: list[str]) -> StructType:
@@ -79,26 +94,33 @@ def _q(name: str) -> str:
 
 
 def shred(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, object] | None = None,
-          widen: bool = True, discover_items: bool = True) -> DataFrame:
+          widen: bool = True, discover_items: bool = False,
+          items: Mapping[str, list[str]] | None = None) -> DataFrame:
     """Build one table.  For a wide spec the dictionary items follow the fixed
     columns; with ``widen=False`` they stay packed in one struct column
     ``_items`` (cheaper to deduplicate, see ``combine.drop_complete_duplicates``).
 
-    With ``discover_items`` (default) a wide table first finds which dictionary
-    names occur in the payloads (one small aggregate job) and parses only
-    those; the parse cost then follows the items present instead of the
-    dictionary width, and the result is the same."""
+    The frame is lazy: no job runs.  ``items`` (dictionary name → item names that
+    occur, e.g. found while staging) narrows the parse to those names;
+    ``discover_items`` finds them here, with one aggregate job over the payloads.
+    The result is the same either way."""
     df = _rows(docs, spec)
     fixed = [fn().alias(name) for name, fn in spec.columns]
     if spec.wide is None:
         return df.select(*fixed)
     names = wide_schema(spec, dictionaries or {}).names
     payload = spec.wide.payload()
-    parse = present_items(df, payload, names) if discover_items else names
-    parse = parse or names[:1]          # keep a non-empty struct when nothing occurs
+    parse = names
+    if discover_items:
+        items = {spec.wide.dictionary: [], **items_by_dictionary(occurring_items(docs, [spec], dictionaries))}
+    if items is not None and spec.wide.dictionary in items:
+        known = set(items[spec.wide.dictionary])
+        parse = [n for n in names if n in known]
+    schema = _strings(parse or names[:1])       # keep a non-empty struct when nothing occurs
     # from_json to a struct keeps the last of duplicate keys and drops keys
-    # outside the struct; inline(array(...)) keeps it one parse per row.
-    parsed = F.from_json(payload, _strings(parse))
+    # outside the struct.  A missing payload reads as {}: rows that are equal in
+    # every item column must have equal structs, too.
+    parsed = F.coalesce(F.from_json(payload, schema), F.from_json(F.lit("{}"), schema))
     narrow = df.select(*fixed, parsed.alias(WIDE_STRUCT, metadata={ITEMS_META: names}))
     return narrow if not widen else widen_items(narrow)
 
@@ -134,10 +156,3 @@ def project_dictionary(df: DataFrame, keep: list[str], payload, names) -> DataFr
     ``keep`` columns, then one string column per dictionary name."""
     schema = dictionary_schema(names)
     return df.select(*keep, F.inline(F.array(F.from_json(payload, schema))))
-
-
-def shred_all(docs: DataFrame, specs: tuple[TableSpec, ...] | list[TableSpec],
-              dictionaries: Mapping[str, object] | None = None,
-              widen_wide: bool = True) -> dict[str, DataFrame]:
-    """All tables as lazy DataFrames, in spec order."""
-    return {s.name: shred(docs, s, dictionaries, widen=widen_wide) for s in specs}

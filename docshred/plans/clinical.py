@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docshred.functions.json_fields import (array_len, has_key, is_object, key_fallback,
-                                            raw_array_len, zip_arrays)
+from docshred.functions.json_fields import array_len, has_key, key_fallback, raw_array_len, zip_arrays
 from docshred.plans.spec import TableSpec, WideSpec
 from docshred.sources.documents import CORRUPT
 
@@ -23,7 +22,10 @@ CONTACT_PHONE_COLUMN = "phoneNumer"       # spelled so in the output contract
 OASIS_TYPE, MDS_TYPE = "oasis", "mds"
 DISCHARGE_FIELDS = "disposition string, inception string, destination string, destinationDescription string"
 DESTINATION_FIELDS = ["id", "name", "careSetting"]
-ALT_IDS = "alternateIdentifiers array<struct<id:string,authority:string,facility:string,type:string>>"
+ALT_ID = "id string, authority string, facility string, type string"
+DESTINATION_OBJECTS = ", ".join(
+    f"{key} struct<id:string,name:string,careSetting:string,alternateIdentifiers:array<string>>"
+    for key in ("destination", "destinationDescription"))
 PAYOR_FIELDS = ("companyName string, policyNumber string, effectiveDate string, expiresDate string, "
                 "priority string, policy struct<payor:struct<name:struct<name:string>>,policyNumber:string>")
 # ---------------------------------------------------------------------------------------
@@ -43,29 +45,35 @@ def _discharge():
     return F.from_json(col("dischargeInfo"), DISCHARGE_FIELDS)
 
 
-def _destination():
-    """P7: destinationDescription when that key exists (null wins), else destination."""
-    return key_fallback("destinationDescription", _discharge(), col("dischargeInfo"), "destination")
+def _destination_object():
+    """The destination as an object, null for any other kind.  The kind is
+    decided by the parser, before quotes are gone: text that merely looks like
+    an object stays text.  destinationDescription counts when that key exists."""
+    return key_fallback("destinationDescription", F.from_json(col("dischargeInfo"), DESTINATION_OBJECTS),
+                        col("dischargeInfo"), "destination")
 
 
-# helper columns of the discharge table: parse dischargeInfo once, pick the
-# destination once, then parse the destination once
+# helper columns of the discharge tables: two parses of dischargeInfo (as text
+# and as objects), each once per document
 DISCHARGE_PREPARE = (
     ("_d", _discharge),
     ("_dest", lambda: key_fallback("destinationDescription", col("_d"), col("dischargeInfo"), "destination")),
-    ("_dest_obj", lambda: F.from_json(col("_dest"), ", ".join(f"{f} string" for f in DESTINATION_FIELDS))),
+    ("_dest_obj", _destination_object),
 )
+ALTERNATES_PREPARE = (("_dest_obj", _destination_object),)
 
 
 def _destination_part(i: int):
     field = DESTINATION_FIELDS[i]
-    return lambda: F.when(is_object(col("_dest")), col("_dest_obj")[field]).otherwise(col("_dest"))
+    return lambda: F.when(col("_dest_obj").isNotNull(), col("_dest_obj")[field]).otherwise(col("_dest"))
 
 
 def _destination_alternates():
-    dest = _destination()
-    alts = F.from_json(dest, ALT_IDS)["alternateIdentifiers"]
-    return F.when(is_object(dest), alts)
+    return F.transform(col("_dest_obj")["alternateIdentifiers"], lambda e: F.from_json(e, ALT_ID))
+
+
+def _destination_alternate_count():
+    return F.coalesce(F.size(_destination_object()["alternateIdentifiers"]), F.lit(0))
 
 
 # helper columns of the payors table: one parse and one key test per element
@@ -75,15 +83,6 @@ PAYOR_PREPARE = (
 )
 
 
-def _raw_destination_alternates():
-    """Source count from the destination text itself, so that an element the
-    typed parse rejects still counts (and shows up as a mismatch)."""
-    dest = _destination()
-    # array<string> accepts any element, so every source element counts
-    n = F.size(F.from_json(dest, "alternateIdentifiers array<string>")["alternateIdentifiers"])
-    return F.coalesce(F.when(is_object(dest), n), F.lit(0))
-
-
 def _payor():
     return col("_q")
 
@@ -180,7 +179,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
                  ("destination_name", _destination_part(1)),
                  ("destination_careSetting", _destination_part(2))),
             where=lambda: col("dischargeInfo").isNotNull(),
-            prepare=DISCHARGE_PREPARE,
+            document_prepare=DISCHARGE_PREPARE,
             expected=lambda: col("dischargeInfo").isNotNull().cast("int"),
             expected_raw=lambda: col("dischargeInfo").isNotNull().cast("int"),
             gates=("patient_id", "PAA_version", "disposition")),
@@ -188,8 +187,8 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             "dischargeDestinationIdentifiers", ("dischargeInfo",),
             k + (("destination_id", _e("id")), ("destination_authority", _e("authority")),
                  ("destination_facility", _e("facility")), ("destination_type", _e("type"))),
-            rows=_destination_alternates,
-            expected=_raw_destination_alternates, expected_raw=_raw_destination_alternates,
+            document_prepare=ALTERNATES_PREPARE, rows=_destination_alternates,
+            expected=_destination_alternate_count,
             gates=("patient_id", "PAA_version", "destination_id")),
         TableSpec(
             "diagnoses", ("diagnoses",),

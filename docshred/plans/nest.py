@@ -25,11 +25,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docshred.operators.shredder import items_by_dictionary, occurring_items
 from docshred.session import shared_dir
 from docshred.sources.dictionary import write_dictionary
-from docshred.sources.documents import read_documents
+from docshred.sources.documents import read_documents, well_formed
 
-CORPUS_VERSION = "v4"
+CORPUS_VERSION = "v5"
 
 # ---- scalar fields of one document, as SQL over the joined row -----------------------
 # {ts:x} → 'yyyy-MM-dd HH:mm:ss.SSS' text, {day:x} → 'yyyy-MM-dd' text, per dialect.
@@ -56,6 +57,7 @@ BASE_FIELDS: dict[str, str] = {
     "disposition": "o_orderpriority",
     "dest_id": "'N' || CAST(n_nationkey AS STRING)",
     "dest_name": "n_name",
+    "dest_text": "CASE WHEN l_returnflag = 'R' THEN '{' || (n_name) || '} unit' ELSE n_name END",
     "dest_care": "r_name",
     "alt_s_id": "'S' || CAST(l_suppkey AS STRING)",
     "alt_p_id": "'P' || CAST(l_partkey AS STRING)",
@@ -71,6 +73,7 @@ BASE_FIELDS: dict[str, str] = {
     "file2": "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '.xml'",
     "display1": "c_name || ' - ' || p_type || '.pdf'",
     "asmt1_id": "'A' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)",
+    "asmt3_id": "'C' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)",
     "asmt2_id": "'B' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)",
     "asmt1_type": "CASE l_returnflag WHEN 'R' THEN 'oasis' WHEN 'A' THEN 'mds' ELSE 'other' END",
     "k_orderkey": "CAST(l_orderkey AS STRING)",
@@ -137,6 +140,12 @@ def joined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # An explicit JSON null is written as this one-character string and replaced
 # by ``null`` in the finished text; an SQL NULL field is left out (missing key).
 NULL = "chr(1)"
+# which rows carry assessments without any item, and the item values of the others
+BARE = "l_linestatus = 'O' AND l_returnflag = 'N'"
+PAYLOAD_FIELDS = {
+    "L_ORDERKEY": "k_orderkey", "L_PARTKEY": "k_partkey", "L_SUPPKEY": "k_suppkey", "L_LINENUMBER": "l_linenumber",
+    "L_QUANTITY": "k_quantity", "L_RETURNFLAG": "l_returnflag",
+    "L_LINESTATUS": f"CASE WHEN l_linestatus = 'O' THEN {NULL} ELSE l_linestatus END", "L_SHIPDATE": "k_shipday"}
 ALT_KEYS = ("id", "authority", "facility", "type", "ty pe")
 _NULL_TEXT = '"\\\\u0001"'     # how to_json writes the sentinel, escaped for an SQL literal
 
@@ -183,7 +192,7 @@ def document_json() -> str:
     discharge = f"""CASE c_mktsegment
         WHEN 'AUTOMOBILE' THEN NULL
         WHEN 'BUILDING' THEN {_js(disposition='disposition', destination=dest_obj)}
-        WHEN 'FURNITURE' THEN {_js(disposition='disposition', destination='dest_name')}
+        WHEN 'FURNITURE' THEN {_js(disposition='disposition', destination='dest_text')}
         WHEN 'HOUSEHOLD' THEN {_js(disposition='disposition', inception='admit', destinationDescription=dest_obj,
                                    destination="'ignored-' || dest_name")}
         ELSE {_js(disposition=NULL, destinationDescription=NULL, destination=dest_obj)} END"""
@@ -225,18 +234,23 @@ def document_json() -> str:
     facility = f"""CASE n_regionkey WHEN 0 THEN NULL WHEN 1 THEN 'null'
         ELSE {_js(id='fac_id', name='n_name', careSetting='r_name', alternateIdentifiers=fac_alts)} END"""
     documents = f"""array({_st(filename="file1", displayFilename="display1", filetype="'pdf'",
-                               dataType="'nursingNotes'")},
+                               dataType="'wardReport'")},
         CASE WHEN l_returnflag = 'R' THEN {_st(filename="file2", displayFilename=none, filetype="'xml'",
                                                dataType="'labResults'")} END)"""
     documents = f"filter({documents}, x -> x IS NOT NULL)"
-    payload = _st(L_ORDERKEY="k_orderkey", L_PARTKEY="k_partkey", L_SUPPKEY="k_suppkey",
-                  L_LINENUMBER="l_linenumber", L_QUANTITY="k_quantity", L_RETURNFLAG="l_returnflag",
-                  L_LINESTATUS=f"CASE WHEN l_linestatus = 'O' THEN {NULL} ELSE l_linestatus END",
-                  L_SHIPDATE="k_shipday", EXTRA_NOTE="'outside the dictionary'")
+    payload = _st(**PAYLOAD_FIELDS, EXTRA_NOTE="'outside the dictionary'")
+    # payloads without any dictionary item, in three writings: {}, unknown keys
+    # only, and no payload at all; and a true duplicate of the second assessment
+    nothing = {k: f"nullif({v}, {v})" for k, v in PAYLOAD_FIELDS.items()}
+    empty, unknown = _st(**nothing, EXTRA_NOTE=none), _st(**nothing, EXTRA_NOTE="'outside the dictionary'")
     asmt = "named_struct('id', {}, 'type', {}, 'occurredAt', {}, 'assessmentData', {})"
     assessments = _arr(
         ("true", asmt.format("asmt1_id", "asmt1_type", "disch", payload)),
         ("l_linestatus = 'F'", asmt.format("asmt2_id", "'mds'", "admit", payload)),
+        ("l_linestatus = 'F' AND l_returnflag = 'A'", asmt.format("asmt2_id", "'mds'", "admit", payload)),
+        *((BARE, asmt.format("asmt3_id", "'mds'", "admit", p)) for p in (
+            empty, unknown, f"CASE WHEN l_linenumber < 0 THEN {empty} END")),
+        *((BARE, asmt.format("asmt3_id", "'oasis'", "admit", p)) for p in (empty, unknown)),
     )
     main = _js(version="ver", id="pid", admitDate="admit", dischargeDate="disch", demographics=demographics,
                diagnoses=diagnoses, documents=documents, assessments=assessments)
@@ -304,13 +318,29 @@ def _write_once(spark: SparkSession, final: str, write) -> None:
         fs.delete(src, True)                    # lost the race: drop our private copy
 
 
+_KEYS: dict[tuple[str, str], str] = {}
+
+
+def _corpus_key(spark: SparkSession, sf_dir: str) -> str:
+    """Names the corpus by what it is made of: the document rule, and name,
+    length and time of every input file (listed once per application)."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _KEYS:
+        paths = [f"{sf_dir}/{t}.parquet" for t in [*SOURCE_COLUMNS, "conversations"]]
+        files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime").collect()
+        parts = [CORPUS_VERSION, document_json(), repr(sorted(BASE_FIELDS.items())),
+                 *sorted(f"{r[0]} {r[1]} {r[2]}" for r in files)]
+        _KEYS[known] = hashlib.sha1("\n".join(parts).encode()).hexdigest()[:16]
+    return _KEYS[known]
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write (once) the documents and the two dictionaries for ``sf_dir``.
 
     Returns paths: ``documents`` and ``conversations`` (JSON lines), ``oasis``
     and ``mds`` (dictionary CSV), and where ``staged`` Parquet goes.
     Reused while the ``_SUCCESS`` markers exist."""
-    key = hashlib.sha1(f"{CORPUS_VERSION}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
+    key = _corpus_key(spark, sf_dir.rstrip("/"))
     root = f"{shared_dir(spark)}/docshred-corpus/{key}"
     paths = {"documents": f"{root}/documents", "conversations": f"{root}/conversations",
              "oasis": f"{root}/dict_oasis", "mds": f"{root}/dict_mds", "staged": f"{root}/staged"}
@@ -331,3 +361,12 @@ def staged(spark: SparkSession, sf_dir: str) -> str:
 
 def stage(spark: SparkSession, json_path: str, out: str) -> None:
     read_documents(spark, json_path).write.mode("overwrite").parquet(out)
+
+
+def staged_items(spark: SparkSession, sf_dir: str, specs, dictionaries) -> dict[str, list[str]]:
+    """Dictionary items that occur in the staged documents, found once and
+    stored beside them (at most one row per dictionary name)."""
+    path = staged(spark, sf_dir)
+    _write_once(spark, f"{path}-items", lambda p: occurring_items(
+        well_formed(spark.read.parquet(path)), specs, dictionaries).coalesce(1).write.parquet(p))
+    return items_by_dictionary(spark.read.parquet(f"{path}-items"))

@@ -43,6 +43,14 @@ def _payload(kind: str, narrow: bool) -> str:
     return ", ".join(items)
 
 
+BARE = "l_linestatus = 'O' AND l_returnflag = 'N'"
+
+
+def _no_items(kind: str, narrow: bool) -> str:
+    names = nest.PAYLOAD_ITEMS if narrow else nest.dictionary_items(kind)
+    return ", ".join(f'{V} AS "{n}"' for n in names)
+
+
 def table_sql(name: str, narrow: bool = False) -> str:
     """Body (no WITH) of one of the twelve tables, before dedup.  ``narrow``
     leaves out the dictionary columns no payload carries (always null)."""
@@ -70,9 +78,9 @@ UNION ALL SELECT {KEYS}, {V}, emerg2 FROM base WHERE {fs} = 'RO'"""
         return f"""SELECT {KEYS},
   CASE WHEN {seg} = 'HOUSEHOLD' THEN admit END AS inception,
   CASE WHEN {seg} = 'MACHINERY' THEN NULL ELSE disposition END AS disposition,
-  CASE {seg} WHEN 'BUILDING' THEN dest_id WHEN 'FURNITURE' THEN dest_name WHEN 'HOUSEHOLD' THEN dest_id END AS destination_id,
-  CASE {seg} WHEN 'BUILDING' THEN dest_name WHEN 'FURNITURE' THEN dest_name WHEN 'HOUSEHOLD' THEN dest_name END AS destination_name,
-  CASE {seg} WHEN 'BUILDING' THEN dest_care WHEN 'FURNITURE' THEN dest_name WHEN 'HOUSEHOLD' THEN dest_care END AS "destination_careSetting"
+  CASE {seg} WHEN 'BUILDING' THEN dest_id WHEN 'FURNITURE' THEN dest_text WHEN 'HOUSEHOLD' THEN dest_id END AS destination_id,
+  CASE {seg} WHEN 'BUILDING' THEN dest_name WHEN 'FURNITURE' THEN dest_text WHEN 'HOUSEHOLD' THEN dest_name END AS destination_name,
+  CASE {seg} WHEN 'BUILDING' THEN dest_care WHEN 'FURNITURE' THEN dest_text WHEN 'HOUSEHOLD' THEN dest_care END AS "destination_careSetting"
 FROM base WHERE {seg} <> 'AUTOMOBILE'"""
     if name == "dischargeDestinationIdentifiers":
         obj = f"{seg} IN ('BUILDING', 'HOUSEHOLD') AND l_returnflag <> 'N'"
@@ -104,15 +112,18 @@ UNION ALL SELECT {KEYS}, alt_c_id, 'tin', s_name, 'tin' FROM base
   WHERE {fac} AND l_returnflag <> 'A' AND l_linestatus = 'O'"""
     if name == "documents":
         return f"""SELECT {KEYS}, file1 AS "fileName", display1 AS "displayFilename", 'pdf' AS filetype,
-  'nursingNotes' AS "dataType" FROM base
+  'wardReport' AS "dataType" FROM base
 UNION ALL SELECT {KEYS}, file2, {V}, 'xml', 'labResults' FROM base WHERE l_returnflag = 'R'"""
     if name == "oasis":
         return f"""SELECT {KEYS}, asmt1_id AS oasis_id, disch AS "oasis_occurredAt", {_payload('oasis', narrow)}
-FROM base WHERE l_returnflag = 'R'"""
+FROM base WHERE l_returnflag = 'R'
+UNION ALL SELECT {KEYS}, asmt3_id, admit, {_no_items('oasis', narrow)} FROM base, range(2) WHERE {BARE}"""
     if name == "mds":
         p = _payload("mds", narrow)
         return f"""SELECT {KEYS}, asmt1_id AS mds_id, disch AS "mds_occurredAt", {p} FROM base WHERE l_returnflag = 'A'
-UNION ALL SELECT {KEYS}, asmt2_id, admit, {p} FROM base WHERE l_linestatus = 'F'"""
+UNION ALL SELECT {KEYS}, asmt2_id, admit, {p} FROM base WHERE l_linestatus = 'F'
+UNION ALL SELECT {KEYS}, asmt2_id, admit, {p} FROM base WHERE l_linestatus = 'F' AND l_returnflag = 'A'
+UNION ALL SELECT {KEYS}, asmt3_id, admit, {_no_items('mds', narrow)} FROM base, range(3) WHERE {BARE}"""
     raise KeyError(name)
 
 
@@ -173,7 +184,11 @@ FROM conversations WHERE role = '{USER_ROLE}'"""
   CASE WHEN rc.n = 0 THEN 'NOT_APPLICABLE'
        WHEN bool_or(nc.gates AND nc.null_count > 0) OVER (PARTITION BY nc."table") THEN 'FAIL'
        ELSE 'PASS' END AS completeness_status,
-  printf('Row count for %s table matched: %d', nc."table", rc.n) AS message
+  printf('Row count for %s table matched: %d', nc."table", rc.n) AS message,
+  CASE WHEN rc.n = 0 THEN printf('Completeness of %s not applicable: no rows', nc."table")
+       WHEN nc.null_count = 0 THEN printf('Completeness of %s.%s passed', nc."table", nc."column")
+       ELSE printf('Null values in %s.%s: %d', nc."table", nc."column", nc.null_count) END AS completeness_message,
+  CAST(0 AS BIGINT) AS rejected_lines
 FROM nc JOIN rc ON nc."table" = rc."table\""""
     out["pipeline_summary"] = _with(*_tables_cte()) + "\nUNION ALL ".join(
         f"""SELECT '{n}' AS "table", (SELECT CAST(count(*) AS BIGINT) FROM t_{n}) AS rows_before_dedup,

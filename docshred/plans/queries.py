@@ -13,13 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docshred.operators.combine import dedup_counts_all, drop_complete_duplicates, union_tables
+from docshred.operators.combine import drop_complete_duplicates, union_tables
 from docshred.operators.quality import (actual_metrics, expected_counts, quality_report,
                                         row_count_checks)
 from docshred.operators.shredder import keys_only, project_dictionary, shred
 from docshred.plans import nest
 from docshred.plans.clinical import clinical_specs, spec_by_name
-from docshred.plans.pipeline import resolve_dictionaries
+from docshred.plans.pipeline import assemble, resolve_dictionaries, summary
 from docshred.plans.spec import TableSpec, WideSpec
 from docshred.sources.documents import read_documents, well_formed
 
@@ -43,7 +43,7 @@ def _table(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = spec_by_name(name)
         dicts = _dicts(spark, sf_dir) if spec.wide else None
-        return shred(_staged_docs(spark, sf_dir), spec, dicts)
+        return shred(_staged_docs(spark, sf_dir), spec, dicts, items=_items(spark, sf_dir) if spec.wide else None)
     q.__name__ = f"table_{name}"
     return q
 
@@ -55,15 +55,12 @@ def _staged_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return well_formed(spark.read.parquet(nest.staged(spark, sf_dir)))
 
 
-def _all_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame], list[TableSpec]]:
-    specs = list(clinical_specs())
-    docs = _staged_docs(spark, sf_dir)
-    dicts = _dicts(spark, sf_dir)
-    return docs, {s.name: shred(docs, s, dicts, widen=False) for s in specs}, specs
+def _items(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+    return nest.staged_items(spark, sf_dir, clinical_specs(), _dicts(spark, sf_dir))
 
 
 def q_scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _docs(spark, sf_dir, ["dischargeInfo", "facility"])
+    docs = well_formed(_docs(spark, sf_dir, ["dischargeInfo", "facility"]))
     return docs.groupBy(F.col("version").alias("PAA_version")).agg(
         F.count(F.lit(1)).cast("long").alias("n_documents"),
         F.count_if(F.col("dischargeInfo").isNull()).cast("long").alias("n_without_discharge"),
@@ -83,7 +80,8 @@ def q_drop_complete_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mds_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    narrow = shred(_staged_docs(spark, sf_dir), spec_by_name("mds"), _dicts(spark, sf_dir), widen=False)
+    narrow = shred(_staged_docs(spark, sf_dir), spec_by_name("mds"), _dicts(spark, sf_dir), widen=False,
+                   items=_items(spark, sf_dir))
     return drop_complete_duplicates(narrow)
 
 
@@ -135,8 +133,9 @@ def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, tables, specs = _all_tables(spark, sf_dir)
-    return dedup_counts_all({s.name: tables[s.name] for s in specs})
+    """The whole job: every table, the checks, the removal of duplicates."""
+    docs = spark.read.parquet(nest.staged(spark, sf_dir))
+    return summary(assemble(docs, _dicts(spark, sf_dir), items=_items(spark, sf_dir)))
 
 
 TABLE_QUERIES = {

@@ -9,7 +9,7 @@ built by callables so specs can be declared before a session exists.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 
@@ -35,6 +35,8 @@ class TableSpec:
     where: ColumnFn | None = None                 # document-level filter, before explode
     element_where: ColumnFn | None = None         # element-level filter, after explode
     wide: WideSpec | None = None
+    # helper columns computed once per document, before the explode
+    document_prepare: tuple[tuple[str, ColumnFn], ...] = ()
     # helper columns computed once per row before ``columns`` (e.g. one parse
     # of a JSON text that several output columns read)
     prepare: tuple[tuple[str, ColumnFn], ...] = ()
@@ -43,7 +45,6 @@ class TableSpec:
     expected_raw: ColumnFn | None = None          # same, from the raw line of a partially failed record
     gates: tuple[str, ...] = ()                   # null in any → completeness FAIL
     reported: tuple[str, ...] = ()                # null counts shown, never failing
-    key_columns: tuple[str, ...] = field(default=("patient_id", "PAA_version"))
 
     @property
     def column_names(self) -> list[str]:

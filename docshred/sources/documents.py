@@ -9,7 +9,7 @@ the shredding functions decide per row what the text holds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -59,9 +59,39 @@ DOCUMENT_SCHEMA = StructType(
     ])
 
 
+def _elements_as_text(kind):
+    """The type with every array read as ``array<string>``: Spark then keeps each
+    element's raw text, so one element that does not fit cannot null its array."""
+    if isinstance(kind, ArrayType):
+        return ArrayType(StringType())
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _elements_as_text(f.dataType)) for f in kind])
+    return kind
+
+
+def _typed(value: Column, kind, mode: str) -> Column:
+    """A value read with ``_elements_as_text`` in its own type: every array
+    element is parsed by itself (a bad one becomes a row of nulls, or raises
+    under FAILFAST)."""
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType):
+        return F.transform(value, lambda e: F.from_json(e, kind.elementType, {"mode": mode}))
+    if isinstance(kind, StructType):
+        for f in kind:
+            if isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, StructType):
+                value = value.withField(f.name, _typed(value[f.name], f.dataType, mode))
+    return value
+
+
+def typed_documents(docs: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
+    """Documents read with ``document_schema`` with their array elements parsed."""
+    known = {f.name: f.dataType for f in DOCUMENT_SCHEMA}
+    return docs.select(*[_typed(F.col(c), known[c], mode).alias(c) if c in known else F.col(c) for c in docs.columns])
+
+
 def document_schema(sections: list[str] | None = None, corrupt: bool = False) -> StructType:
-    """The read schema, optionally pruned to ``id``, ``version`` and ``sections``."""
-    fields = DOCUMENT_SCHEMA.fields
+    """The read schema (array elements as text, see ``typed_documents``),
+    optionally pruned to ``id``, ``version`` and ``sections``."""
+    fields = _elements_as_text(DOCUMENT_SCHEMA).fields
     if sections is not None:
         keep = {"id", "version", *sections}
         fields = [f for f in fields if f.name in keep]
@@ -74,10 +104,10 @@ def read_documents(spark: SparkSession, path: str | list[str], mode: str = "PERM
                    sections: list[str] | None = None) -> DataFrame:
     """Scan JSON-lines documents with the explicit schema.
 
-    ``mode="FAILFAST"`` raises on a malformed line or on an element that does not
-    fit its typed array, as a strict loader would.  ``mode="PERMISSIVE"`` keeps
-    the full line text of such records in ``_corrupt_record`` so that data
-    quality can count source elements from the raw text and report the loss.
+    ``mode="FAILFAST"`` raises on a malformed line or on an array element that
+    does not fit its type, as a strict loader would.  ``mode="PERMISSIVE"`` keeps
+    a malformed line's text in ``_corrupt_record``; array elements are parsed one
+    by one, so a bad element is a row of nulls and its neighbours are kept.
     Blank lines are skipped by the JSON source.  A missing path raises
     ``PATH_NOT_FOUND`` at analysis time.
     """
@@ -88,25 +118,24 @@ def read_documents(spark: SparkSession, path: str | list[str], mode: str = "PERM
     reader = spark.read.schema(schema).option("mode", mode)
     if mode == "PERMISSIVE":
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.json(path)
+    return typed_documents(reader.json(path), mode)
 
 
 def parse_documents(lines: DataFrame, text_col: str = "value",
                     sections: list[str] | None = None) -> DataFrame:
     """Same parse as ``read_documents`` over a column of JSON text (e.g. a stream
     or a table of raw lines).  Blank lines are dropped like the file source does."""
-    schema = document_schema(sections, corrupt=False)
+    schema = document_schema(sections, corrupt=True)
     raw = F.col(text_col)
-    parsed = F.from_json(raw, schema, {"mode": "PERMISSIVE"})
-    rows = lines.where(F.trim(raw) != "").select(parsed.alias("d"), raw.alias("_line"))
-    bad = F.when(F.col("d").isNull() | F.expr("json_object_keys(_line) IS NULL"), F.col("_line"))
-    return rows.select("d.*", bad.alias(CORRUPT))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = lines.where(F.trim(raw) != "").select(F.from_json(raw, schema, options).alias("d"))
+    return typed_documents(rows.select("d.*"))
 
 
 # A line that is not a JSON object has every field null, ``id`` included.  The
 # ``id`` test changes nothing in meaning but makes the scan read a real column:
 # Spark refuses raw JSON queries that read ``_corrupt_record`` alone.
-def _not_object() -> F.Column:
+def not_object() -> F.Column:
     return (F.col(CORRUPT).isNotNull() & F.expr(f"json_object_keys({CORRUPT}) IS NULL")
             & F.col("id").isNull())
 
@@ -115,14 +144,14 @@ def malformed(docs: DataFrame) -> DataFrame:
     """Lines that are not a JSON object at all (PERMISSIVE scans only)."""
     if CORRUPT not in docs.columns:
         return docs.limit(0)
-    return docs.where(_not_object())
+    return docs.where(not_object())
 
 
 def well_formed(docs: DataFrame) -> DataFrame:
     """Drop lines that are not JSON objects; keep partially typed records."""
     if CORRUPT not in docs.columns:
         return docs
-    return docs.where(~_not_object())
+    return docs.where(~not_object())
 
 
 def stage_documents(docs: DataFrame, path: str) -> DataFrame:

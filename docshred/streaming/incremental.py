@@ -17,17 +17,18 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docshred.operators.combine import drop_complete_duplicates
 from docshred.operators.quality import quality_report
-from docshred.operators.shredder import shred
+from docshred.operators.shredder import keys_only, shred
 from docshred.plans.clinical import clinical_specs
 from docshred.plans.pipeline import resolve_dictionaries
 from docshred.session import shared_dir
-from docshred.sources.documents import CORRUPT, document_schema, malformed, well_formed
+from docshred.sources.documents import CORRUPT, document_schema, malformed, typed_documents, well_formed
 
 BATCH = "_batch"
 
@@ -38,7 +39,7 @@ def stream_documents(spark: SparkSession, input_dir: str, max_files_per_trigger:
          .option("columnNameOfCorruptRecord", CORRUPT))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(input_dir)
+    return typed_documents(r.json(input_dir))
 
 
 def _write(df: DataFrame, path: str, batch_id: int) -> None:
@@ -79,7 +80,24 @@ def start(spark: SparkSession, input_dir: str, out_root: str, dictionaries: Mapp
     return w.start()
 
 
-def compact(spark: SparkSession, out_root: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-    """Accumulated tables with duplicates removed across all batches."""
-    names = names or [s.name for s in clinical_specs()]
-    return {n: drop_complete_duplicates(spark.read.parquet(f"{out_root}/{n}").drop(BATCH)) for n in names}
+def compact(spark: SparkSession, out_root: str, names: list[str] | None = None,
+            dictionaries: Mapping[str, object] | None = None) -> dict[str, DataFrame]:
+    """Accumulated tables with duplicates removed across all batches.
+
+    A table that no batch had rows for has no data file; it comes back empty
+    with its own columns (a wide one with its fixed columns, and the items too
+    when ``dictionaries`` are given)."""
+    specs = {s.name: s for s in clinical_specs()}
+    dicts = resolve_dictionaries(spark, dictionaries or {})
+    out = {}
+    for n in names or list(specs):
+        try:
+            rows = spark.read.parquet(f"{out_root}/{n}").drop(BATCH)
+        except AnalysisException as e:
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            none = typed_documents(spark.createDataFrame([], document_schema()))
+            spec = specs[n]
+            rows = shred(none, spec, dicts) if spec.wide is None or spec.wide.dictionary in dicts else keys_only(none, spec)
+        out[n] = drop_complete_duplicates(rows)
+    return out

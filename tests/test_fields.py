@@ -1,9 +1,8 @@
-"""Column helpers: key presence, fallbacks, union types, parallel arrays (P6-P9, E9, F5, F6)."""
+"""Column helpers: key presence, fallbacks, parallel arrays (P6, P7, P9, E9)."""
 
 from pyspark.sql import functions as F
 
-from docshred.functions import (array_len, by_shape, either_nonempty, has_key, is_object,
-                                key_fallback, raw_array_len, struct_or_scalar, zip_arrays)
+from docshred.functions import array_len, has_key, key_fallback, raw_array_len, zip_arrays
 
 
 def _one(spark, text):
@@ -16,11 +15,6 @@ def test_has_key_sees_present_null(spark):
     assert got == [True, False, False, False, False]
 
 
-def test_is_object(spark):
-    df = spark.createDataFrame([(' {"a":1}',), ('"x"',), ("5",), (None,), ("[]",)], "raw string")
-    assert [r[0] for r in df.select(is_object("raw")).collect()] == [True, False, False, False, False]
-
-
 def test_key_fallback_present_null_wins(spark):
     schema = "destination string, destinationDescription string"
     df = spark.createDataFrame([
@@ -33,23 +27,6 @@ def test_key_fallback_present_null_wins(spark):
     assert got == [None, "D", "X", None]
 
 
-def test_struct_or_scalar(spark):
-    df = spark.createDataFrame([('{"id":"1","name":"n"}',), ("plain",), (None,), ("7",)], "t string")
-    out = df.select(*[c.alias(f) for c, f in zip(struct_or_scalar("t", ["id", "name", "careSetting"]),
-                                                  ["id", "name", "careSetting"])]).collect()
-    assert [tuple(r) for r in out] == [("1", "n", None), ("plain",) * 3, (None,) * 3, ("7",) * 3]
-
-
-def test_by_shape_two_payor_shapes(spark):
-    df = spark.createDataFrame([
-        ('{"policy":{"payor":{"name":{"name":"A"}}},"companyName":"ignored"}',),
-        ('{"companyName":"B"}',),
-        ('{"policy":null,"companyName":"C"}',)], "p string")
-    q = F.from_json("p", "companyName string, policy struct<payor:struct<name:struct<name:string>>>")
-    got = [r[0] for r in df.select(by_shape("p", "policy", q["policy"]["payor"]["name"]["name"], q["companyName"])).collect()]
-    assert got == ["A", "B", None]
-
-
 def test_zip_pads_shorter_and_broadcasts_missing(spark):
     df = spark.createDataFrame([
         (["p1", "p2"], ["e1"]), (None, ["e1", "e2"]), (["p1"], None), (None, None), ([], [])],
@@ -63,6 +40,5 @@ def test_zip_pads_shorter_and_broadcasts_missing(spark):
 def test_lengths(spark):
     df = spark.createDataFrame([(["x", "y"], None, '{"a":[1,{"b":[2,3]},"s"]}')],
                                "a array<string>, b array<string>, raw string")
-    r = df.select(array_len("a"), array_len("b"), raw_array_len("raw", "$.a"), raw_array_len("raw", "$.zz"),
-                  either_nonempty("a", "b"), either_nonempty("b", "b")).first()
-    assert tuple(r) == (2, 0, 3, 0, True, False)
+    r = df.select(array_len("a"), array_len("b"), raw_array_len("raw", "$.a"), raw_array_len("raw", "$.zz")).first()
+    assert tuple(r) == (2, 0, 3, 0)

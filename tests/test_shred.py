@@ -15,20 +15,20 @@ DICTS = {"oasis": ["M0010", "M0020", "M0030", "M0040", "M0050"], "mds": ["A0100"
 HAPPY = {
     "version": "2.7", "id": "p1", "admitDate": "2020-01-01 10:00:00.000", "dischargeDate": "2020-01-09 10:00:00.000",
     "demographics": {
-        "id": "d1", "name": {"first": "ANN", "last": "LEE", "middle": "Q", "title": None, "suffix": None},
+        "id": "d1", "name": {"first": "MIRA", "last": "TOLL", "middle": "Q", "title": None, "suffix": None},
         "dob": "1940-02-02", "sex": "female", "expirationIndicator": False, "patientClass": "inpatient",
-        "identifiers": [{"id": "X1", "authority": "cms", "type": "mc"},
-                        {"id": "X2", "authority": "fac", "type": "mrn", "facility": "F"}]},
+        "identifiers": [{"id": "X1", "authority": "reg", "type": "card"},
+                        {"id": "X2", "authority": "site", "type": "chart", "facility": "F"}]},
     "dischargeInfo": {"disposition": "home", "destination": {
         "id": "h1", "name": "Home", "careSetting": "hha",
         "alternateIdentifiers": [{"id": "n1", "authority": "npi", "type": "npi"}]}},
-    "diagnoses": [{"method": "icd10", "code": "I50.9", "description": "HF", "priority": "primary", "type": "admitting"},
-                  {"method": "icd10", "code": "D64.1", "description": "anemia", "priority": "primary", "type": "working"}],
+    "diagnoses": [{"method": "icd10", "code": "Q11.1", "description": "first", "priority": "primary", "type": "admitting"},
+                  {"method": "icd10", "code": "Q22.2", "description": "second", "priority": "primary", "type": "working"}],
     "payors": [{"companyName": "Medicare", "policyNumber": "9", "effectiveDate": "2019-01-01",
                 "expiresDate": None, "priority": "primary"}],
     "facility": {"id": "f1", "name": "General", "careSetting": "acc",
                  "alternateIdentifiers": [{"id": "58", "authority": "npi", "facility": None, "ty pe": "npi"}]},
-    "documents": [{"filename": "a.pdf", "displayFilename": "A", "filetype": "pdf", "dataType": "notes"}],
+    "documents": [{"filename": "a.pdf", "displayFilename": "A", "filetype": "pdf", "dataType": "report"}],
     "assessments": [{"id": "as1", "type": "oasis", "occurredAt": "2020-01-02",
                      "assessmentData": {"M0010": "1", "M0020": "2"}}],
 }
@@ -50,8 +50,8 @@ def test_happy_path_all_tables(spark, write_lines):
                       "facilityIdentifiers": 1, "documents": 1, "oasis": 1, "mds": 0}
     pi = shred(docs, spec_by_name("patientInfo")).first().asDict()
     assert pi == {"patient_id": "p1", "PAA_version": "2.7", "admitDate": "2020-01-01 10:00:00.000",
-                  "dischargeDate": "2020-01-09 10:00:00.000", "demographicID": "d1", "firstName": "ANN",
-                  "lastName": "LEE", "middleInitial": "Q", "title": None, "suffix": None, "dob": "1940-02-02",
+                  "dischargeDate": "2020-01-09 10:00:00.000", "demographicID": "d1", "firstName": "MIRA",
+                  "lastName": "TOLL", "middleInitial": "Q", "title": None, "suffix": None, "dob": "1940-02-02",
                   "sex": "female", "expirationIndicator": False, "patientClass": "inpatient"}
     # the misspelled "ty pe" key leaves the type null
     assert rows(shred(docs, spec_by_name("facilityIdentifiers"))) == [("p1", "2.7", "58", "npi", None, None)]
@@ -90,6 +90,18 @@ def test_missing_or_empty_name_keeps_row(spark, write_lines):
     assert got == [("a", None, None), ("b", None, None)]
 
 
+def test_destination_text_that_looks_like_an_object_stays_text(spark, write_lines):
+    recs = [{"id": str(i), "version": "1", "dischargeInfo": d} for i, d in enumerate([
+        {"destination": "{Home} unit"}, {"destination": '{"id": "quoted"}'}, {"destination": {}}, {"destination": 7},
+        {"destinationDescription": "{x}", "destination": {"id": "no"}}, {"destinationDescription": None, "destination": "no"},
+        {"destination": {"id": "i", "name": 5, "alternateIdentifiers": [{"id": "a"}, "bad"]}}])]
+    got = rows(_table(spark, write_lines, recs, "discharge"), "patient_id", "destination_id", "destination_name")
+    assert got == [("0", "{Home} unit", "{Home} unit"), ("1", '{"id": "quoted"}', '{"id": "quoted"}'), ("2", None, None),
+                   ("3", "7", "7"), ("4", "{x}", "{x}"), ("5", None, None), ("6", "i", "5")]
+    alts = rows(_table(spark, write_lines, recs, "dischargeDestinationIdentifiers"), "patient_id", "destination_id")
+    assert alts == [("6", "a"), ("6", None)]
+
+
 def test_destination_scalar_fills_three_columns(spark, write_lines):
     rec = {"id": "s", "version": "1", "dischargeInfo": {"disposition": "snf", "destination": "Sunrise SNF"}}
     t = _table(spark, write_lines, [rec], "discharge")
