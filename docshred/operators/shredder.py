@@ -19,10 +19,11 @@ from docshred.plans.spec import TableSpec
 from docshred.sources.dictionary import dictionary_schema
 
 WIDE_STRUCT = "_items"
+POSITION = "_pos"
 ITEMS_META = "docshred.dictionary"      # column metadata: all dictionary names, in order
 
 
-def _rows(docs: DataFrame, spec: TableSpec) -> DataFrame:
+def _rows(docs: DataFrame, spec: TableSpec, positions: bool = False) -> DataFrame:
     df = docs
     if spec.where is not None:
         df = df.where(spec.where())
@@ -30,7 +31,8 @@ def _rows(docs: DataFrame, spec: TableSpec) -> DataFrame:
         df = df.select("*", *[fn().alias(name) for name, fn in spec.document_prepare])
     if spec.rows is not None:
         # non-outer explode: a null or empty array yields no rows
-        df = df.select("*", F.explode(spec.rows()).alias("e"))
+        generator = F.posexplode(spec.rows()).alias(POSITION, "e") if positions else F.explode(spec.rows()).alias("e")
+        df = df.select("*", generator)
         if spec.element_where is not None:
             df = df.where(spec.element_where())
     if spec.prepare:
@@ -95,7 +97,8 @@ def _q(name: str) -> str:
 
 def shred(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, object] | None = None,
           widen: bool = True, discover_items: bool = False,
-          items: Mapping[str, list[str]] | None = None) -> DataFrame:
+          items: Mapping[str, list[str]] | None = None, positions: bool = False,
+          rename_fixes: bool = False) -> DataFrame:
     """Build one table.  For a wide spec the dictionary items follow the fixed
     columns; with ``widen=False`` they stay packed in one struct column
     ``_items`` (cheaper to deduplicate, see ``combine.drop_complete_duplicates``).
@@ -103,9 +106,15 @@ def shred(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, object] |
     The frame is lazy: no job runs.  ``items`` (dictionary name → item names that
     occur, e.g. found while staging) narrows the parse to those names;
     ``discover_items`` finds them here, with one aggregate job over the payloads.
-    The result is the same either way."""
-    df = _rows(docs, spec)
-    fixed = [fn().alias(name) for name, fn in spec.columns]
+    The result is the same either way.
+
+    ``positions`` adds ``_pos``, the element's place in its array (0 for a table
+    with one row per document), ``rename_fixes`` corrects misspelt column names."""
+    df = _rows(docs, spec, positions)
+    fixes = dict(spec.renames) if rename_fixes else {}
+    fixed = [fn().alias(fixes.get(name, name)) for name, fn in spec.columns]
+    if positions:
+        fixed.append(F.col(POSITION) if spec.rows is not None else F.lit(0).alias(POSITION))
     if spec.wide is None:
         return df.select(*fixed)
     names = wide_schema(spec, dictionaries or {}).names

@@ -165,7 +165,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             "Contacts", ("demographics",),
             k + ((CONTACT_PHONE_COLUMN, _e(CONTACT_PHONE_COLUMN)),
                  ("emergencyContacts", _e("emergencyContacts"))),
-            rows=_contacts,
+            rows=_contacts, renames=((CONTACT_PHONE_COLUMN, "phoneNumber"),),
             # one row per position of the longer array (the zip pads the other)
             expected=lambda: F.greatest(array_len("demographics.phoneNumbers"),
                                         array_len("demographics.emergencyContacts")),

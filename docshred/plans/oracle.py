@@ -171,6 +171,13 @@ FROM conversations WHERE role = '{USER_ROLE}'"""
     ids = ["demographicIdentifiers", "dischargeDestinationIdentifiers", "facilityIdentifiers"]
     out["union_tables"] = _with() + "\nUNION ALL BY NAME ".join(
         f"SELECT *, '{n}' AS source_table FROM ({table_sql(n)})" for n in ids)
+    out["payor_positions"] = _with() + f"""SELECT {KEYS}, c_mktsegment AS "companyName", policy1 AS "policyNumber",
+  admit AS "effectiveDate", {V} AS "expiresDate", 'primary' AS priority, CAST(0 AS INTEGER) AS _pos FROM base
+UNION ALL SELECT {KEYS}, n_name, policy2, disch, {V}, 'secondary', CAST(1 AS INTEGER) FROM base WHERE l_linestatus = 'O'
+UNION ALL SELECT {KEYS}, {V}, {V}, {V}, {V}, {V}, CAST(CASE WHEN l_linestatus = 'O' THEN 2 ELSE 1 END AS INTEGER)
+FROM base WHERE l_returnflag = 'R'"""
+    out["written_tables"] = _with() + "\nUNION ALL BY NAME ".join(
+        f"SELECT *, '{n}' AS source_table FROM ({table_sql(n)})" for n in ("facility", "facilityIdentifiers"))
     out["drop_complete_duplicates"] = _with() + f"SELECT DISTINCT * FROM ({table_sql('diagnoses')})"
     out["mds_dedup"] = _with() + f"SELECT DISTINCT * FROM ({table_sql('mds')})"
     out["dq_expected_counts"] = _with(*_tables_cte()) + \

@@ -21,7 +21,9 @@ from docshred.plans import nest
 from docshred.plans.clinical import clinical_specs, spec_by_name
 from docshred.plans.pipeline import assemble, resolve_dictionaries, summary
 from docshred.plans.spec import TableSpec, WideSpec
+from docshred.session import scratch_path
 from docshred.sources.documents import read_documents, well_formed
+from docshred.sources.sinks import read_tables, write_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,7 +74,21 @@ def q_union_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _staged_docs(spark, sf_dir)
     parts = [shred(docs, spec_by_name(n)).withColumn("source_table", F.lit(n))
              for n in ("demographicIdentifiers", "dischargeDestinationIdentifiers", "facilityIdentifiers")]
-    return union_tables(*parts)
+    return union_tables(*parts, None)       # an absent table reads as no rows
+
+
+def q_payor_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payors with their place in the document's array."""
+    return shred(_staged_docs(spark, sf_dir), spec_by_name("payors"), positions=True)
+
+
+def q_written_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facility tables written to the shared folder and read back."""
+    docs = _staged_docs(spark, sf_dir)
+    names = ("facility", "facilityIdentifiers")
+    paths = write_tables({n: shred(docs, spec_by_name(n)) for n in names}, scratch_path(spark, "docshred-written"))
+    back = read_tables(spark, paths)
+    return union_tables(*(back[n].withColumn("source_table", F.lit(n)) for n in names))
 
 
 def q_drop_complete_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,6 +177,8 @@ def queries() -> dict[str, Query]:
         "event_props_wide": q_event_props_wide,
         "conversation_roles": q_conversation_roles,
         "union_tables": q_union_tables,
+        "payor_positions": q_payor_positions,
+        "written_tables": q_written_tables,
         "drop_complete_duplicates": q_drop_complete_duplicates,
         "mds_dedup": q_mds_dedup,
         "dq_expected_counts": q_dq_expected_counts,

@@ -40,6 +40,8 @@ class TableSpec:
     # helper columns computed once per row before ``columns`` (e.g. one parse
     # of a JSON text that several output columns read)
     prepare: tuple[tuple[str, ColumnFn], ...] = ()
+    # corrected spellings of output columns, used on request only
+    renames: tuple[tuple[str, str], ...] = ()
     # data quality
     expected: ColumnFn | None = None              # per-document source count (typed columns)
     expected_raw: ColumnFn | None = None          # same, from the raw line of a partially failed record

@@ -214,3 +214,13 @@ def test_payload_keys_are_case_sensitive(spark, write_lines):
     rec = {"id": "k", "version": "1", "assessments": [{"id": "o", "type": "oasis",
                                                        "assessmentData": {"m0010": "lower", "M0020": "upper"}}]}
     assert rows(_table(spark, write_lines, [rec], "oasis"), "M0010", "M0020") == [(None, "upper")]
+
+
+def test_positions_and_corrected_names_on_request(spark, write_lines):
+    rec = {"id": "p", "version": "1", "payors": [{"companyName": "b"}, {"companyName": "a"}],
+           "demographics": {"phoneNumbers": ["1", "2"]}}
+    docs = _docs(spark, write_lines, [rec])
+    assert rows(shred(docs, spec_by_name("payors"), positions=True), "_pos", "companyName") == [(0, "b"), (1, "a")]
+    assert rows(shred(docs, spec_by_name("patientInfo"), positions=True), "_pos") == [(0,)]
+    assert rows(shred(docs, spec_by_name("Contacts"), rename_fixes=True), "phoneNumber") == [("1",), ("2",)]
+    assert "phoneNumer" in shred(docs, spec_by_name("Contacts")).columns
