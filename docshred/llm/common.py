@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docshred.session import scratch_path
+
 SLICE_BYTES = 4 << 20
 BROADCAST_KEYS = 10_000
 
@@ -53,3 +55,11 @@ def bounded_sample(df: DataFrame, size: Column, bound: int, key: Column, by: Col
     if totals.count() <= BROADCAST_KEYS:  # else Spark shuffles by key and splits hot ones
         totals = F.broadcast(totals)
     return df.join(totals, by == F.col("_by")).where(seed < F.col("_share")).drop("_by", "_share")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage, survives executors."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -5,15 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docshred.session import scratch_path
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage, survives executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+from docshred.llm.common import stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,14 +15,14 @@ def components(links: DataFrame) -> DataFrame:
     its smaller ones, to the smallest neighbour, until nothing changes; every
     step is two aggregates whose minima combine map-side, and rows never grow
     beyond the links.  The number of steps is logarithmic in the longest chain."""
-    edges = _stored(links.select("a", "b").where("a <> b").distinct(), "links")
+    edges = stored(links.select("a", "b").where("a <> b").distinct(), "links")
     if edges.isEmpty():
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     while True:
         large = _star(edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), larger=True)
         high, low = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
         small = _star(large.select(high, low), larger=False)
-        new = _stored(small.select(high, low).distinct(), "links")
+        new = stored(small.select(high, low).distinct(), "links")
         state = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")]
         before = edges.select(high, low).distinct().agg(*state).first()
         if new.agg(*state).first() == before:

@@ -44,8 +44,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docshred.llm.common import slices
-from docshred.llm.components import _stored, components
+from docshred.llm.common import slices, stored
+from docshred.llm.components import components
 from docshred.llm.words import mix, split_words, windows
 
 MARK_SHARE = 0.3125  # part of the hash range that the first pruning step looks at
@@ -299,7 +299,7 @@ def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80, id
     ``group`` names the component (null without shingles), ``key`` the row's id and text."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("key", row_key("doc_id", "text"))
-    members = _stored(rows.mapInArrow(_members(width), "doc_id bigint, key bigint, n bigint, cls string"), "members")
+    members = stored(rows.mapInArrow(_members(width), "doc_id bigint, key bigint, n bigint, cls string"), "members")
     classes = members.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"), F.min("key").alias("key"))
     links = similar_classes(rows, classes.select("key"), width, percent)
     joined = components(links)
@@ -320,16 +320,16 @@ def similar_classes(rows: DataFrame, one_each: DataFrame, width: int, percent: i
     key, ``one_each`` names one row of each class."""
     kept = possible(rows.select("key", "text").mapInArrow(_marks(width, percent, MARK_SHARE), MARKS))
     alive = rows.select("key", "text").join(kept.join(one_each, "key"), "key", "left_semi").dropDuplicates(["key"])
-    sets = _stored(alive.mapInArrow(_sets(width), "key bigint, cls string, tokens array<bigint>"), "sets")
+    sets = stored(alive.mapInArrow(_sets(width), "key bigint, cls string, tokens array<bigint>"), "sets")
     again = possible(sets.select("key", "tokens").mapInArrow(_marks(width, percent, 1.0), MARKS))
-    sets = _stored(sets.join(again, "key", "left_semi"), "sets")
+    sets = stored(sets.join(again, "key", "left_semi"), "sets")
     owned = sets.select("cls", F.size("tokens").cast("bigint").alias("n"), F.explode("tokens").alias("token"))
     lists = owned.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     shared = owned.join(lists, "token").groupBy("cls", "n").agg(
         F.array_sort(F.collect_list(F.struct("df", "token"))).alias("by_df"))
     own = F.col("n") - F.size("by_df")
     prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
-    active = _stored(shared.where(own < prefix).select(
+    active = stored(shared.where(own < prefix).select(
         "cls", "n", own.alias("own"), F.array_sort("by_df.token").alias("shared"),
         F.slice(F.col("by_df.token"), 1, (prefix - own).cast("int")).alias("prefix")), "active")
     lists = active.select("cls", "n", "own", F.posexplode("prefix").alias("i", "token")).select(
@@ -338,7 +338,7 @@ def similar_classes(rows: DataFrame, one_each: DataFrame, width: int, percent: i
     star = lists.join(pivot, "token").where(F.col("cls") != F.col("p.cls")).where(
         _can_link(F.col("n"), F.col("rest"), F.col("p.n"), F.col("p.rest"), percent))
     star = star.select(F.col("p.cls").alias("q"), F.col("cls").alias("c")).distinct()
-    first = _stored(search(star, active, percent), "star")
+    first = stored(search(star, active, percent), "star")
     merged = components(first)
     rooted = active.join(merged, F.col("cls") == F.col("node"), "left").select(
         "cls", "n", "shared", F.coalesce("root", "cls").alias("root"))
@@ -351,7 +351,7 @@ def similar_classes(rows: DataFrame, one_each: DataFrame, width: int, percent: i
     home = placed.groupBy("cls", "root").agg(F.max(F.struct("df", "token")).alias("h")).select(
         "cls", "root", F.struct(F.col("h.token").alias("t"), F.pmod(
             F.xxhash64("cls"), F.ceil(F.col("h.df") / BLOCK)).alias("k")).alias("block"))
-    home = _stored(home, "home")
+    home = stored(home, "home")
     reach = placed.join(home.select("cls", "block"), "cls").groupBy("token", "block").agg(
         F.min("root").alias("lo"), F.max("root").alias("hi"))
     asked = placed.select("token", F.col("cls"), F.col("root")).join(reach, "token").where(

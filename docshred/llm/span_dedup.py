@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docshred.llm.common import slices
+from docshred.llm.common import slices, stored
 from docshred.llm.words import _MULTIPLIER, WordBatch, mix, split_words
 
 # Characters that end a sentence or a part of one.
@@ -153,8 +153,10 @@ def remove_repeats(docs: DataFrame, rule: Spans = Spans(), id_col: str = "doc_id
         F.lit(0x7FFFFFFF)))
     spans = rows.mapInArrow(_spans(rule), SPAN_SCHEMA)
     where = F.struct("doc_id", "place")
-    repeated = spans.groupBy("h").agg(F.min(where).alias("first"), F.max(where).alias("last")).where(
-        ~F.col("first").eqNullSafe(F.col("last"))).select("h", "first")
+    # written, so that the join below shuffles both sides itself and adaptive
+    # execution may split a hot hash (or broadcast a small table)
+    repeated = stored(spans.groupBy("h").agg(F.min(where).alias("first"), F.max(where).alias("last")).where(
+        ~F.col("first").eqNullSafe(F.col("last"))).select("h", "first"), "repeated")
     later = spans.join(repeated, "h").where(~where.eqNullSafe(F.col("first")))
     check = F.shiftright("place", 32)
     marks = later.groupBy("doc_id", check.alias("check")).agg(

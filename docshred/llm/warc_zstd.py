@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docshred.llm.common import bounded_sample, slices
+from docshred.llm.common import bounded_sample, slices, stored
 
 # Fixed values of the format.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -140,7 +140,9 @@ def with_record_types(pages: DataFrame, min_revisit: int = 100, id_col: str = "p
     """Pages with size, digest, record type and the response a revisit refers to.
 
     Digests are grouped with map-side combining; only digests of more than one
-    id reach the join, whose hot digests adaptive execution splits."""
+    id reach the join.  They are written first, so that the join shuffles both
+    sides itself and adaptive execution may split a hot digest, or broadcast
+    them where they are few."""
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.encode(F.col(payload_col).cast("string"), "utf-8"), F.lit(b"")).alias("payload"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("bigint"),
@@ -150,6 +152,7 @@ def with_record_types(pages: DataFrame, min_revisit: int = 100, id_col: str = "p
                   F.count("page_id").alias("_ids"))
              .where((F.col("_first") != F.col("_last")) | ((F.col("_ids") > 0) & (F.col("_ids") < F.col("_n"))))
              .select("_digest", "_first"))
+    first = stored(first, "warc-first")
     joined = rows.join(first, F.col("payload_digest") == F.col("_digest"), "left")
     revisit = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
     return joined.select("page_id", "url", "payload", "payload_bytes", "payload_digest",
