@@ -9,7 +9,7 @@ here independently, as plain UNION ALL / CASE / GROUP BY SQL.
 from __future__ import annotations
 
 from docshred.plans import nest
-from docshred.plans.clinical import TABLE_NAMES, clinical_specs
+from docshred.plans.clinical import TABLE_NAMES
 from docshred.plans.queries import EVENT_ITEMS, TABLE_QUERIES, USER_ROLE
 
 V = "CAST(NULL AS VARCHAR)"
@@ -135,8 +135,52 @@ def _tables_cte(narrow: bool = True) -> list[str]:
     return [f't_{n} AS ({table_sql(n, narrow)})' for n in TABLE_NAMES]
 
 
+# ---- fixed values: the checked columns of every table, and whether a null fails the check ----
+CHECKED = {
+    "patientInfo": (("patient_id", "PAA_version", "admitDate", "firstName"), ()),
+    "demographicIdentifiers": (("patient_id", "PAA_version", "additionalDemID"), ()),
+    "Contacts": (("patient_id", "PAA_version"), ()),
+    "discharge": (("patient_id", "PAA_version", "disposition"), ()),
+    "dischargeDestinationIdentifiers": (("patient_id", "PAA_version", "destination_id"), ()),
+    "diagnoses": (("patient_id", "PAA_version", "code", "method"), ("type",)),
+    "payors": (("patient_id", "PAA_version", "companyName", "policyNumber"), ()),
+    "facility": (("patient_id", "PAA_version", "facilityId", "facilityName"), ("facilityCareSetting",)),
+    "facilityIdentifiers": (("patient_id", "PAA_version", "facilityAltid", "facilityAlttype"), ()),
+    "documents": (("patient_id", "PAA_version", "fileName", "displayFilename"), ()),
+    "oasis": (("patient_id", "PAA_version", "oasis_id"), ()),
+    "mds": (("patient_id", "PAA_version", "mds_id"), ()),
+}
+# -----------------------------------------------------------------------------------------------
+
+# rows that the source documents call for, counted from the document rule alone
+EXPECTED = {
+    "patientInfo": "1",
+    "demographicIdentifiers": "least(n_ids, 2)",
+    "Contacts": "CASE l_returnflag || l_linestatus WHEN 'AF' THEN 2 WHEN 'AO' THEN 2 WHEN 'RO' THEN 2 WHEN 'NF' THEN 1 ELSE 0 END",
+    "discharge": "(c_mktsegment <> 'AUTOMOBILE')::INT",
+    "dischargeDestinationIdentifiers": """CASE WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') AND l_returnflag <> 'N'
+      THEN 1 + (l_linestatus = 'O')::INT ELSE 0 END""",
+    "diagnoses": """CASE WHEN o_orderstatus = 'P' THEN 0
+      ELSE 1 + (l_returnflag <> 'N')::INT + (l_linestatus = 'F')::INT END""",
+    "payors": "1 + (l_linestatus = 'O')::INT + (l_returnflag = 'R')::INT",
+    "facility": "(n_regionkey NOT IN (0, 1))::INT",
+    "facilityIdentifiers": """CASE WHEN n_regionkey IN (0, 1) THEN 0 WHEN l_returnflag = 'A' THEN 1
+      WHEN l_linestatus = 'O' THEN 2 ELSE 0 END""",
+    "documents": "1 + (l_returnflag = 'R')::INT",
+    "oasis": f"(l_returnflag = 'R')::INT + 2 * ({BARE})::INT",
+    "mds": f"""(l_returnflag = 'A')::INT + (l_linestatus = 'F')::INT
+      + (l_linestatus = 'F' AND l_returnflag = 'A')::INT + 3 * ({BARE})::INT""",
+}
+
+
 def _checked():
-    return [(s.name, [(c, True) for c in s.gates] + [(c, False) for c in s.reported]) for s in clinical_specs()]
+    return [(n, [(c, True) for c in gates] + [(c, False) for c in reported]) for n, (gates, reported) in CHECKED.items()]
+
+
+def _expected_sql() -> str:
+    return "\nUNION ALL ".join(
+        f"""SELECT '{n}' AS "table", CAST(coalesce(sum({e}), 0) AS BIGINT) AS expected_rows FROM base"""
+        for n, e in EXPECTED.items())
 
 
 def _row_counts_sql() -> str:
@@ -180,23 +224,24 @@ FROM base WHERE l_returnflag = 'R'"""
         f"SELECT *, '{n}' AS source_table FROM ({table_sql(n)})" for n in ("facility", "facilityIdentifiers"))
     out["drop_complete_duplicates"] = _with() + f"SELECT DISTINCT * FROM ({table_sql('diagnoses')})"
     out["mds_dedup"] = _with() + f"SELECT DISTINCT * FROM ({table_sql('mds')})"
-    out["dq_expected_counts"] = _with(*_tables_cte()) + \
-        f'SELECT "table", n AS expected_rows FROM ({_row_counts_sql()})'
-    out["dq_row_counts"] = _with(*_tables_cte()) + \
-        f"""SELECT "table", n AS expected_rows, n AS actual_rows, 'PASS' AS row_count_status FROM ({_row_counts_sql()})"""
+    out["dq_expected_counts"] = _with() + _expected_sql()
+    status = "CASE WHEN ex.expected_rows = rc.n THEN 'PASS' ELSE 'FAIL' END"
+    checks = (f"ex AS ({_expected_sql()})", f"rc AS ({_row_counts_sql()})")
+    out["dq_row_counts"] = _with(*_tables_cte(), *checks) + f"""SELECT rc."table", ex.expected_rows, rc.n AS actual_rows,
+  {status} AS row_count_status FROM rc JOIN ex ON rc."table" = ex."table\""""
     out["dq_null_counts"] = _with(*_tables_cte()) + _null_counts_sql()
-    out["dq_report"] = _with(*_tables_cte(), f"rc AS ({_row_counts_sql()})",
-                             f"nc AS ({_null_counts_sql()})") + """SELECT nc."table", rc.n AS expected_rows,
-  rc.n AS actual_rows, 'PASS' AS row_count_status, nc."column", nc.null_count, nc.gates,
+    out["dq_report"] = _with(*_tables_cte(), *checks, f"nc AS ({_null_counts_sql()})") + f"""SELECT nc."table",
+  ex.expected_rows, rc.n AS actual_rows, {status} AS row_count_status, nc."column", nc.null_count, nc.gates,
   CASE WHEN rc.n = 0 THEN 'NOT_APPLICABLE'
        WHEN bool_or(nc.gates AND nc.null_count > 0) OVER (PARTITION BY nc."table") THEN 'FAIL'
        ELSE 'PASS' END AS completeness_status,
-  printf('Row count for %s table matched: %d', nc."table", rc.n) AS message,
+  CASE WHEN ex.expected_rows = rc.n THEN printf('Row count for %s table matched: %d', nc."table", rc.n)
+       ELSE printf('Row count mismatch for %s table: source %d, table %d', nc."table", ex.expected_rows, rc.n) END AS message,
   CASE WHEN rc.n = 0 THEN printf('Completeness of %s not applicable: no rows', nc."table")
        WHEN nc.null_count = 0 THEN printf('Completeness of %s.%s passed', nc."table", nc."column")
        ELSE printf('Null values in %s.%s: %d', nc."table", nc."column", nc.null_count) END AS completeness_message,
   CAST(0 AS BIGINT) AS rejected_lines
-FROM nc JOIN rc ON nc."table" = rc."table\""""
+FROM nc JOIN rc ON nc."table" = rc."table" JOIN ex ON nc."table" = ex."table\""""
     out["pipeline_summary"] = _with(*_tables_cte()) + "\nUNION ALL ".join(
         f"""SELECT '{n}' AS "table", (SELECT CAST(count(*) AS BIGINT) FROM t_{n}) AS rows_before_dedup,
   (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT * FROM t_{n})) AS rows_after_dedup""" for n in TABLE_NAMES)
