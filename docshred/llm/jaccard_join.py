@@ -360,8 +360,9 @@ def similar_classes(rows: DataFrame, one_each: DataFrame, width: int, percent: i
 
 
 def block_search(asked: DataFrame, home: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of the query classes to members of the blocks they ask (cls, block),
-    one for each component that a query reaches in a block.
+    """Links of the query classes to members of the blocks they ask (cls, block):
+    as many as it takes to join what a block's task finds connected, so fewer
+    links than classes in each task.
 
     A block and a share of its queries make one group of bounded size, however
     many queries ask a block."""
@@ -396,12 +397,11 @@ def _search_block(percent: int):
                        & (np.minimum(held[member], held[q]) >= target))
             if not allowed.any():
                 continue
-            reached = set()
             for c in t_occurrence(index.lists(tokens[q], allowed), target):
-                if group[member[c]] not in reached:
-                    reached.add(group[member[c]])
+                if group[member[c]] != group[q]:
                     a.append(name[q])
                     b.append(name[member[c]])
+                    group[group == group[member[c]]] = group[q]  # joined from here on
         return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
     return work
 
