@@ -86,6 +86,16 @@ def line_features(texts: list[str | None]) -> Lines:
     return Lines(own, size, text_first)
 
 
+def gather(texts: list[str | None], step: int = 100) -> Lines:
+    """``line_features`` of many texts, a few at a time (bounds the byte-wise arrays)."""
+    parts = [line_features(texts[k:k + step]) for k in range(0, len(texts), step)] or [line_features([])]
+    first, total = [np.zeros(1, np.int64)], 0
+    for p in parts:
+        first.append(p.first[1:] + total)
+        total += len(p.own)
+    return Lines(np.concatenate([p.own for p in parts]), np.concatenate([p.size for p in parts]), np.concatenate(first))
+
+
 def with_neighbours(lines: Lines) -> np.ndarray:
     """Own features, then those of the line before and after in the same text (zeros at the edges)."""
     n = len(lines.own)
@@ -142,7 +152,7 @@ class Chain:
         return good[:, 1] / good.sum(axis=1), pair_sum
 
 
-def train_chain(x: np.ndarray, first: np.ndarray, labels: np.ndarray, weight: np.ndarray, steps: int = 150,
+def train_chain(x: np.ndarray, first: np.ndarray, labels: np.ndarray, weight: np.ndarray, steps: int = 60,
                 rate: float = 0.15, penalty: float = 1e-3) -> Chain:
     """Gradient ascent (Adam) on the conditional log likelihood of the labels.
 
@@ -176,7 +186,7 @@ class QualityModel:
 
     def summary(self, texts: list[str | None]) -> np.ndarray:
         """(length-weighted quality, lines, worst line) of every text."""
-        lines = line_features(texts)
+        lines = gather(texts)
         count = np.diff(lines.first)
         out = np.zeros((len(texts), 3))
         out[:, 1] = count
@@ -196,7 +206,7 @@ class QualityModel:
 
 
 def fit_model(texts: list[str], y: np.ndarray, segment: int) -> QualityModel:
-    lines = line_features(texts)
+    lines = gather(texts)
     count = np.diff(lines.first)
     if not len(lines.own) or not 0 < y[count > 0].sum() < (count > 0).sum():
         return QualityModel(None, np.zeros(2))
@@ -222,7 +232,7 @@ def fit_model(texts: list[str], y: np.ndarray, segment: int) -> QualityModel:
     return model
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, train_docs: int = 3000, segment: int = 64, modulus: int = 4,
+def score_quality(docs: DataFrame, labels: DataFrame, train_docs: int = 1000, segment: int = 64, modulus: int = 4,
                   held: int = 2, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "quality") -> DataFrame:
     """(doc_id, held_out, score, quality, n_lines, worst) of every row of
@@ -243,7 +253,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, train_docs: int = 3000, se
     return rows.mapInArrow(work, SCHEMA)
 
 
-def quality_model(docs: DataFrame, labels: DataFrame, train_docs: int = 3000, segment: int = 64, modulus: int = 4,
+def quality_model(docs: DataFrame, labels: DataFrame, train_docs: int = 1000, segment: int = 64, modulus: int = 4,
                   held: int = 2, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "quality") -> QualityModel:
     sample = labelled_sample(docs, labels, label_col, lambda i: fold(i, modulus) != held, train_docs, id_col, text_col)
