@@ -45,7 +45,7 @@ def _table(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = spec_by_name(name)
         dicts = _dicts(spark, sf_dir) if spec.wide else None
-        return shred(_staged_docs(spark, sf_dir), spec, dicts, items=_items(spark, sf_dir) if spec.wide else None)
+        return shred(_staged_docs(spark, sf_dir), spec, dicts, items=staged_items(spark, sf_dir) if spec.wide else None)
     q.__name__ = f"table_{name}"
     return q
 
@@ -57,7 +57,7 @@ def _staged_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return well_formed(spark.read.parquet(nest.staged(spark, sf_dir)))
 
 
-def _items(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+def staged_items(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
     return nest.staged_items(spark, sf_dir, clinical_specs(), _dicts(spark, sf_dir))
 
 
@@ -97,7 +97,7 @@ def q_drop_complete_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_mds_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     narrow = shred(_staged_docs(spark, sf_dir), spec_by_name("mds"), _dicts(spark, sf_dir), widen=False,
-                   items=_items(spark, sf_dir))
+                   items=staged_items(spark, sf_dir))
     return drop_complete_duplicates(narrow)
 
 
@@ -151,7 +151,7 @@ def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job: every table, the checks, the removal of duplicates."""
     docs = spark.read.parquet(nest.staged(spark, sf_dir))
-    return summary(assemble(docs, _dicts(spark, sf_dir), items=_items(spark, sf_dir)))
+    return summary(assemble(docs, _dicts(spark, sf_dir), items=staged_items(spark, sf_dir)))
 
 
 TABLE_QUERIES = {
