@@ -19,7 +19,7 @@ from docshred.llm.crf_quality import score_quality
 from docshred.llm.divergence_rules import judge
 from docshred.llm.jaccard_join import similarity_components
 from docshred.llm.ppm_language import identify
-from docshred.llm.span_dedup import remove_repeats
+from docshred.llm.span_dedup import WHOLE, remove_repeats
 from docshred.llm.spaced_seeds import find_overlaps
 from docshred.llm.token_secrets import find_secrets, span_list
 from docshred.llm.toxicity_grammar import score_toxicity
@@ -68,7 +68,7 @@ def op4_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"))
+    return remove_repeats(table(spark, sf_dir, "documents"), WHOLE)
 
 
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:

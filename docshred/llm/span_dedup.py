@@ -11,6 +11,13 @@ occurrence (smallest doc_id, then text checksum, then position; a null id comes
 first) keeps its sentences and every sentence that a later occurrence covers is
 removed, with the white space after it.
 
+With ``both_ends`` the shortest run that ends at every sentence is hashed too.
+The two together remove what hashing every run of that size would: a repeated
+stretch's first sentences start a run inside it, its last ones end one.  With
+``cut_share`` a sentence is also cut after one in so many words, chosen by the
+hash of the word and the one before, so a passage without punctuation holds
+whole pieces.  ``WHOLE`` has both and is the registered query's rule.
+
 Rows equal in id and text are one document and give equal results.  Null text
 stays null; a text without a run of that size is returned as it is.
 """
@@ -44,6 +51,13 @@ class Spans:
     run: int = 3
     min_words: int = 20
     long_word: int = 14
+    both_ends: bool = False
+    cut_share: int = 0
+
+
+WHOLE = Spans(both_ends=True, cut_share=6)
+# Bits of the filter that repeated hashes set (16 MB on driver and executors).
+FILTER_BITS = 27
 
 
 @lru_cache(maxsize=4)
@@ -65,20 +79,33 @@ def sentences(batch: WordBatch, rule: Spans) -> tuple[np.ndarray, np.ndarray]:
     lines = np.concatenate(([0], np.cumsum(batch.data == 10)))
     last = _IS_END[batch.data[batch.end - 1]] | (batch.end - batch.start >= rule.long_word)
     last[:-1] |= lines[batch.start[1:]] > lines[batch.end[:-1]]  # texts are joined by line feeds too
+    if rule.cut_share:
+        pair = mix(batch.hash[:-1] * _MULTIPLIER + batch.hash[1:]) % np.uint64(rule.cut_share) == 0
+        text = np.repeat(np.arange(len(batch)), np.diff(batch.first))
+        last[1:] |= pair & (text[1:] == text[:-1])
     last[-1] = True
     first = np.concatenate(([0], np.flatnonzero(last) + 1))
     return first, np.searchsorted(first, batch.first)
 
 
 def runs(batch: WordBatch, rule: Spans) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every run: its hash, text, first and last sentence (of the batch); and ``sentences``' first words."""
+    """For every run, by first and last sentence: its hash, text, first and last sentence (of the batch); and
+    ``sentences``' first words."""
     first, of_text = sentences(batch, rule)
     n = len(first) - 1
     begin = np.arange(n)
     last = np.maximum(begin + rule.run - 1, np.searchsorted(first, first[:-1] + rule.min_words) - 1)
     text = np.searchsorted(of_text, begin, "right") - 1
     fits = last < of_text[text + 1]
-    begin, last, text = begin[fits], last[fits], text[fits]
+    if rule.both_ends:
+        end = begin
+        start = np.minimum(end - rule.run + 1, np.searchsorted(first, first[1:] - rule.min_words, "right") - 1)
+        other = (start >= of_text[text]) & (last[np.maximum(start, 0)] != end)
+        begin, last, text = (np.concatenate((x[fits], y[other])) for x, y in ((begin, start), (last, end), (text, text)))
+        order = np.lexsort((last, begin))
+        begin, last, text = begin[order], last[order], text[order]
+    else:
+        begin, last, text = begin[fits], last[fits], text[fits]
     if not len(begin):
         return np.empty(0, np.uint64), text, begin, last, first
     weight, inverse = _weights(max(10, int(len(batch.hash)).bit_length()))
@@ -87,14 +114,18 @@ def runs(batch: WordBatch, rule: Spans) -> tuple[np.ndarray, np.ndarray, np.ndar
     return mix((sums[b] - sums[a]) * inverse[a] ^ (b - a).astype(np.uint64)), text, begin, last, first
 
 
-def _spans(rule: Spans):
+def _spans(rule: Spans, repeated=None):
+    """Rows of all runs, or of those whose bit is set in the broadcast ``repeated``."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             words = split_words(batch.column(1).to_pylist())
-            h, text, begin, _, _ = runs(words, rule)
-            _, of_text = sentences(words, rule)
+            h, text, _, _, _ = runs(words, rule)
             check = batch.column(2).to_numpy(zero_copy_only=False)
-            place = (check[text] << 32) + (begin - of_text[text])
+            place = (check[text] << 32) + (np.arange(len(text)) - np.searchsorted(text, text))
+            if repeated is not None:
+                at = h >> np.uint64(64 - FILTER_BITS)
+                some = (repeated.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+                h, text, place = h[some], text[some], place[some]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h.view(np.int64)), batch.column(0).take(pa.array(text)), pa.array(place, pa.int64())],
                 ["h", "doc_id", "place"])
@@ -109,13 +140,14 @@ def _cut(rule: Spans):
             words = split_words(texts, hashes=True)
             _, text, begin, last, first = runs(words, rule)
             _, of_text = sentences(words, rule)
-            last_of = dict(zip(begin.tolist(), last.tolist(), strict=True))
+            first_run = np.searchsorted(text, np.arange(len(texts)))
             out, total, gone, gone_words, removed = [], [], [], [], []
             for k, (t, marks) in enumerate(zip(texts, batch.column(2).to_pylist(), strict=True)):
                 a, b = int(of_text[k]), int(of_text[k + 1])
                 drop = np.zeros(b - a, dtype=bool)
                 for m in marks or ():
-                    drop[m:last_of[a + m] - a + 1] = True
+                    r = int(first_run[k]) + m
+                    drop[begin[r] - a:last[r] - a + 1] = True
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], drop.view(np.int8), [0])))).reshape(-1, 2)
                 total.append(b - a)
                 gone.append(int(drop.sum()))
@@ -141,17 +173,30 @@ def _cut(rule: Spans):
     return work
 
 
+def _filter(hashes: DataFrame):
+    """Broadcast bits, one set by the high bits of every hash; at most 2^21 words come to the driver."""
+    at = F.shiftrightunsigned("h", 64 - FILTER_BITS)
+    words = hashes.select(F.shiftrightunsigned(at, 6).alias("word"), F.expr(
+        f"shiftleft(1L, int(shiftrightunsigned(h, {64 - FILTER_BITS}) & 63))").alias("bits"))
+    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return hashes.sparkSession.sparkContext.broadcast(bits)
+
+
 def remove_repeats(docs: DataFrame, rule: Spans = Spans(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document with the sentences that a non-first repeated run covers removed.
 
-    One row per run is aggregated by hash with map-side combining, so a run
-    that very many documents share is one row per task; only repeated hashes
-    are joined with the runs again, and adaptive execution splits a hot one.
-    A document's marks are bounded by its own sentences."""
+    The runs' hashes are counted with map-side combining, so a run that very
+    many documents share is one row per task; the repeated ones set a filter of
+    fixed size, and only runs that pass it go to the aggregate that finds the
+    first occurrence and to the join, where adaptive execution splits a hot one.
+    A document's marks are bounded by its own runs."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("check", F.coalesce(F.crc32(F.encode("text", "utf-8")), F.lit(0).cast("bigint")).bitwiseAND(
         F.lit(0x7FFFFFFF)))
-    spans = rows.mapInArrow(_spans(rule), SPAN_SCHEMA)
+    counts = rows.mapInArrow(_spans(rule), SPAN_SCHEMA).groupBy("h").agg(F.count("*").alias("n"))
+    spans = rows.mapInArrow(_spans(rule, _filter(counts.where("n > 1"))), SPAN_SCHEMA)
     where = F.struct("doc_id", "place")
     # written, so that the join below shuffles both sides itself and adaptive
     # execution may split a hot hash (or broadcast a small table)

@@ -1,7 +1,9 @@
+import random
 import re
 
-from docshred.llm.span_dedup import Spans, remove_repeats
-from tests.llm.fixtures import documents, empty, frame
+from docshred.llm.span_dedup import WHOLE, Spans, remove_repeats, sentences
+from docshred.llm.words import split_words
+from tests.llm.fixtures import SYLLABLES, documents, empty, frame, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -83,3 +85,50 @@ def test_pasted_passages_go_except_the_first(spark):
 
 def test_empty_table(spark):
     assert remove_repeats(empty(spark)).count() == 0
+
+
+def all_runs(rows, rule):
+    """Removed words of every distinct (id, text) when every run that is long enough is looked up."""
+    import zlib
+
+    first, removed = {}, {}
+    for key in sorted({(r[0], r[1]) for r in rows}, key=lambda r: (r[0], zlib.crc32(r[1].encode()) & 0x7FFFFFFF)):
+        batch = split_words([key[1]])
+        cut = sentences(batch, rule)[0].tolist()
+        words, gone = batch.hash.tolist(), set()
+        for a in range(len(cut) - 1):
+            for b in range(a + rule.run, len(cut)):
+                if cut[b] - cut[a] >= rule.min_words and first.setdefault(
+                        tuple(words[cut[a]:cut[b]]), (key, a)) != (key, a):
+                    gone.update(range(a, b))
+        removed[key] = sum(cut[k + 1] - cut[k] for k in gone)
+    return removed
+
+
+def tails(rng):
+    """Copies whose last sentences are 18, 1, 1 and 17 words, and a passage without punctuation pasted mid-sentence."""
+    def line(n):
+        return " ".join("".join(rng.choice(SYLLABLES) for _ in range(3)) for _ in range(n))
+
+    stretch = ". ".join(line(n) for n in (18, 1, 1, 17)) + "."
+    passage = line(60)
+    rows = [(i, f"{line(30)}. {stretch} {line(30)}.", "en", "a", 1) for i in range(3)]
+    rows += [(10 + i, f"{line(25)} {passage} {line(25)}", "en", "a", 1) for i in range(3)]
+    return rows + [(20 + i, prose(rng, 4) + " " + rows[0][1], "en", "a", 1) for i in range(2)]
+
+
+def test_whole_rule_removes_what_all_runs_remove(spark):
+    for rule in (WHOLE, Spans(both_ends=True)):
+        rows = tails(random.Random(3)) + [
+            (100 + r[0], *r[1:]) for r in documents() if r[0] is not None and r[1] and len(r[1]) < 9000]
+        want = all_runs(rows, rule)
+        got = remove_repeats(frame(spark, rows, extra=False), rule).collect()
+        assert sorted((r["doc_id"], r["removed_words"]) for r in got) == sorted((r[0], want[r[0], r[1]]) for r in rows)
+
+
+def test_whole_rule_leaves_no_tail_and_finds_passages_without_punctuation(spark):
+    rows = tails(random.Random(3))
+    got = {r["doc_id"]: r["removed_words"] for r in remove_repeats(frame(spark, rows, extra=False), WHOLE).collect()}
+    assert got[0] == got[10] == 0
+    assert got[1] >= 37 and got[2] >= 37
+    assert got[11] >= 40 and got[12] >= 40
