@@ -5,9 +5,9 @@ so a hash of the others survives substitutions there.  The seed hashes of the
 benchmark (the stated query set, in blocks of a bounded number of words) are
 joined with the seed hashes at every word of every document; each hit names a
 diagonal (document position minus item position), and the diagonal is verified
-word by word: the best-scoring stretch (a match counts 1, a substitution
-``-penalty``) must hold at least ``min_words`` words with at least ``min_match``
-of them equal.
+word by word: every stretch that begins and ends with an equal word and holds at
+least ``min_words`` words with at least ``min_match`` of them equal is an overlap;
+of overlapping ones the longest is reported, then the longest beside it, and so on.
 
 Words are runs of letters and digits in lower case (A-Z); punctuation does not
 count.  Null and empty texts have no words and no overlap; an item shorter than
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ FILTER_BITS = 22
 class Rule:
     min_words: int = 12
     min_match: float = 0.8
-    penalty: float = 2.0
+    penalty: float = 2.0  # of the earlier best-scoring stretch; the verification does not read it
 
 
 def seed_hashes(batch: WordBatch, mask: str) -> tuple[np.ndarray, np.ndarray]:
@@ -58,6 +59,32 @@ def seed_hashes(batch: WordBatch, mask: str) -> tuple[np.ndarray, np.ndarray]:
     return mix(h[at]), at
 
 
+def stretches(equal: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
+    """Disjoint accepted stretches (start, end), the longest first taken, in order.
+
+    With the surplus of equal words over ``min_match`` summed up to every word, a
+    stretch is accepted when the sum at its end is not below that at its start;
+    the greatest sum still to come gives each start's farthest end by bisection."""
+    share = Fraction(rule.min_match).limit_denominator(10_000)
+    out, todo = [], [(0, len(equal))]
+    while todo:
+        lo, hi = todo.pop()
+        at = lo + np.flatnonzero(equal[lo:hi])
+        if not len(at) or at[-1] + 1 - at[0] < rule.min_words:
+            continue
+        before = share.denominator * np.arange(len(at)) - share.numerator * at
+        after = before + share.denominator - share.numerator
+        most = np.maximum.accumulate(after[::-1])
+        last = len(at) - 1 - np.searchsorted(most, before)
+        length = np.where(last >= np.arange(len(at)), at[np.maximum(last, 0)] + 1 - at, 0)
+        k = int(np.argmax(length))
+        if length[k] >= rule.min_words:
+            start, end = int(at[k]), int(at[k] + length[k])
+            out.append((start, end))
+            todo += [(lo, start), (end, hi)]
+    return sorted(out)
+
+
 class SeedIndex:
     """Sorted seed hashes of one block of items."""
 
@@ -89,29 +116,19 @@ class SeedIndex:
             found.append(np.stack([doc, item, (at - batch.first[doc]) - (place - self.words.first[item])], axis=1))
         return np.unique(np.concatenate(found), axis=0)
 
-    def verify(self, batch: WordBatch, doc: int, item: int, diagonal: int) -> tuple[int, int, int, int] | None:
-        """(document start, item start, words, equal words) of the best stretch, if it is enough."""
+    def verify(self, batch: WordBatch, doc: int, item: int, diagonal: int) -> list[tuple[int, int, int, int]]:
+        """(document start, item start, words, equal words) of every accepted stretch, in order."""
         a = batch.hash[batch.first[doc]:batch.first[doc + 1]]
         b = self.words.hash[self.words.first[item]:self.words.first[item + 1]]
         lo, hi = max(0, -diagonal), min(len(b), len(a) - diagonal)
         equal = a[lo + diagonal:hi + diagonal] == b[lo:hi]
-        if not len(equal):
-            return None
-        run = np.concatenate(([0.0], np.cumsum(np.where(equal, 1.0, -self.rule.penalty))))
-        gain = run[1:] - np.minimum.accumulate(run)[:-1]
-        end = int(np.argmax(gain)) + 1
-        start = int(np.argmin(run[:end]))
-        n, same = end - start, int(equal[start:end].sum())
-        if n < self.rule.min_words or same < self.rule.min_match * n:
-            return None
-        return lo + start + diagonal, lo + start, n, same
+        return [(lo + s + diagonal, lo + s, e - s, int(equal[s:e].sum())) for s, e in stretches(equal, self.rule)]
 
     def overlaps(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int, int]]:
         batch = split_words(texts, punctuation=False)
         out = []
         for doc, item, diagonal in self.hits(batch).tolist():
-            if (v := self.verify(batch, doc, item, diagonal)) is not None:
-                out.append((doc, self.item_ids[item], *v))
+            out += [(doc, self.item_ids[item], *v) for v in self.verify(batch, doc, item, diagonal)]
         return out
 
 
@@ -130,7 +147,7 @@ def blocks(benchmark: DataFrame, rule: Rule, block_chars: int, id_col: str, text
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), block_chars: int = 16 << 20,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text") -> DataFrame:
-    """One row per document row, item and diagonal with a verified overlap
+    """One row per document row, item, diagonal and verified overlap
     (positions in words).  Narrow over the documents, once per benchmark block."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -1,6 +1,8 @@
 import random
 
-from docshred.llm.spaced_seeds import MASKS, Rule, decontaminate, find_overlaps
+import numpy as np
+
+from docshred.llm.spaced_seeds import MASKS, Rule, decontaminate, find_overlaps, stretches
 from docshred.llm.words import split_words
 from tests.llm.fixtures import EXTRA, empty, frame, prose
 
@@ -81,3 +83,37 @@ def test_awkward_rows(spark):
     assert find_overlaps(empty(spark), bench(spark, [(1, text)])).count() == 0
     assert find_overlaps(df, bench(spark, [])).count() == 0
     assert decontaminate(df, bench(spark, [])).count() == df.count()
+
+
+def test_stretches_are_those_of_all_stretches():
+    rng = random.Random(8)
+    rule = Rule()
+
+    def longest(equal, lo, hi):
+        every = [(e - s, -s) for s in range(lo, hi) for e in range(s + rule.min_words, hi + 1)
+                 if equal[s] and equal[e - 1] and 10 * sum(equal[s:e]) >= 8 * (e - s)]
+        if not every:
+            return []
+        n, s = max(every)
+        return longest(equal, lo, -s) + [(-s, -s + n)] + longest(equal, -s + n, hi)
+
+    some = 0
+    for k in range(400):
+        equal = [rng.random() < rng.choice((0.5, 0.75, 0.85)) for _ in range(rng.randint(0, 70))]
+        if k % 4 == 0:
+            equal[20:40] = [False] * len(equal[20:40])
+        got = stretches(np.array(equal, dtype=bool), rule)
+        assert got == longest(equal, 0, len(equal))
+        some += len(got) > 1
+    assert some > 5
+
+
+def test_overlap_beyond_a_substitution_and_a_second_one_are_found(spark):
+    item = [f"w{k}" for k in range(60)]
+    first = item[:11] + ["other"] + item[12:13]  # 13 words, 12 equal
+    both = item[:15] + ["other"] * 25 + item[40:55]
+    docs = [(1, " ".join(first), "", "", 1), (2, " ".join(both), "", "", 1), (3, " ".join(item[:11]), "", "", 1)]
+    got = find_overlaps(frame(spark, docs), bench(spark, [(7, " ".join(item))])).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 7, 0, 0, 13, 12), (2, 7, 0, 0, 15, 15), (2, 7, 40, 40, 15, 15)]
+    left = decontaminate(frame(spark, docs), bench(spark, [(7, " ".join(item))])).collect()
+    assert [r["doc_id"] for r in left] == [3]
