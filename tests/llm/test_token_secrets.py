@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -66,3 +68,18 @@ def test_redaction_replaces_each_covered_stretch_once(spark):
 
 def test_digest_of_no_span_is_that_of_the_empty_string(spark):
     assert spark.sql("select sha2('', 256) s").first()["s"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_random_strings_of_16_characters_are_found_and_short_codes_left():
+    rng = random.Random(4)
+    keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(16)) for _ in range(200)]
+    assert sum(scan(f"see {k} here", enc(), 2.0)[0] == [("random", 4, 20)] for k in keys) >= 198
+    for known in ("978-3-16-148410-0", "2024-11-05-17-45", "responsibilities", "quarterly_report_2024", "----------------"):
+        assert scan(known, enc(), 2.0)[0] == [], known
+
+
+def test_a_key_beside_a_uuid_or_a_pattern_span_is_found():
+    uuid, access = "F81D4FAE-7DEC-11D0-A765-00A0C91E6BF6", "AKIA" + "A" * 16
+    assert scan(f"{uuid}/{RANDOM}", enc(), 2.0)[0] == [("random", 36, 37 + len(RANDOM))]
+    assert scan(f"{access}/{RANDOM}{RANDOM[:16]}", enc(), 2.0)[0] == [("access", 0, 20), ("random", 20, 61)]
+    assert scan(f"{uuid}/some_long_identifier_name", enc(), 2.0)[0] == []
