@@ -31,14 +31,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates (smallest id, then
     smallest text hash; null ids last).  Documents without a word are in no
-    group and stay; rows equal in id and text count once."""
-    docs = docs.select(*COLUMNS)
+    group and all stay; other rows equal in id and text count once."""
+    docs = docs.select(*COLUMNS).withColumn("key", row_key("doc_id", "text"))
     groups = similarity_components(docs)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     first = groups.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(order)["key"].alias("key")).select("key")
-    keep = first.unionAll(groups.where(F.col("group").isNull()).select("key")).distinct()
-    return docs.withColumn("key", row_key("doc_id", "text")).join(keep, "key", "left_semi").dropDuplicates(
-        ["key"]).select(*COLUMNS)
+    wordless = groups.where(F.col("group").isNull()).select("key").distinct()
+    kept = docs.join(first, "key", "left_semi").dropDuplicates(["key"])
+    return kept.unionAll(docs.join(wordless, "key", "left_semi")).select(*COLUMNS)
 
 
 def benchmark_overlap(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,6 +71,13 @@ def test_near_duplicate_stage_on_awkward_rows(spark):
     assert ids.count(0) == 2  # two texts under one id; the repeated row counts once
 
 
+def test_near_duplicate_stage_keeps_every_row_without_a_word(spark):
+    rows = [(None, None, "en", "a", None), (None, None, "de", "b", None), (1, "", "en", "a", 0), (1, "", "fr", "c", 0),
+            (2, "one text of words", "en", "a", 17), (2, "one text of words", "en", "a", 17)]
+    out = corpus_pipeline.near_duplicates(spark, frame(spark, rows), SF).collect()
+    assert sorted(map(tuple, out), key=repr) == sorted(rows[:5], key=repr)
+
+
 def test_warc_query_equals_its_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF}/pages.parquet')")
