@@ -18,6 +18,7 @@ from docshred.llm.cost_packing import pack_documents, piece_digest
 from docshred.llm.crf_quality import score_quality
 from docshred.llm.divergence_rules import judge
 from docshred.llm.jaccard_join import similarity_components
+from docshred.llm.periodic_runs import find_runs, plant, run_digest
 from docshred.llm.ppm_language import identify
 from docshred.llm.span_dedup import WHOLE, remove_repeats
 from docshred.llm.spaced_seeds import find_overlaps
@@ -94,10 +95,15 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(find_runs(plant(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_crf_quality, op2_warc_dictionary, op3_divergence_rules, op4_toxicity_grammar, op5_sentence_spans,
-        op6_spaced_seeds, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language, op10_jaccard_join)} | {
+        op6_spaced_seeds, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language, op10_jaccard_join,
+        op11_periodic_runs)} | {
         "pipeline": corpus_pipeline.run}
 
 
