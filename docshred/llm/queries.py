@@ -13,6 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docshred.llm.anchor_negatives import hard_negatives
 from docshred.llm.common import table
 from docshred.llm.cost_packing import pack_documents, piece_digest
 from docshred.llm.crf_quality import score_quality
@@ -99,13 +100,37 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digest(find_runs(plant(table(spark, sf_dir, "documents"))))
 
 
+def op13_anchor_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+OP13_SQL = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id,
+                  CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+           FROM r AS a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+     p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id AS negative_id,
+       positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 3
+"""
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_crf_quality, op2_warc_dictionary, op3_divergence_rules, op4_toxicity_grammar, op5_sentence_spans,
         op6_spaced_seeds, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language, op10_jaccard_join,
-        op11_periodic_runs)} | {
+        op11_periodic_runs, op13_anchor_negatives)} | {
         "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_dictionary": OP2_SQL}
+    return {"op2_warc_dictionary": OP2_SQL, "op13_anchor_negatives": OP13_SQL}
