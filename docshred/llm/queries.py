@@ -21,6 +21,7 @@ from docshred.llm.divergence_rules import judge
 from docshred.llm.jaccard_join import similarity_components
 from docshred.llm.periodic_runs import find_runs, plant, run_digest
 from docshred.llm.ppm_language import identify
+from docshred.llm.prefix_free_dedup import remove_substrings
 from docshred.llm.span_dedup import WHOLE, remove_repeats
 from docshred.llm.spaced_seeds import find_overlaps
 from docshred.llm.token_secrets import find_secrets, span_list
@@ -100,6 +101,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digest(find_runs(plant(table(spark, sf_dir, "documents"))))
 
 
+def op12_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_substrings(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
+
+
 def op13_anchor_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 50 == 0)
@@ -128,7 +134,7 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_crf_quality, op2_warc_dictionary, op3_divergence_rules, op4_toxicity_grammar, op5_sentence_spans,
         op6_spaced_seeds, op7_secret_scan, op8_cost_balanced_packing, op9_ppm_language, op10_jaccard_join,
-        op11_periodic_runs, op13_anchor_negatives)} | {
+        op11_periodic_runs, op12_prefix_free_dedup, op13_anchor_negatives)} | {
         "pipeline": corpus_pipeline.run}
 
 
