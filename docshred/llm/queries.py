@@ -106,6 +106,25 @@ def op12_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
 
 
+OP12_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+     w AS (SELECT doc_id, i, substr(x, CAST(2 * i + 1 AS BIGINT), 100) AS s
+           FROM (SELECT doc_id, x, unnest(range(0, n - 49)) AS i FROM d)),
+     f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+     r AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new
+           FROM w JOIN f USING (s) WHERE first < doc_id),
+     k AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
+     g AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM k GROUP BY doc_id, run),
+     e AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS past FROM g),
+     t AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS gone, count(*) AS spans, max(b) AS last,
+                  string_agg(substr(x, 2 * past + 1, 2 * (a - past)), '' ORDER BY a) AS head
+           FROM e JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
+
 def op13_anchor_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 50 == 0)
@@ -139,4 +158,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_dictionary": OP2_SQL, "op13_anchor_negatives": OP13_SQL}
+    return {"op2_warc_dictionary": OP2_SQL, "op12_prefix_free_dedup": OP12_SQL, "op13_anchor_negatives": OP13_SQL}
