@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docshred.functions.json_fields import array_len, has_key, key_fallback, raw_array_len, zip_arrays
-from docshred.plans.spec import TableSpec, WideSpec
+from docshred.plans.spec import Element, TableSpec, WideSpec
 from docshred.sources.documents import CORRUPT
 
 # ---- fixed values of the output contract ---------------------------------------------
@@ -38,7 +38,7 @@ def _keys():
 
 
 def _e(field: str):
-    return lambda: col("e")[field]
+    return Element(lambda e: e[field])
 
 
 def _discharge():
@@ -72,6 +72,21 @@ def _destination_alternates():
     return F.transform(col("_dest_obj")["alternateIdentifiers"], lambda e: F.from_json(e, ALT_ID))
 
 
+def _destination_alternates_misfit():
+    """1 where the destination's alternates are there but no array."""
+    key = F.when(has_key(col("dischargeInfo"), "destinationDescription"), "destinationDescription").otherwise("destination")
+    raw = F.when(key == "destinationDescription", F.get_json_object("dischargeInfo", "$.destinationDescription.alternateIdentifiers")
+                 ).otherwise(F.get_json_object("dischargeInfo", "$.destination.alternateIdentifiers"))
+    return F.coalesce((col("_dest_obj").isNotNull() & col("_dest_obj")["alternateIdentifiers"].isNull() & raw.isNotNull()
+                       ).cast("int"), F.lit(0))
+
+
+def _destination_alternates_bad():
+    """Alternates that are no objects."""
+    return F.coalesce(F.size(F.filter(col("_dest_obj")["alternateIdentifiers"], lambda e: e.isNull() | (
+        F.substring(F.ltrim(e), 1, 1) != "{"))), F.lit(0))
+
+
 def _destination_alternate_count():
     return F.coalesce(F.size(_destination_object()["alternateIdentifiers"]), F.lit(0))
 
@@ -87,14 +102,19 @@ def _payor():
     return col("_q")
 
 
-def _payor_company():
-    q = _payor()
-    return F.when(col("_nested"), q["policy"]["payor"]["name"]["name"]).otherwise(q["companyName"])
+def _by_shape(nested_value, flat: str):
+    """Element column of a payor by its shape; ``of`` reads a (q, nested) struct."""
+    def pick(q, nested):
+        return F.when(nested, nested_value(q["policy"])).otherwise(q[flat])
+    return Element(lambda x: pick(x["q"], x["nested"]), lambda: pick(_payor(), col("_nested")))
+
+
+_payor_company = _by_shape(lambda policy: policy["payor"]["name"]["name"], "companyName")
+_payor_policy_number = _by_shape(lambda policy: policy["policyNumber"], "policyNumber")
 
 
-def _payor_policy_number():
-    q = _payor()
-    return F.when(col("_nested"), q["policy"]["policyNumber"]).otherwise(q["policyNumber"])
+def _parsed_payors():
+    return F.transform("payors", lambda e: F.struct(F.from_json(e, PAYOR_FIELDS).alias("q"), has_key(e, "policy").alias("nested")))
 
 
 def _contacts():
@@ -152,6 +172,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
                  ("expirationIndicator", lambda: col("demographics.expirationIndicator").try_cast("boolean")),
                  ("patientClass", lambda: col("demographics.patientClass"))),
             expected=lambda: F.lit(1), expected_raw=lambda: F.lit(1),
+            depends=("demographics", "demographics.name"),
             gates=("patient_id", "PAA_version", "admitDate", "firstName")),
         TableSpec(
             "demographicIdentifiers", ("demographics",),
@@ -160,6 +181,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             rows=lambda: col("demographics.identifiers"),
             expected=lambda: array_len("demographics.identifiers"),
             expected_raw=lambda: raw_array_len(col(CORRUPT), "$.demographics.identifiers"),
+            depends=("demographics", "demographics.identifiers"),
             gates=("patient_id", "PAA_version", "additionalDemID")),
         TableSpec(
             "Contacts", ("demographics",),
@@ -170,6 +192,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             expected=lambda: F.greatest(array_len("demographics.phoneNumbers"),
                                         array_len("demographics.emergencyContacts")),
             expected_raw=_raw_contacts,
+            depends=("demographics", "demographics.phoneNumbers", "demographics.emergencyContacts"),
             gates=("patient_id", "PAA_version")),
         TableSpec(
             "discharge", ("dischargeInfo",),
@@ -182,6 +205,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             document_prepare=DISCHARGE_PREPARE,
             expected=lambda: col("dischargeInfo").isNotNull().cast("int"),
             expected_raw=lambda: col("dischargeInfo").isNotNull().cast("int"),
+            depends=("dischargeInfo",),
             gates=("patient_id", "PAA_version", "disposition")),
         TableSpec(
             "dischargeDestinationIdentifiers", ("dischargeInfo",),
@@ -189,6 +213,8 @@ def clinical_specs() -> tuple[TableSpec, ...]:
                  ("destination_facility", _e("facility")), ("destination_type", _e("type"))),
             document_prepare=ALTERNATES_PREPARE, rows=_destination_alternates,
             expected=_destination_alternate_count,
+            misfit=_destination_alternates_misfit, misfit_elements=_destination_alternates_bad,
+            depends=("dischargeInfo",),
             gates=("patient_id", "PAA_version", "destination_id")),
         TableSpec(
             "diagnoses", ("diagnoses",),
@@ -197,6 +223,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             rows=lambda: col("diagnoses"),
             expected=lambda: array_len("diagnoses"),
             expected_raw=lambda: raw_array_len(col(CORRUPT), "$.diagnoses"),
+            depends=("diagnoses",),
             gates=("patient_id", "PAA_version", "code", "method"), reported=("type",)),
         TableSpec(
             "payors", ("payors",),
@@ -205,9 +232,10 @@ def clinical_specs() -> tuple[TableSpec, ...]:
                  ("expiresDate", lambda: _payor()["expiresDate"]),
                  ("priority", lambda: _payor()["priority"])),
             rows=lambda: col("payors"),
-            prepare=PAYOR_PREPARE,
+            prepare=PAYOR_PREPARE, check_rows=_parsed_payors,
             expected=lambda: array_len("payors"),
             expected_raw=lambda: raw_array_len(col(CORRUPT), "$.payors"),
+            depends=("payors",),
             gates=("patient_id", "PAA_version", "companyName", "policyNumber")),
         TableSpec(
             "facility", ("facility",),
@@ -218,6 +246,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             expected=lambda: col("facility").isNotNull().cast("int"),
             expected_raw=lambda: F.expr(
                 f"CASE WHEN get_json_object({CORRUPT}, '$.facility') IS NULL THEN 0 ELSE 1 END"),
+            depends=("facility",),
             gates=("patient_id", "PAA_version", "facilityId", "facilityName"),
             reported=("facilityCareSetting",)),
         TableSpec(
@@ -227,6 +256,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             rows=lambda: col("facility.alternateIdentifiers"),
             expected=lambda: array_len("facility.alternateIdentifiers"),
             expected_raw=lambda: raw_array_len(col(CORRUPT), "$.facility.alternateIdentifiers"),
+            depends=("facility", "facility.alternateIdentifiers"),
             gates=("patient_id", "PAA_version", "facilityAltid", "facilityAlttype")),
         TableSpec(
             "documents", ("documents",),
@@ -235,20 +265,23 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             rows=lambda: col("documents"),
             expected=lambda: array_len("documents"),
             expected_raw=lambda: raw_array_len(col(CORRUPT), "$.documents"),
+            depends=("documents",),
             gates=("patient_id", "PAA_version", "fileName", "displayFilename")),
         TableSpec(
             "oasis", ("assessments",), _wide_columns("oasis"),
             rows=lambda: col("assessments"),
-            element_where=lambda: col("e.type") == OASIS_TYPE,
+            element_where=Element(lambda e: e["type"] == OASIS_TYPE),
             wide=WideSpec(payload=_e("assessmentData"), dictionary="oasis", keys_only_rows=_assessment_keys),
             expected=_assessment_count(OASIS_TYPE), expected_raw=_raw_assessment_count(OASIS_TYPE),
+            depends=("assessments",),
             gates=("patient_id", "PAA_version", "oasis_id")),
         TableSpec(
             "mds", ("assessments",), _wide_columns("mds"),
             rows=lambda: col("assessments"),
-            element_where=lambda: col("e.type") == MDS_TYPE,
+            element_where=Element(lambda e: e["type"] == MDS_TYPE),
             wide=WideSpec(payload=_e("assessmentData"), dictionary="mds", keys_only_rows=_assessment_keys),
             expected=_assessment_count(MDS_TYPE), expected_raw=_raw_assessment_count(MDS_TYPE),
+            depends=("assessments",),
             gates=("patient_id", "PAA_version", "mds_id")),
     )
 

@@ -30,7 +30,7 @@ from docshred.session import shared_dir
 from docshred.sources.dictionary import write_dictionary
 from docshred.sources.documents import read_documents, well_formed
 
-CORPUS_VERSION = "v5"
+CORPUS_VERSION = "v6"
 
 # ---- scalar fields of one document, as SQL over the joined row -----------------------
 # {ts:x} → 'yyyy-MM-dd HH:mm:ss.SSS' text, {day:x} → 'yyyy-MM-dd' text, per dialect.
@@ -261,9 +261,35 @@ def document_json() -> str:
     return f"replace({spliced}, '{_NULL_TEXT}', 'null')"
 
 
+# Documents that do not fit, one per supplier, by s_suppkey % 10: sections and
+# elements of the wrong kind, and a line that breaks off (6).
+MISFIT_SECTIONS = {
+    0: """'"documents":"zz"'""",
+    1: """'"demographics":"text"'""",
+    2: """'"demographics":{"id":"D' || k || '","identifiers":{"id":"x"}}'""",
+    3: """'"dischargeInfo":"text"'""",
+    4: """'"facility":["x"]'""",
+    5: """'"diagnoses":[{"method":"m","code":"c' || k || '"},"bad"]'""",
+    6: """'"documents":[{"filename":"f'""",
+    7: """'"dischargeInfo":{"disposition":"d","destination":{"id":"i' || k || '","alternateIdentifiers":{"id":"x"}}}'""",
+    8: """'"payors":{"companyName":"x"}'""",
+    9: """'"assessments":"none"'""",
+}
+
+
+def misfit_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-column frame ``value``: a document that does not fit for every supplier."""
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.expr("CAST(s_suppkey AS STRING)").alias("k"), "s_suppkey")
+    section = "CASE s_suppkey % 10 " + " ".join(f"WHEN {n} THEN {sql}" for n, sql in MISFIT_SECTIONS.items()) + " END"
+    return s.select(F.expr(f"""concat('{{"id":"S', k, '","version":"2.7",', {section},
+        CASE WHEN s_suppkey % 10 = 6 THEN '' ELSE '}}' END)""").alias("value"))
+
+
 def build_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One-column frame ``value`` of JSON document text, one row per lineitem."""
-    return joined_rows(spark, sf_dir).select(F.expr(document_json()).alias("value"))
+    """One-column frame ``value`` of JSON document text, one row per lineitem, and
+    those that do not fit."""
+    return joined_rows(spark, sf_dir).select(F.expr(document_json()).alias("value")).unionAll(
+        misfit_documents(spark, sf_dir))
 
 
 TURN_ITEMS = ("TURN", "ROLE", "TEXT")
@@ -328,7 +354,7 @@ def _corpus_key(spark: SparkSession, sf_dir: str) -> str:
     if known not in _KEYS:
         paths = [f"{sf_dir}/{t}.parquet" for t in [*SOURCE_COLUMNS, "conversations"]]
         files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime").collect()
-        parts = [CORPUS_VERSION, document_json(), repr(sorted(BASE_FIELDS.items())),
+        parts = [CORPUS_VERSION, document_json(), repr(MISFIT_SECTIONS), repr(sorted(BASE_FIELDS.items())),
                  *sorted(f"{r[0]} {r[1]} {r[2]}" for r in files)]
         _KEYS[known] = hashlib.sha1("\n".join(parts).encode()).hexdigest()[:16]
     return _KEYS[known]

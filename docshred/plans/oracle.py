@@ -30,6 +30,30 @@ def base_cte() -> str:
   JOIN part ON l_partkey = p_partkey)"""
 
 
+# documents that do not fit: one per supplier, its kind by the last digit of the key
+MISFIT_CTE = """bad AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS k, 'S' || CAST(s_suppkey AS VARCHAR) AS pid, '2.7' AS ver, s_suppkey % 10 AS kind
+  FROM supplier)"""
+
+# what they hold all the same
+MISFIT_ROWS = {
+    "patientInfo": f"""SELECT {KEYS}, {V}, {V}, CASE WHEN kind = 2 THEN 'D' || k END, {V}, {V}, {V}, {V}, {V}, {V}, {V},
+  CAST(NULL AS BOOLEAN), {V} FROM bad WHERE kind <> 6""",
+    "discharge": f"""SELECT {KEYS}, {V}, CASE WHEN kind = 7 THEN 'd' END, CASE WHEN kind = 7 THEN 'i' || k END, {V}, {V}
+FROM bad WHERE kind IN (3, 7)""",
+    "diagnoses": f"""SELECT {KEYS}, 'm', 'c' || k, {V}, {V}, {V} FROM bad WHERE kind = 5
+UNION ALL SELECT {KEYS}, {V}, {V}, {V}, {V}, {V} FROM bad WHERE kind = 5""",
+}
+MISFIT_EXPECTED = {"patientInfo": "(kind <> 6)::INT", "discharge": "(kind IN (3, 7))::INT", "diagnoses": "2 * (kind = 5)::INT",
+                   "facility": "(kind = 4)::INT"}       # there, so a row is called for; its kind gives none
+# kinds whose section a table's rows come from, and kinds with an element that is no object
+MISFIT_KINDS = {
+    "patientInfo": "1", "demographicIdentifiers": "1, 2", "Contacts": "1", "discharge": "3",
+    "dischargeDestinationIdentifiers": "3, 7", "payors": "8", "facility": "4", "facilityIdentifiers": "4",
+    "documents": "0", "oasis": "9", "mds": "9"}
+MISFIT_ELEMENT_KINDS = {"diagnoses": "5"}
+
+
 def _payload(kind: str, narrow: bool) -> str:
     items = [
         'k_orderkey AS "L_ORDERKEY"', 'k_partkey AS "L_PARTKEY"', 'k_suppkey AS "L_SUPPKEY"',
@@ -54,6 +78,11 @@ def _no_items(kind: str, narrow: bool) -> str:
 def table_sql(name: str, narrow: bool = False) -> str:
     """Body (no WITH) of one of the twelve tables, before dedup.  ``narrow``
     leaves out the dictionary columns no payload carries (always null)."""
+    more = MISFIT_ROWS.get(name)
+    return _fitting_sql(name, narrow) + (f"\nUNION ALL {more}" if more else "")
+
+
+def _fitting_sql(name: str, narrow: bool) -> str:
     fs = "l_returnflag || l_linestatus"
     seg = "c_mktsegment"
     if name == "patientInfo":
@@ -128,7 +157,7 @@ UNION ALL SELECT {KEYS}, asmt3_id, admit, {_no_items('mds', narrow)} FROM base,
 
 
 def _with(*ctes: str) -> str:
-    return "WITH " + ",\n".join((base_cte(),) + ctes) + "\n"
+    return "WITH " + ",\n".join((base_cte(), MISFIT_CTE) + ctes) + "\n"
 
 
 def _tables_cte(narrow: bool = True) -> list[str]:
@@ -179,10 +208,40 @@ def _checked():
 
 def _expected_sql() -> str:
     return "\nUNION ALL ".join(
-        f"""SELECT '{n}' AS "table", CAST(coalesce(sum({e}), 0) AS BIGINT) AS expected_rows FROM base"""
+        f"""SELECT '{n}' AS "table", CAST(coalesce((SELECT sum({e}) FROM base), 0)
+  + coalesce((SELECT sum({MISFIT_EXPECTED.get(n, '0')}) FROM bad), 0) AS BIGINT) AS expected_rows"""
         for n, e in EXPECTED.items())
 
 
+def _misfit_counts_sql() -> str:
+    def count(kinds: str) -> str:
+        return f"(SELECT CAST(count(*) AS BIGINT) FROM bad WHERE kind IN ({kinds}))"
+    return "\nUNION ALL ".join(
+        f"""SELECT '{n}' AS "table", {count(MISFIT_KINDS.get(n, 'NULL'))} AS misfit_sections,
+  {count(MISFIT_ELEMENT_KINDS.get(n, 'NULL'))} AS misfit_elements""" for n in TABLE_NAMES)
+
+
+def _report_sql() -> str:
+    """The report from ex (expected rows), rc (rows), nc (null counts), mf (misfits) and rj (rejected lines)."""
+    return """SELECT nc."table",
+  ex.expected_rows, rc.n AS actual_rows,
+  CASE WHEN ex.expected_rows = rc.n AND mf.misfit_sections = 0 THEN 'PASS' ELSE 'FAIL' END AS row_count_status,
+  nc."column", nc.null_count, nc.gates,
+  CASE WHEN rc.n = 0 THEN 'NOT_APPLICABLE'
+       WHEN bool_or(nc.gates AND nc.null_count > 0) OVER (PARTITION BY nc."table") THEN 'FAIL'
+       ELSE 'PASS' END AS completeness_status,
+  CASE WHEN mf.misfit_sections > 0
+       THEN printf('Row count for %s table not comparable: %d sections of the wrong kind (source %d, table %d)',
+                   nc."table", mf.misfit_sections, ex.expected_rows, rc.n)
+       WHEN ex.expected_rows = rc.n THEN printf('Row count for %s table matched: %d', nc."table", rc.n)
+       ELSE printf('Row count mismatch for %s table: source %d, table %d', nc."table", ex.expected_rows, rc.n) END AS message,
+  CASE WHEN rc.n = 0 THEN printf('Completeness of %s not applicable: no rows', nc."table")
+       WHEN nc.null_count = 0 THEN printf('Completeness of %s.%s passed', nc."table", nc."column")
+       ELSE printf('Null values in %s.%s: %d', nc."table", nc."column", nc.null_count) END AS completeness_message,
+  rj.n AS rejected_lines, mf.misfit_sections, mf.misfit_elements
+FROM nc JOIN rc ON nc."table" = rc."table" JOIN ex ON nc."table" = ex."table" JOIN mf ON nc."table" = mf."table", rj"""
+
+
 def _row_counts_sql() -> str:
     return "\nUNION ALL ".join(
         f"SELECT '{n}' AS \"table\", CAST(count(*) AS BIGINT) AS n FROM t_{n}" for n in TABLE_NAMES)
@@ -197,12 +256,27 @@ def _null_counts_sql() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _sparse_report_sql() -> str:
+    """Documents of one conversation turn each: a patientInfo row with its keys and nothing else."""
+    def n(name: str) -> str:
+        return "(SELECT CAST(count(*) AS BIGINT) FROM conversations)" if name == "patientInfo" else "CAST(0 AS BIGINT)"
+    rows = "\nUNION ALL ".join(f"""SELECT '{t}' AS "table", {n(t)} AS expected_rows, {n(t)} AS n,
+  CAST(0 AS BIGINT) AS misfit_sections, CAST(0 AS BIGINT) AS misfit_elements""" for t in TABLE_NAMES)
+    nulls = "\nUNION ALL ".join(f"""SELECT '{t}' AS "table", '{c}' AS "column",
+  {n(t) if c in ('admitDate', 'firstName') else 'CAST(0 AS BIGINT)'} AS null_count, {str(gate).lower()} AS gates"""
+                               for t, cols in _checked() for c, gate in cols)
+    return (f"WITH mf AS ({rows}), ex AS (SELECT * FROM mf), rc AS (SELECT * FROM mf), nc AS ({nulls}),\n"
+            "rj AS (SELECT CAST(0 AS BIGINT) AS n)\n" + _report_sql())
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out["scan_documents"] = _with() + """SELECT ver AS "PAA_version", CAST(count(*) AS BIGINT) AS n_documents,
-  CAST(count(*) FILTER (WHERE c_mktsegment = 'AUTOMOBILE') AS BIGINT) AS n_without_discharge,
-  CAST(count(*) FILTER (WHERE n_regionkey IN (0, 1)) AS BIGINT) AS n_without_facility
-FROM base GROUP BY ver"""
+  CAST(count(*) FILTER (WHERE no_discharge) AS BIGINT) AS n_without_discharge,
+  CAST(count(*) FILTER (WHERE no_facility) AS BIGINT) AS n_without_facility
+FROM (SELECT ver, c_mktsegment = 'AUTOMOBILE' AS no_discharge, n_regionkey IN (0, 1) AS no_facility FROM base
+      UNION ALL SELECT ver, kind NOT IN (3, 7), true FROM bad WHERE kind <> 6)
+GROUP BY ver"""
     for q, t in TABLE_QUERIES.items():
         out[q] = _with() + table_sql(t)
     items = ", ".join([f"json_extract_string(props, '$.k') AS k"]
@@ -225,23 +299,14 @@ FROM base WHERE l_returnflag = 'R'"""
     out["drop_complete_duplicates"] = _with() + f"SELECT DISTINCT * FROM ({table_sql('diagnoses')})"
     out["mds_dedup"] = _with() + f"SELECT DISTINCT * FROM ({table_sql('mds')})"
     out["dq_expected_counts"] = _with() + _expected_sql()
-    status = "CASE WHEN ex.expected_rows = rc.n THEN 'PASS' ELSE 'FAIL' END"
-    checks = (f"ex AS ({_expected_sql()})", f"rc AS ({_row_counts_sql()})")
-    out["dq_row_counts"] = _with(*_tables_cte(), *checks) + f"""SELECT rc."table", ex.expected_rows, rc.n AS actual_rows,
-  {status} AS row_count_status FROM rc JOIN ex ON rc."table" = ex."table\""""
+    checks = (f"ex AS ({_expected_sql()})", f"rc AS ({_row_counts_sql()})", f"mf AS ({_misfit_counts_sql()})")
+    out["dq_row_counts"] = _with(*_tables_cte(), *checks) + """SELECT rc."table", ex.expected_rows, rc.n AS actual_rows,
+  CASE WHEN ex.expected_rows = rc.n AND mf.misfit_sections = 0 THEN 'PASS' ELSE 'FAIL' END AS row_count_status
+FROM rc JOIN ex ON rc."table" = ex."table" JOIN mf ON rc."table" = mf."table\""""
     out["dq_null_counts"] = _with(*_tables_cte()) + _null_counts_sql()
-    out["dq_report"] = _with(*_tables_cte(), *checks, f"nc AS ({_null_counts_sql()})") + f"""SELECT nc."table",
-  ex.expected_rows, rc.n AS actual_rows, {status} AS row_count_status, nc."column", nc.null_count, nc.gates,
-  CASE WHEN rc.n = 0 THEN 'NOT_APPLICABLE'
-       WHEN bool_or(nc.gates AND nc.null_count > 0) OVER (PARTITION BY nc."table") THEN 'FAIL'
-       ELSE 'PASS' END AS completeness_status,
-  CASE WHEN ex.expected_rows = rc.n THEN printf('Row count for %s table matched: %d', nc."table", rc.n)
-       ELSE printf('Row count mismatch for %s table: source %d, table %d', nc."table", ex.expected_rows, rc.n) END AS message,
-  CASE WHEN rc.n = 0 THEN printf('Completeness of %s not applicable: no rows', nc."table")
-       WHEN nc.null_count = 0 THEN printf('Completeness of %s.%s passed', nc."table", nc."column")
-       ELSE printf('Null values in %s.%s: %d', nc."table", nc."column", nc.null_count) END AS completeness_message,
-  CAST(0 AS BIGINT) AS rejected_lines
-FROM nc JOIN rc ON nc."table" = rc."table" JOIN ex ON nc."table" = ex."table\""""
+    out["dq_report"] = _with(*_tables_cte(), *checks, f"nc AS ({_null_counts_sql()})",
+                             "rj AS (SELECT CAST(count(*) AS BIGINT) AS n FROM bad WHERE kind = 6)") + _report_sql()
+    out["dq_report_sparse"] = _sparse_report_sql()
     out["pipeline_summary"] = _with(*_tables_cte()) + "\nUNION ALL ".join(
         f"""SELECT '{n}' AS "table", (SELECT CAST(count(*) AS BIGINT) FROM t_{n}) AS rows_before_dedup,
   (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT * FROM t_{n})) AS rows_after_dedup""" for n in TABLE_NAMES)

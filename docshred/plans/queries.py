@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docshred.operators.combine import drop_complete_duplicates, union_tables
-from docshred.operators.quality import (actual_metrics, expected_counts, quality_report,
+from docshred.operators.quality import (column_metrics, document_counts, expected_counts, quality_report,
                                         row_count_checks)
-from docshred.operators.shredder import keys_only, project_dictionary, shred
+from docshred.operators.shredder import project_dictionary, shred
 from docshred.plans import nest
 from docshred.plans.clinical import clinical_specs, spec_by_name
 from docshred.plans.pipeline import assemble, resolve_dictionaries, summary
@@ -122,30 +122,27 @@ def q_conversation_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred(docs, conversation_spec(), {"turns": list(nest.TURN_ITEMS)})
 
 
-def _metric_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame], list[TableSpec]]:
-    """Tables as the checks need them: fixed columns only, payloads unread."""
-    specs = list(clinical_specs())
-    docs = _staged_docs(spark, sf_dir)
-    return docs, {s.name: keys_only(docs, s) for s in specs}, specs
-
-
 def q_dq_expected_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expected_counts(_staged_docs(spark, sf_dir), list(clinical_specs()))
 
 
 def q_dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, tables, specs = _metric_tables(spark, sf_dir)
-    return row_count_checks(docs, tables, specs)
+    return row_count_checks(spark.read.parquet(nest.staged(spark, sf_dir)), None, clinical_specs())
 
 
 def q_dq_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, tables, specs = _metric_tables(spark, sf_dir)
-    return actual_metrics(tables, specs).select("table", "column", "null_count", "gates")
+    counts = document_counts(_staged_docs(spark, sf_dir), clinical_specs())
+    return column_metrics(counts, clinical_specs()).select("table", "column", "null_count", "gates")
 
 
 def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, tables, specs = _metric_tables(spark, sf_dir)
-    return quality_report(docs, tables, specs)
+    return quality_report(spark.read.parquet(nest.staged(spark, sf_dir)), None, clinical_specs())
+
+
+def q_dq_report_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over documents that hold assessments only: most tables have no rows."""
+    docs = read_documents(spark, nest.corpus(spark, sf_dir)["conversations"])
+    return quality_report(docs, None, clinical_specs())
 
 
 def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,6 +182,7 @@ def queries() -> dict[str, Query]:
         "dq_row_counts": q_dq_row_counts,
         "dq_null_counts": q_dq_null_counts,
         "dq_report": q_dq_report,
+        "dq_report_sparse": q_dq_report_sparse,
         "pipeline_summary": q_pipeline_summary,
     })
     return out

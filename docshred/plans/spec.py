@@ -12,10 +12,23 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 ColumnFn = Callable[[], Column]
 
 
+class Element:
+    """A column of a row's element: as a projection of the exploded ``e``, or of any
+    given element (``of``), for passes that look at all tables' rows at once."""
+
+    def __init__(self, of: Callable[[Column], Column], column: ColumnFn | None = None):
+        self.of = of
+        self.column = column
+
+    def __call__(self) -> Column:
+        return self.column() if self.column is not None else self.of(F.col("e"))
+
+
 @dataclass(frozen=True)
 class WideSpec:
     """Dictionary-driven projection of an open JSON object (P10)."""
@@ -45,6 +58,12 @@ class TableSpec:
     # data quality
     expected: ColumnFn | None = None              # per-document source count (typed columns)
     expected_raw: ColumnFn | None = None          # same, from the raw line of a partially failed record
+    depends: tuple[str, ...] = ()                 # paths of the sections the rows come from
+    misfit: ColumnFn | None = None                # per-document count of misfit parts that no path names
+    misfit_elements: ColumnFn | None = None       # same for elements
+    # what one pass over the documents takes the table's rows from, when it is
+    # not ``rows``: the element that the checked columns' ``of`` reads
+    check_rows: ColumnFn | None = None
     gates: tuple[str, ...] = ()                   # null in any → completeness FAIL
     reported: tuple[str, ...] = ()                # null counts shown, never failing
 

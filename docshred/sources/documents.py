@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
+MISFITS = "_misfits"        # sections and elements of the wrong kind, by path
+ELEMENTS = "[]"             # suffix of a path: an element of that array
 
 
 def _strings(*names: str) -> list[StructField]:
@@ -82,10 +84,50 @@ def _typed(value: Column, kind, mode: str) -> Column:
     return value
 
 
+def _sections(kind: StructType, prefix: str = "") -> list[tuple[str, object]]:
+    """(path, type) of every section that is no text, children after their parents."""
+    out = []
+    for f in kind:
+        if isinstance(f.dataType, (ArrayType, StructType)):
+            out.append((prefix + f.name, f.dataType))
+        if isinstance(f.dataType, StructType):
+            out += _sections(f.dataType, f"{prefix}{f.name}.")
+    return out
+
+
+# array of texts whose elements are objects all the same; sections read as text that are objects
+OBJECT_ELEMENTS = ("payors",)
+OBJECT_TEXTS = ("dischargeInfo",)
+
+
+def _is_object(text: Column) -> Column:
+    return F.substring(F.ltrim(text), 1, 1) == "{"
+
+
+def misfits(docs: DataFrame) -> Column:
+    """Paths of what a document holds in the wrong kind: a section once (it reads as
+    null, but the raw line has a value there), ``path[]`` once for every element of
+    an array of objects that is no object.  Empty for a document that fits; lines
+    that are no documents are not looked at.  ``docs`` as read, elements as text."""
+    sections = [(p, t) for p, t in _sections(DOCUMENT_SCHEMA) if p.split(".")[0] in docs.columns]
+    # the typed parse sets the corrupt record whenever a section did not fit
+    partly = F.col(CORRUPT).isNotNull() & ~not_object()
+    found = [F.when(partly & F.col(p).isNull() & F.get_json_object(CORRUPT, f"$.{p}").isNotNull(), F.lit(p)) for p, _ in sections]
+    found += [F.when(F.col(p).isNotNull() & F.json_object_keys(p).isNull(), F.lit(p)) for p in OBJECT_TEXTS if p in docs.columns]
+    out = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+    for p, t in sections:
+        if isinstance(t, ArrayType) and (isinstance(t.elementType, StructType) or p in OBJECT_ELEMENTS):
+            bad = F.size(F.filter(F.col(p), lambda e: e.isNull() | ~_is_object(e)))
+            out = F.concat(out, F.array_repeat(F.lit(p + ELEMENTS), F.coalesce(bad, F.lit(0))))
+    return out
+
+
 def typed_documents(docs: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
-    """Documents read with ``document_schema`` with their array elements parsed."""
+    """Documents read with ``document_schema`` with their array elements parsed; in a
+    permissive read with ``misfits`` beside them."""
     known = {f.name: f.dataType for f in DOCUMENT_SCHEMA}
-    return docs.select(*[_typed(F.col(c), known[c], mode).alias(c) if c in known else F.col(c) for c in docs.columns])
+    extra = [misfits(docs).alias(MISFITS)] if CORRUPT in docs.columns else []
+    return docs.select(*[_typed(F.col(c), known[c], mode).alias(c) if c in known else F.col(c) for c in docs.columns], *extra)
 
 
 def document_schema(sections: list[str] | None = None, corrupt: bool = False) -> StructType:

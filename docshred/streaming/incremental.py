@@ -55,7 +55,7 @@ def shred_batch(batch: DataFrame, batch_id: int, out_root: str, dicts: Mapping[s
     ok = well_formed(docs)
     specs = clinical_specs()
     before = {s.name: shred(ok, s, dicts, widen=False) for s in specs}
-    _write(quality_report(docs, before, specs), f"{out_root}/_quality", batch_id)
+    _write(quality_report(docs, None, specs), f"{out_root}/_quality", batch_id)
     _write(malformed(docs), f"{out_root}/_rejected", batch_id)
     for name, df in before.items():
         _write(drop_complete_duplicates(df), f"{out_root}/{name}", batch_id)

@@ -94,3 +94,19 @@ def test_destination_alternates_parse_the_discharge_text_once(spark, write_lines
     staged = stage_documents(read_documents(spark, write_lines([HAPPY])), str(tmp_path / "d"))
     plan = _optimized(shred(staged, spec_by_name("dischargeDestinationIdentifiers")))
     assert plan.count("from_json(StructField(destination,") == 1
+
+
+def test_report_reads_the_documents_twice_and_no_payload(spark, write_lines, tmp_path):
+    import contextlib
+    import io
+
+    from docshred.operators.quality import quality_report
+    from docshred.plans.clinical import clinical_specs
+    staged = stage_documents(read_documents(spark, write_lines([HAPPY])), str(tmp_path / "q"))
+    report = quality_report(staged, None, clinical_specs())
+    assert _plan(report).count("FileScan parquet") <= 2
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        report.explain("formatted")
+    schema = [ln for ln in buf.getvalue().splitlines() if "ReadSchema" in ln]
+    assert schema and "assessmentData" not in " ".join(schema)
