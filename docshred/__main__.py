@@ -14,8 +14,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from docshred.plans.pipeline import build, summary
-from docshred.sources.sinks import write_tables
+from docshred.plans.pipeline import build, summary, write_result
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -34,10 +33,9 @@ def main(argv: list[str] | None = None) -> None:
         from docshred.session import local_session
         active = local_session()
     res = build(active, args.input, {"oasis": args.oasis, "mds": args.mds}, mode=args.mode)
-    paths = write_tables(res.tables, args.out, fmt=args.format)
-    paths.update(write_tables({"_quality": res.quality, "_rejected": res.rejected}, args.out, fmt=args.format))
+    paths = write_result(res, args.out, args.format)
     if args.summary:
-        for r in summary(res, paths, args.format).collect():          # one row per table
+        for r in summary(res, paths).collect():          # one row per table
             print(json.dumps(r.asDict()))
     print(json.dumps(paths))
 

@@ -8,14 +8,14 @@ row, so a document id repeated over several lines never multiplies rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from docshred.plans.spec import TableSpec
+from docshred.plans.spec import Element, TableSpec
 from docshred.sources.dictionary import dictionary_schema
 
 WIDE_STRUCT = "_items"
@@ -42,6 +42,37 @@ def _rows(docs: DataFrame, spec: TableSpec, positions: bool = False) -> DataFram
     return df
 
 
+def with_document_helpers(docs: DataFrame, specs: Sequence[TableSpec]) -> DataFrame:
+    """The documents with the document helper columns of all specs, each once."""
+    made: set[str] = set()
+    for s in specs:
+        for name, fn in s.document_prepare:     # a helper may read the one before it
+            if name not in made:
+                docs = docs.withColumn(name, fn())
+                made.add(name)
+    return docs
+
+
+def value_of(fn, e: Column | None) -> Column:
+    """A column rule applied to a given element (document columns need none)."""
+    return fn.of(e) if isinstance(fn, Element) else fn()
+
+
+def row_array(spec: TableSpec, of: Callable[[Column | None], Column], none: Column, keys_only: bool = False) -> Column:
+    """A table's rows as one array per document, ``of`` applied to each row's element
+    (None for a table with one row per document); ``none`` is the typed empty array.
+    ``keys_only`` takes the rows of a wide table without payloads."""
+    if spec.rows is None:
+        rows = F.array(of(None))
+    else:
+        rows = (spec.check_rows or (keys_only and spec.wide and spec.wide.keys_only_rows) or spec.rows)()
+        if spec.element_where is not None:
+            rows = F.filter(rows, spec.element_where.of)
+        rows = F.transform(rows, of)
+    rows = F.coalesce(rows, none)
+    return rows if spec.where is None else F.when(spec.where(), rows).otherwise(none)
+
+
 def wide_schema(spec: TableSpec, dictionaries: Mapping[str, object]) -> StructType:
     schema = dictionary_schema(dictionaries[spec.wide.dictionary])
     clash = {c.lower() for c in spec.column_names} & {f.name.lower() for f in schema.fields}
@@ -98,7 +129,7 @@ def _q(name: str) -> str:
 def shred(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, object] | None = None,
           widen: bool = True, discover_items: bool = False,
           items: Mapping[str, list[str]] | None = None, positions: bool = False,
-          rename_fixes: bool = False) -> DataFrame:
+          rename_fixes: bool = False, carry: Mapping[str, Column] | None = None) -> DataFrame:
     """Build one table.  For a wide spec the dictionary items follow the fixed
     columns; with ``widen=False`` they stay packed in one struct column
     ``_items`` (cheaper to deduplicate, see ``combine.drop_complete_duplicates``).
@@ -109,19 +140,28 @@ def shred(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, object] |
     The result is the same either way.
 
     ``positions`` adds ``_pos``, the element's place in its array (0 for a table
-    with one row per document), ``rename_fixes`` corrects misspelt column names."""
+    with one row per document), ``rename_fixes`` corrects misspelt column names.
+    ``carry`` adds columns of the document to every row (e.g. its ordinal)."""
     df = _rows(docs, spec, positions)
     fixes = dict(spec.renames) if rename_fixes else {}
     fixed = [fn().alias(fixes.get(name, name)) for name, fn in spec.columns]
     if positions:
         fixed.append(F.col(POSITION) if spec.rows is not None else F.lit(0).alias(POSITION))
+    fixed += [c.alias(name) for name, c in (carry or {}).items()]
     if spec.wide is None:
         return df.select(*fixed)
-    names = wide_schema(spec, dictionaries or {}).names
-    payload = spec.wide.payload()
-    parse = names
     if discover_items:
         items = {spec.wide.dictionary: [], **items_by_dictionary(occurring_items(docs, [spec], dictionaries))}
+    parsed, names = parsed_items(spec, spec.wide.payload(), dictionaries or {}, items)
+    narrow = df.select(*fixed, parsed.alias(WIDE_STRUCT, metadata={ITEMS_META: names}))
+    return narrow if not widen else widen_items(narrow)
+
+
+def parsed_items(spec: TableSpec, payload: Column, dictionaries: Mapping[str, object],
+                 items: Mapping[str, list[str]] | None = None) -> tuple[Column, list[str]]:
+    """The payload's dictionary items as a struct that is never null, and all names."""
+    names = wide_schema(spec, dictionaries).names
+    parse = names
     if items is not None and spec.wide.dictionary in items:
         known = set(items[spec.wide.dictionary])
         parse = [n for n in names if n in known]
@@ -129,9 +169,7 @@ def shred(docs: DataFrame, spec: TableSpec, dictionaries: Mapping[str, object] |
     # from_json to a struct keeps the last of duplicate keys and drops keys
     # outside the struct.  A missing payload reads as {}: rows that are equal in
     # every item column must have equal structs, too.
-    parsed = F.coalesce(F.from_json(payload, schema), F.from_json(F.lit("{}"), schema))
-    narrow = df.select(*fixed, parsed.alias(WIDE_STRUCT, metadata={ITEMS_META: names}))
-    return narrow if not widen else widen_items(narrow)
+    return F.coalesce(F.from_json(payload, schema), F.from_json(F.lit("{}"), schema)), names
 
 
 def item_names(df: DataFrame) -> tuple[list[str], StructType]:

@@ -109,6 +109,10 @@ def _by_shape(nested_value, flat: str):
     return Element(lambda x: pick(x["q"], x["nested"]), lambda: pick(_payor(), col("_nested")))
 
 
+def _flat(field: str):
+    return Element(lambda x: x["q"][field], lambda: _payor()[field])
+
+
 _payor_company = _by_shape(lambda policy: policy["payor"]["name"]["name"], "companyName")
 _payor_policy_number = _by_shape(lambda policy: policy["policyNumber"], "policyNumber")
 
@@ -228,9 +232,9 @@ def clinical_specs() -> tuple[TableSpec, ...]:
         TableSpec(
             "payors", ("payors",),
             k + (("companyName", _payor_company), ("policyNumber", _payor_policy_number),
-                 ("effectiveDate", lambda: _payor()["effectiveDate"]),
-                 ("expiresDate", lambda: _payor()["expiresDate"]),
-                 ("priority", lambda: _payor()["priority"])),
+                 ("effectiveDate", _flat("effectiveDate")),
+                 ("expiresDate", _flat("expiresDate")),
+                 ("priority", _flat("priority"))),
             rows=lambda: col("payors"),
             prepare=PAYOR_PREPARE, check_rows=_parsed_payors,
             expected=lambda: array_len("payors"),

@@ -30,7 +30,7 @@ from docshred.session import shared_dir
 from docshred.sources.dictionary import write_dictionary
 from docshred.sources.documents import read_documents, well_formed
 
-CORPUS_VERSION = "v6"
+CORPUS_VERSION = "v7"
 
 # ---- scalar fields of one document, as SQL over the joined row -----------------------
 # {ts:x} → 'yyyy-MM-dd HH:mm:ss.SSS' text, {day:x} → 'yyyy-MM-dd' text, per dialect.
@@ -288,8 +288,9 @@ def misfit_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-column frame ``value`` of JSON document text, one row per lineitem, and
     those that do not fit."""
-    return joined_rows(spark, sf_dir).select(F.expr(document_json()).alias("value")).unionAll(
-        misfit_documents(spark, sf_dir))
+    # in the order of their keys, so that "first" has a meaning that SQL can state
+    rows = joined_rows(spark, sf_dir).orderBy("l_orderkey", "l_linenumber")
+    return rows.select(F.expr(document_json()).alias("value")).unionAll(misfit_documents(spark, sf_dir))
 
 
 TURN_ITEMS = ("TURN", "ROLE", "TEXT")
@@ -386,7 +387,7 @@ def staged(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stage(spark: SparkSession, json_path: str, out: str) -> None:
-    read_documents(spark, json_path).write.mode("overwrite").parquet(out)
+    read_documents(spark, json_path, ordinal=True).write.mode("overwrite").parquet(out)
 
 
 def staged_items(spark: SparkSession, sf_dir: str, specs, dictionaries) -> dict[str, list[str]]:

@@ -297,6 +297,11 @@ FROM base WHERE l_returnflag = 'R'"""
     out["written_tables"] = _with() + "\nUNION ALL BY NAME ".join(
         f"SELECT *, '{n}' AS source_table FROM ({table_sql(n)})" for n in ("facility", "facilityIdentifiers"))
     out["drop_complete_duplicates"] = _with() + f"SELECT DISTINCT * FROM ({table_sql('diagnoses')})"
+    out["first_facilities"] = _with() + f"""SELECT {KEYS}, fac_id AS "facilityId", n_name AS "facilityName",
+  r_name AS "facilityCareSetting", arg_min(file1, (l_orderkey, l_linenumber)) AS first_file
+FROM base WHERE n_regionkey NOT IN (0, 1) GROUP BY ALL"""
+    out["row_stream_tables"] = _with() + "\nUNION ALL BY NAME ".join(
+        f"SELECT DISTINCT *, '{n}' AS source_table FROM ({table_sql(n)})" for n in ids)
     out["mds_dedup"] = _with() + f"SELECT DISTINCT * FROM ({table_sql('mds')})"
     out["dq_expected_counts"] = _with() + _expected_sql()
     checks = (f"ex AS ({_expected_sql()})", f"rc AS ({_row_counts_sql()})", f"mf AS ({_misfit_counts_sql()})")

@@ -13,16 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docshred.operators.combine import drop_complete_duplicates, union_tables
+from docshred.operators.combine import drop_complete_duplicates, keep_first, union_tables
 from docshred.operators.quality import (column_metrics, document_counts, expected_counts, quality_report,
                                         row_count_checks)
-from docshred.operators.shredder import project_dictionary, shred
+from docshred.operators.row_stream import read_row_stream, tagged_rows, write_row_stream
+from docshred.operators.shredder import POSITION, project_dictionary, shred
 from docshred.plans import nest
 from docshred.plans.clinical import clinical_specs, spec_by_name
 from docshred.plans.pipeline import assemble, resolve_dictionaries, summary
 from docshred.plans.spec import TableSpec, WideSpec
 from docshred.session import scratch_path
-from docshred.sources.documents import read_documents, well_formed
+from docshred.sources.documents import ORDINAL, read_documents, well_formed
 from docshred.sources.sinks import read_tables, write_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +102,23 @@ def q_mds_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_complete_duplicates(narrow)
 
 
+def q_first_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facilities without duplicates, each with the first file of the first document
+    that names it (documents in input order)."""
+    rows = shred(_staged_docs(spark, sf_dir), spec_by_name("facility"), positions=True,
+                 carry={ORDINAL: F.col(ORDINAL), "first_file": F.col("documents")[0]["filename"]})
+    return keep_first(rows, [ORDINAL, POSITION], ["first_file"]).drop(ORDINAL, POSITION)
+
+
+def q_row_stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The identifier tables from the one stream of all tables' rows, written once and read back."""
+    docs, specs = _staged_docs(spark, sf_dir), clinical_specs()
+    dicts, items = _dicts(spark, sf_dir), staged_items(spark, sf_dir)
+    root = write_row_stream(tagged_rows(docs, specs, dicts, items), scratch_path(spark, "docshred-stream"))
+    names = ("demographicIdentifiers", "dischargeDestinationIdentifiers", "facilityIdentifiers")
+    return union_tables(*(read_row_stream(docs, root, spec_by_name(n)).withColumn("source_table", F.lit(n)) for n in names))
+
+
 def q_event_props_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return project_dictionary(events, ["event_id", "event_type"], F.col("props"), EVENT_ITEMS)
@@ -178,6 +196,8 @@ def queries() -> dict[str, Query]:
         "written_tables": q_written_tables,
         "drop_complete_duplicates": q_drop_complete_duplicates,
         "mds_dedup": q_mds_dedup,
+        "first_facilities": q_first_facilities,
+        "row_stream_tables": q_row_stream_tables,
         "dq_expected_counts": q_dq_expected_counts,
         "dq_row_counts": q_dq_row_counts,
         "dq_null_counts": q_dq_null_counts,

@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 MISFITS = "_misfits"        # sections and elements of the wrong kind, by path
+ORDINAL = "_doc"            # place of a document among all input lines
 ELEMENTS = "[]"             # suffix of a path: an element of that array
 
 
@@ -143,7 +144,7 @@ def document_schema(sections: list[str] | None = None, corrupt: bool = False) ->
 
 
 def read_documents(spark: SparkSession, path: str | list[str], mode: str = "PERMISSIVE",
-                   sections: list[str] | None = None) -> DataFrame:
+                   sections: list[str] | None = None, ordinal: bool = False) -> DataFrame:
     """Scan JSON-lines documents with the explicit schema.
 
     ``mode="FAILFAST"`` raises on a malformed line or on an array element that
@@ -152,6 +153,10 @@ def read_documents(spark: SparkSession, path: str | list[str], mode: str = "PERM
     by one, so a bad element is a row of nulls and its neighbours are kept.
     Blank lines are skipped by the JSON source.  A missing path raises
     ``PATH_NOT_FOUND`` at analysis time.
+
+    ``ordinal`` adds ``_doc``, which orders the documents as they stand in the input:
+    by path of the file, then start of the split, then line.  The numbers depend on
+    how the files were split, their order does not.
     """
     mode = mode.upper()
     if mode not in ("PERMISSIVE", "FAILFAST"):
@@ -160,7 +165,13 @@ def read_documents(spark: SparkSession, path: str | list[str], mode: str = "PERM
     reader = spark.read.schema(schema).option("mode", mode)
     if mode == "PERMISSIVE":
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return typed_documents(reader.json(path), mode)
+    docs = reader.json(path)
+    if ordinal:
+        # lines of a split are read in order by one task, so the id ascends within it
+        docs = docs.select("*", F.struct(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("line")).alias(ORDINAL))
+    return typed_documents(docs, mode)
 
 
 def parse_documents(lines: DataFrame, text_col: str = "value",
