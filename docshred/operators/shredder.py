@@ -27,8 +27,7 @@ def _rows(docs: DataFrame, spec: TableSpec, positions: bool = False) -> DataFram
     df = docs
     if spec.where is not None:
         df = df.where(spec.where())
-    if spec.document_prepare:
-        df = df.select("*", *[fn().alias(name) for name, fn in spec.document_prepare])
+    df = with_document_helpers(df, [spec])
     if spec.rows is not None:
         # non-outer explode: a null or empty array yields no rows
         generator = F.posexplode(spec.rows()).alias(POSITION, "e") if positions else F.explode(spec.rows()).alias("e")
@@ -43,16 +42,22 @@ def _rows(docs: DataFrame, spec: TableSpec, positions: bool = False) -> DataFram
 
 
 def with_document_helpers(docs: DataFrame, specs: Sequence[TableSpec]) -> DataFrame:
-    """The documents with the document helper columns of all specs, each once."""
-    made: set[str] = set()
+    """The documents with the document helper columns of all specs, each once; those
+    that a stage holds already are not made again."""
     for s in specs:
-        for name, fn in s.document_prepare:     # a helper may read the one before it
-            if name not in made:
+        if s.document_prepare and s.document_prepare[-1][0] not in docs.columns:
+            for name, fn in s.document_prepare:     # a helper may read the one before it
                 docs = docs.withColumn(name, fn())
-                made.add(name)
     return docs
 
 
+def with_stored_helpers(docs: DataFrame, specs: Sequence[TableSpec]) -> DataFrame:
+    """What a stage stores: the documents and the last helper column of every spec, so
+    that raw sections are parsed once, not once a table."""
+    keep = [*docs.columns, *dict.fromkeys(s.document_prepare[-1][0] for s in specs if s.document_prepare)]
+    return with_document_helpers(docs, specs).select(*keep)
+
+
 def value_of(fn, e: Column | None) -> Column:
     """A column rule applied to a given element (document columns need none)."""
     return fn.of(e) if isinstance(fn, Element) else fn()
@@ -65,7 +70,7 @@ def row_array(spec: TableSpec, of: Callable[[Column | None], Column], none: Colu
     if spec.rows is None:
         rows = F.array(of(None))
     else:
-        rows = (spec.check_rows or (keys_only and spec.wide and spec.wide.keys_only_rows) or spec.rows)()
+        rows = ((keys_only and spec.wide and spec.wide.keys_only_rows) or spec.rows)()
         if spec.element_where is not None:
             rows = F.filter(rows, spec.element_where.of)
         rows = F.transform(rows, of)

@@ -54,73 +54,72 @@ def _destination_object():
 
 
 # helper columns of the discharge tables: two parses of dischargeInfo (as text
-# and as objects), each once per document
+# and as objects), each once per document; the last one holds what the tables read
 DISCHARGE_PREPARE = (
     ("_d", _discharge),
-    ("_dest", lambda: key_fallback("destinationDescription", col("_d"), col("dischargeInfo"), "destination")),
     ("_dest_obj", _destination_object),
+    ("_discharge", lambda: F.struct(
+        col("_d")["inception"].alias("inception"), col("_d")["disposition"].alias("disposition"),
+        F.when(col("_dest_obj").isNull(), key_fallback("destinationDescription", col("_d"), col("dischargeInfo"), "destination")
+               ).alias("scalar"),
+        col("_dest_obj").alias("object"))),
 )
-ALTERNATES_PREPARE = (("_dest_obj", _destination_object),)
 
 
 def _destination_part(i: int):
     field = DESTINATION_FIELDS[i]
-    return lambda: F.when(col("_dest_obj").isNotNull(), col("_dest_obj")[field]).otherwise(col("_dest"))
+    d = "_discharge"
+    return lambda: F.when(col(d)["object"].isNotNull(), col(d)["object"][field]).otherwise(col(d)["scalar"])
+
+
+def _alternates():
+    return col("_discharge")["object"]["alternateIdentifiers"]
 
 
 def _destination_alternates():
-    return F.transform(col("_dest_obj")["alternateIdentifiers"], lambda e: F.from_json(e, ALT_ID))
+    return F.transform(_alternates(), lambda e: F.from_json(e, ALT_ID))
 
 
 def _destination_alternates_misfit():
     """1 where the destination's alternates are there but no array."""
-    key = F.when(has_key(col("dischargeInfo"), "destinationDescription"), "destinationDescription").otherwise("destination")
-    raw = F.when(key == "destinationDescription", F.get_json_object("dischargeInfo", "$.destinationDescription.alternateIdentifiers")
+    raw = F.when(has_key(col("dischargeInfo"), "destinationDescription"),
+                 F.get_json_object("dischargeInfo", "$.destinationDescription.alternateIdentifiers")
                  ).otherwise(F.get_json_object("dischargeInfo", "$.destination.alternateIdentifiers"))
-    return F.coalesce((col("_dest_obj").isNotNull() & col("_dest_obj")["alternateIdentifiers"].isNull() & raw.isNotNull()
-                       ).cast("int"), F.lit(0))
+    # the text is looked at only where there is an object without alternates
+    doubtful = col("_discharge")["object"].isNotNull() & _alternates().isNull()
+    return F.when(doubtful, raw.isNotNull().cast("int")).otherwise(0)
 
 
 def _destination_alternates_bad():
     """Alternates that are no objects."""
-    return F.coalesce(F.size(F.filter(col("_dest_obj")["alternateIdentifiers"], lambda e: e.isNull() | (
+    return F.coalesce(F.size(F.filter(_alternates(), lambda e: e.isNull() | (
         F.substring(F.ltrim(e), 1, 1) != "{"))), F.lit(0))
 
 
 def _destination_alternate_count():
-    return F.coalesce(F.size(_destination_object()["alternateIdentifiers"]), F.lit(0))
+    return F.coalesce(F.size(_alternates()), F.lit(0))
 
 
-# helper columns of the payors table: one parse and one key test per element
+# helper column of the payors table: one parse and one key test per element
 PAYOR_PREPARE = (
-    ("_q", lambda: F.from_json(col("e"), PAYOR_FIELDS)),
-    ("_nested", lambda: has_key(col("e"), "policy")),
+    ("_payors", lambda: F.transform("payors", lambda e: F.struct(
+        F.from_json(e, PAYOR_FIELDS).alias("q"), has_key(e, "policy").alias("nested")))),
 )
 
 
-def _payor():
-    return col("_q")
-
-
 def _by_shape(nested_value, flat: str):
-    """Element column of a payor by its shape; ``of`` reads a (q, nested) struct."""
-    def pick(q, nested):
-        return F.when(nested, nested_value(q["policy"])).otherwise(q[flat])
-    return Element(lambda x: pick(x["q"], x["nested"]), lambda: pick(_payor(), col("_nested")))
+    """Element column of a parsed payor by its shape."""
+    return Element(lambda x: F.when(x["nested"], nested_value(x["q"]["policy"])).otherwise(x["q"][flat]))
 
 
 def _flat(field: str):
-    return Element(lambda x: x["q"][field], lambda: _payor()[field])
+    return Element(lambda x: x["q"][field])
 
 
 _payor_company = _by_shape(lambda policy: policy["payor"]["name"]["name"], "companyName")
 _payor_policy_number = _by_shape(lambda policy: policy["policyNumber"], "policyNumber")
 
 
-def _parsed_payors():
-    return F.transform("payors", lambda e: F.struct(F.from_json(e, PAYOR_FIELDS).alias("q"), has_key(e, "policy").alias("nested")))
-
-
 def _contacts():
     return zip_arrays(col("demographics.phoneNumbers"), col("demographics.emergencyContacts"),
                       (CONTACT_PHONE_COLUMN, "emergencyContacts"))
@@ -200,8 +199,8 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             gates=("patient_id", "PAA_version")),
         TableSpec(
             "discharge", ("dischargeInfo",),
-            k + (("inception", lambda: col("_d")["inception"]),
-                 ("disposition", lambda: col("_d")["disposition"]),
+            k + (("inception", lambda: col("_discharge")["inception"]),
+                 ("disposition", lambda: col("_discharge")["disposition"]),
                  ("destination_id", _destination_part(0)),
                  ("destination_name", _destination_part(1)),
                  ("destination_careSetting", _destination_part(2))),
@@ -215,7 +214,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
             "dischargeDestinationIdentifiers", ("dischargeInfo",),
             k + (("destination_id", _e("id")), ("destination_authority", _e("authority")),
                  ("destination_facility", _e("facility")), ("destination_type", _e("type"))),
-            document_prepare=ALTERNATES_PREPARE, rows=_destination_alternates,
+            document_prepare=DISCHARGE_PREPARE, rows=_destination_alternates,
             expected=_destination_alternate_count,
             misfit=_destination_alternates_misfit, misfit_elements=_destination_alternates_bad,
             depends=("dischargeInfo",),
@@ -235,8 +234,7 @@ def clinical_specs() -> tuple[TableSpec, ...]:
                  ("effectiveDate", _flat("effectiveDate")),
                  ("expiresDate", _flat("expiresDate")),
                  ("priority", _flat("priority"))),
-            rows=lambda: col("payors"),
-            prepare=PAYOR_PREPARE, check_rows=_parsed_payors,
+            rows=lambda: col("_payors"), document_prepare=PAYOR_PREPARE,
             expected=lambda: array_len("payors"),
             expected_raw=lambda: raw_array_len(col(CORRUPT), "$.payors"),
             depends=("payors",),

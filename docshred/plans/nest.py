@@ -20,17 +20,18 @@ The corpus is written once per input folder under the shared folder named by
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docshred.operators.shredder import items_by_dictionary, occurring_items
+from docshred.operators.shredder import items_by_dictionary, occurring_items, with_stored_helpers
+from docshred.plans.clinical import clinical_specs
 from docshred.session import shared_dir
 from docshred.sources.dictionary import write_dictionary
 from docshred.sources.documents import read_documents, well_formed
+from docshred.sources.runs import publish_once
 
-CORPUS_VERSION = "v7"
+CORPUS_VERSION = "v8"
 
 # ---- scalar fields of one document, as SQL over the joined row -----------------------
 # {ts:x} → 'yyyy-MM-dd HH:mm:ss.SSS' text, {day:x} → 'yyyy-MM-dd' text, per dialect.
@@ -309,42 +310,6 @@ def conversation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.expr(doc).alias("value"))
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-def _write_once(spark: SparkSession, final: str, write) -> None:
-    """Write ``final`` unless a complete copy is there.  The data goes to a
-    private folder first and is published by one directory rename, so two
-    sessions building the same corpus never overwrite each other's files; the
-    one that loses the race keeps the winner's (identical) copy."""
-    if _fs_exists(spark, f"{final}/_SUCCESS"):
-        return
-    tmp = f"{final}.tmp-{uuid.uuid4().hex[:12]}"
-    write(tmp)
-    jvm = spark.sparkContext._jvm
-    _, src = _fs(spark, tmp)
-    _, dest = _fs(spark, final)
-    ctx = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        dest.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    no_overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    no_overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
-    try:
-        ctx.rename(src, dest, no_overwrite)     # atomic; fails if ``final`` exists
-    except Exception:
-        if not _fs_exists(spark, f"{final}/_SUCCESS"):
-            raise                               # not a lost race: a real failure
-        fs, _ = _fs(spark, tmp)
-        fs.delete(src, True)                    # lost the race: drop our private copy
-
-
 _KEYS: dict[tuple[str, str], str] = {}
 
 
@@ -361,39 +326,40 @@ def _corpus_key(spark: SparkSession, sf_dir: str) -> str:
     return _KEYS[known]
 
 
+def _root(spark: SparkSession, sf_dir: str) -> str:
+    return f"{shared_dir(spark)}/docshred-corpus/{_corpus_key(spark, sf_dir.rstrip('/'))}"
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write (once) the documents and the two dictionaries for ``sf_dir``.
 
-    Returns paths: ``documents`` and ``conversations`` (JSON lines), ``oasis``
-    and ``mds`` (dictionary CSV), and where ``staged`` Parquet goes.
-    Reused while the ``_SUCCESS`` markers exist."""
-    key = _corpus_key(spark, sf_dir.rstrip("/"))
-    root = f"{shared_dir(spark)}/docshred-corpus/{key}"
-    paths = {"documents": f"{root}/documents", "conversations": f"{root}/conversations",
-             "oasis": f"{root}/dict_oasis", "mds": f"{root}/dict_mds", "staged": f"{root}/staged"}
-    _write_once(spark, paths["documents"], lambda p: build_documents(spark, sf_dir).write.text(p))
-    _write_once(spark, paths["conversations"], lambda p: conversation_documents(spark, sf_dir).write.text(p))
+    Returns paths: ``documents`` and ``conversations`` (JSON lines), ``oasis`` and
+    ``mds`` (dictionary CSV).  Every part is a published run (``sources.runs``), so
+    sessions that build the same corpus at a time never meet each other's files."""
+    root = _root(spark, sf_dir)
+    paths = {"documents": publish_once(spark, f"{root}/documents", lambda p: build_documents(spark, sf_dir).write.text(p)),
+             "conversations": publish_once(spark, f"{root}/conversations",
+                                           lambda p: conversation_documents(spark, sf_dir).write.text(p))}
     for kind in ("oasis", "mds"):
-        _write_once(spark, paths[kind], lambda p, k=kind: write_dictionary(spark, dictionary_items(k), p))
+        paths[kind] = publish_once(spark, f"{root}/dict_{kind}",
+                                   lambda p, k=kind: write_dictionary(spark, dictionary_items(k), p))
     return paths
 
 
 def staged(spark: SparkSession, sf_dir: str) -> str:
     """Parquet copy of the parsed documents (one JSON parse, then nested column
     pruning per table); written once next to the corpus.  Returns its path."""
-    paths = corpus(spark, sf_dir)
-    _write_once(spark, paths["staged"], lambda p: stage(spark, paths["documents"], p))
-    return paths["staged"]
+    return publish_once(spark, f"{_root(spark, sf_dir)}/staged",
+                        lambda p: stage(spark, corpus(spark, sf_dir)["documents"], p))
 
 
 def stage(spark: SparkSession, json_path: str, out: str) -> None:
-    read_documents(spark, json_path, ordinal=True).write.mode("overwrite").parquet(out)
+    with_stored_helpers(read_documents(spark, json_path, ordinal=True), clinical_specs()).write.mode("overwrite").parquet(out)
 
 
 def staged_items(spark: SparkSession, sf_dir: str, specs, dictionaries) -> dict[str, list[str]]:
     """Dictionary items that occur in the staged documents, found once and
     stored beside them (at most one row per dictionary name)."""
-    path = staged(spark, sf_dir)
-    _write_once(spark, f"{path}-items", lambda p: occurring_items(
-        well_formed(spark.read.parquet(path)), specs, dictionaries).coalesce(1).write.parquet(p))
-    return items_by_dictionary(spark.read.parquet(f"{path}-items"))
+    path = publish_once(spark, f"{_root(spark, sf_dir)}/items", lambda p: occurring_items(
+        well_formed(spark.read.parquet(staged(spark, sf_dir))), specs, dictionaries).coalesce(1).write.parquet(p))
+    return items_by_dictionary(spark.read.parquet(path))

@@ -21,12 +21,11 @@ class Element:
     """A column of a row's element: as a projection of the exploded ``e``, or of any
     given element (``of``), for passes that look at all tables' rows at once."""
 
-    def __init__(self, of: Callable[[Column], Column], column: ColumnFn | None = None):
+    def __init__(self, of: Callable[[Column], Column]):
         self.of = of
-        self.column = column
 
     def __call__(self) -> Column:
-        return self.column() if self.column is not None else self.of(F.col("e"))
+        return self.of(F.col("e"))
 
 
 @dataclass(frozen=True)
@@ -48,7 +47,8 @@ class TableSpec:
     where: ColumnFn | None = None                 # document-level filter, before explode
     element_where: ColumnFn | None = None         # element-level filter, after explode
     wide: WideSpec | None = None
-    # helper columns computed once per document, before the explode
+    # helper columns computed once per document, before the explode; the rules read
+    # the last one only, which a stage may hold already
     document_prepare: tuple[tuple[str, ColumnFn], ...] = ()
     # helper columns computed once per row before ``columns`` (e.g. one parse
     # of a JSON text that several output columns read)
@@ -61,9 +61,6 @@ class TableSpec:
     depends: tuple[str, ...] = ()                 # paths of the sections the rows come from
     misfit: ColumnFn | None = None                # per-document count of misfit parts that no path names
     misfit_elements: ColumnFn | None = None       # same for elements
-    # what one pass over the documents takes the table's rows from, when it is
-    # not ``rows``: the element that the checked columns' ``of`` reads
-    check_rows: ColumnFn | None = None
     gates: tuple[str, ...] = ()                   # null in any → completeness FAIL
     reported: tuple[str, ...] = ()                # null counts shown, never failing
 
