@@ -5,18 +5,20 @@ targets, negations and verbs of reported speech.  Four transducers read the
 class sequence of a clause: negation weakens what stands in its scope, reported
 speech what follows it, targets strengthen an insult and are required by a
 threat; they are composed once into one transducer, and a clause's score is the
-total weight of its best path.  Isolated weak words and threats without a target
-score nothing; only clauses that the grammar accepts count.
+total weight of its best path.  A target may stand before the word it goes with or
+behind it: the target transducer guesses one to come and must then meet it.
+Isolated weak words and threats without a target score nothing; only clauses that
+the grammar accepts count.
 
-The insult lexicon is learned from the labels of a bounded sample
-(``train_docs`` rows): words and word beginnings that occur in at least
+There is no list of insults: they are learned from the labels of a bounded sample
+(``train_docs`` rows, outside the held-out fold): words and word beginnings that occur in at least
 ``min_share`` of the toxic sample and whose smoothed log odds reach
 ``min_weight``.  A document's score is a logistic function of its best clause
 and of the sum over its clauses, fitted on the same sample.
 
 Null and empty texts have no clause and get the score of a text without
 matches.  Repeated rows are scored alike.  Without toxic labels only the fixed
-word lists count.
+list of threats counts.
 """
 
 from __future__ import annotations
@@ -29,18 +31,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docshred.llm.common import fold, slices
+from docshred.llm.common import fold, slices, stored
 from docshred.llm.words import hash_ranges, split_words
 
 # Word lists of the classes, weights of the grammar.
-INSULTS = "idiot moron scum trash loser stupid pathetic worthless disgusting clown"
-THREATS = "kill destroy hurt beat hunt töten vernichten schlagen tuer frapper détruire matar destruir golpear"
+THREATS = ("kill destroy hurt beat hunt töten töte vernichten vernichte schlagen schlage "
+           "tuer tue frapper frappe détruire détruis matar mato destruir destruyo golpear golpeo")
 TARGETS = ("you your yours yourself they them he she du dich dir dein deine ihr euch sie "
            "tu toi te vous votre tes usted ustedes te ti vosotros su")
 NEGATIONS = "not never no don't isn't aren't nicht kein keine nie pas jamais ne no nunca jamás"
 REPORTS = ("said says called calls wrote reported claims sagte nannte schrieb berichtet dit appelle écrit "
            "dijo llamó escribió")
-SEED_WEIGHT, THREAT_WEIGHT, TARGET_BONUS = 4.0, 4.0, 0.5
+THREAT_WEIGHT, TARGET_BONUS = 4.0, 0.5
 NEGATED, REPORTED = -1.5, -1.0
 NEGATION_SCOPE, TARGET_SCOPE = 3, 4
 CLAUSE_END = b".!?;:,"
@@ -94,8 +96,8 @@ class Transducer:
         return max((v + self.final.get(s, 0.0) for s, v in paths.items()), default=0.0)
 
 
-def grammar() -> Transducer:
-    """negation o reported speech o target o threat/insult, over class symbols.
+def machines() -> tuple[Transducer, Transducer, Transducer, Transducer]:
+    """Negation, reported speech, target, threat/insult over class symbols.
 
     A core symbol is written class + modifiers, e.g. ``I-`` (negated)."""
     negation = Transducer()
@@ -122,12 +124,29 @@ def grammar() -> Transducer:
             target.add(state, symbol, symbol + ("y" if state else ""), 0.0, left)
         target.add(state, TARGET, OTHER, 0.0, TARGET_SCOPE)
         target.add(state, OTHER, OTHER, 0.0, left)
+    # states that expect a target within so many words: no end but by meeting it
+    for symbol in cores:
+        target.add(0, symbol, symbol + "y", 0.0, 2 * TARGET_SCOPE)
+    for left in range(1, TARGET_SCOPE + 1):
+        state = TARGET_SCOPE + left
+        target.final[state] = -np.inf
+        target.add(state, TARGET, OTHER, 0.0, TARGET_SCOPE)
+        if left > 1:
+            target.add(state, OTHER, OTHER, 0.0, state - 1)
+            for symbol in cores:
+                target.add(state, symbol, symbol + "y", 0.0, state - 1)
     hits = Transducer()
     hits.add(0, OTHER, OTHER, 0.0, 0)
     for symbol in [c + m for c in cores for m in ("", "y")]:
         weight = NEGATED * ("-" in symbol) + REPORTED * ("r" in symbol) + TARGET_BONUS * ("y" in symbol)
         accepted = symbol[0] == INSULT or "y" in symbol  # a threat needs its target
         hits.add(0, symbol, "hit" if accepted else OTHER, weight if accepted else 0.0, 0)
+    return negation, reported, target, hits
+
+
+def grammar() -> Transducer:
+    """negation o reported speech o target o threat/insult."""
+    negation, reported, target, hits = machines()
     return negation.compose(reported).compose(target).compose(hits)
 
 
@@ -140,12 +159,11 @@ class Lexicon:
     """Classes and weights of words, and of words by their beginnings."""
 
     def __init__(self, words: dict[str, float], beginnings: dict[str, float]):
-        insults = {w: SEED_WEIGHT for w in INSULTS.split()} | words
         self.classes: dict[int, tuple[str, float]] = {}
         for symbol, names, weight in ((TARGET, TARGETS.split(), 0.0), (NEGATION, NEGATIONS.split(), 0.0),
                                       (REPORT, REPORTS.split(), 0.0), (THREAT, THREATS.split(), THREAT_WEIGHT)):
             self.classes.update((int(h), (symbol, weight)) for h in _hash_words([n.replace("'", "") for n in names]))
-        for word, weight in insults.items():
+        for word, weight in words.items():
             self.classes.update((int(h), (INSULT, weight)) for h in _hash_words([word])[:1])
         self.core = np.sort(np.array([h for h, (s, _) in self.classes.items() if s in (INSULT, THREAT)], dtype=np.uint64))
         self.beginnings: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -278,7 +296,7 @@ def squash(f: np.ndarray) -> np.ndarray:
     """Model inputs from clause features: best clause, the log of the sum, and
     how much of it such a long text may hold by chance."""
     held = f[:, 0] > 0
-    return np.column_stack([held, np.minimum(f[:, 1], 10.0), np.log1p(f[:, 2]), held * np.log1p(f[:, 3])])
+    return np.column_stack([held, f[:, 1], np.log1p(f[:, 2]), held * np.log1p(f[:, 3])])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = 4000, min_share: float = 0.02,
@@ -286,7 +304,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = 4000, m
                    text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(doc_id, held_out, score, clauses, best, total) of every row of ``docs``;
     labels of ids in fold ``held`` are never read."""
-    sample = labelled_sample(docs, labels, label_col, lambda i: fold(i, modulus) != held, train_docs, id_col, text_col)
+    # written once: the lexicon's counts and the fit both read it
+    sample = stored(labelled_sample(docs, labels, label_col, lambda i: fold(i, modulus) != held, train_docs, id_col, text_col),
+                    "toxicity-sample")
     scorer = Scorer(learn_lexicon(sample, min_share, min_weight))
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(scorer)
@@ -302,7 +322,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = 4000, m
     if 0 < y.sum() < len(y):
         model = fit_logistic(squash(x), y)
     else:
-        model = np.array([-SEED_WEIGHT, 0.0, 2.0, 0.0, 0.0])
+        model = np.array([-THREAT_WEIGHT, 0.0, 2.0, 0.0, 0.0])
     weights = model.tolist()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,13 +1,17 @@
 """The two classifiers: held-out accuracy, exact recursions, awkward rows."""
 
 import itertools
+import os
+import random
 
 import numpy as np
 import pytest
 
 from docshred.llm.crf_quality import Chain, fit_model, keep_good, line_features, score_quality, with_neighbours
 from docshred.llm.queries import THRESHOLD, op1_crf_quality, op4_toxicity_grammar
-from docshred.llm.toxicity_grammar import INSULT, NEGATION, OTHER, REPORT, TARGET, THREAT, Lexicon, Scorer, grammar, score_toxicity
+from docshred.llm import toxicity_grammar as grammar_module
+from docshred.llm.toxicity_grammar import (INSULT, NEGATION, OTHER, REPORT, TARGET, THREAT, Lexicon, Scorer, grammar, machines,
+                                           score_toxicity)
 from tests.llm.fixtures import empty, frame
 
 SF = "/root/testdata/sf0.01"
@@ -82,7 +86,7 @@ def test_clause_grammar_weights():
 
 
 def test_scopes_end_with_the_clause_and_beginnings_match():
-    s = Scorer(Lexicon({}, {"grub": 5.0, "éto": 6.0}))
+    s = Scorer(Lexicon({"idiot": 4.0, "clown": 4.0}, {"grub": 5.0, "éto": 6.0}))
     f = s.features(["you idiot", "not an idiot", "not so. an idiot", "grubling here", "ÉTOXY x", "a grü", None, "",
                     "he said: you are no clown, idiot!"])
     assert f[0, 1] > f[2, 1] > f[1, 1] > 0
@@ -102,3 +106,53 @@ def test_awkward_rows(spark):
     kept = keep_good(df, labels(spark, []))
     assert kept.columns == df.columns
     assert kept.where("text is null or trim(text) = ''").count() == 0
+
+
+def all_paths(machine, symbols):
+    """(outputs, weights) of every accepted path of one machine."""
+    paths = [(0, (), ())]
+    for symbol in symbols:
+        paths = [(to, out + (o,), weights + (w,)) for state, out, weights in paths
+                 for o, w, to in machine.arcs.get((state, symbol), ())]
+    return {(out, weights) for state, out, weights in paths if machine.final.get(state, 0.0) > -np.inf}
+
+
+def test_composed_grammar_equals_running_the_four_machines():
+    rng = random.Random(3)
+    four, composed = machines(), grammar()
+    for _ in range(300):
+        clause = [(rng.choice([INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, OTHER]), rng.choice([1.0, 4.0]))
+                  for _ in range(rng.randint(0, 7))]
+        clause = [(s, w if s in (INSULT, THREAT) else 0.0) for s, w in clause]
+        streams = {(tuple(s for s, _ in clause), (0.0,) * len(clause))}
+        for machine in four:
+            streams = {(out, tuple(a + b for a, b in zip(sums, weights)))
+                       for symbols, sums in streams for out, weights in all_paths(machine, symbols)}
+        want = max(sum(max(w + v, 0.0) if o == "hit" else v for o, v, (_, w) in zip(out, sums, clause))
+                   for out, sums in streams)
+        assert composed.best(clause) == pytest.approx(want)
+
+
+def test_targets_behind_the_verb():
+    s = Scorer(Lexicon({"grub": 3.0}, {}))
+    f = s.features(["I will kill you", "We are going to destroy you", "kill them", "ich töte dich",
+                    "I will hurt you and your family", "you I will kill", "kill the noise in that old room for you",
+                    "kill time", "kill. you", "a grub like you", "a grub like that"])
+    assert (f[:6, 1] > 4).all()
+    assert f[6:9, 0].sum() == 0
+    assert f[9, 1] > f[10, 1] == 3.0
+
+
+def test_fixed_words_do_not_come_from_the_labels():
+    """No word of a fixed list tells toxic from other documents in the test tables."""
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables not present")
+    import pyarrow.parquet as pq
+    toxic = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{folder}/labels.parquet").to_pylist()}
+    docs = [(set((r["text"] or "").lower().split()), toxic[r["doc_id"]])
+            for r in pq.read_table(f"{folder}/documents.parquet").to_pylist() if r["doc_id"] in toxic]
+    for word in " ".join([grammar_module.THREATS, grammar_module.TARGETS, grammar_module.NEGATIONS, grammar_module.REPORTS]).split():
+        bad = sum(word in words for words, y in docs if y == 1)
+        good = sum(word in words for words, y in docs if y == 0)
+        assert bad < 3 or good > 0, word
