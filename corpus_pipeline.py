@@ -54,7 +54,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the documents' tokens into sequences."""
-    return piece_digest(pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    return piece_digest(pack_documents(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        pattern=public_tokenizers.PATTERN))
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("benchmark_overlap", benchmark_overlap),

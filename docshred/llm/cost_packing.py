@@ -13,12 +13,13 @@ run again packs the same rows in the same way.  ``sequence_id`` is the partition
 number times 2**32 plus a counter.
 
 Tokens: ids of a public tokenizer file without special tokens, then one
-``end_id``.  Null or empty text is that one id.  Repeated rows are packed as
+``end_id``; taken from the same vocabulary's ranks where they are given.  Null or empty text is that one id.  Repeated rows are packed as
 often as they occur; a null id stays null.
 """
 
 from __future__ import annotations
 
+import base64
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -35,36 +36,77 @@ from docshred.llm.common import slices
 # A space before one of these characters always starts a new pre-token, so a
 # text may be cut there and its pieces encoded apart.
 _CUT = re.compile("(?= [!-~À-ſ])")
-CACHE_ENTRIES = 800_000
+_NO_CUT = re.compile(" (?![!-~À-ſ])")   # a space that is no place to cut
+CACHE_BYTES = 48 << 20  # of pieces and their ids that a worker keeps, about
+ENTRY_BYTES = 200       # of an entry besides its text and ids
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
 
 
 class TokenBytes:
-    """Ids of texts as little-endian uint32 bytes, with a bounded cache by cut."""
+    """Ids of texts as little-endian uint32 bytes, with a cache by cut, bounded by bytes.
+
+    Where every space of a text is a place to cut, its pieces are what ``str.split``
+    gives, each but the first with a space before it; other texts are cut by the
+    pattern."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.whole: dict[str, bytes] = {}       # pieces as they stand
+        self.spaced: dict[str, bytes] = {}      # pieces behind a space
+        self.held = 0
+
+    def _learn(self, known: dict[str, bytes], pieces: set[str], before: str) -> None:
+        new = sorted(pieces.difference(known))
+        for piece, e in zip(new, self.tokenizer.encode_batch_fast([before + p for p in new], add_special_tokens=False),
+                            strict=True):
+            known[piece] = np.asarray(e.ids, dtype="<u4").tobytes()
+            self.held += ENTRY_BYTES + len(piece) + len(known[piece])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_CUT.split(t) for t in texts]
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        known = self.known
-        new = list(dict.fromkeys(c for pieces in cut for c in pieces if c not in known))
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[c] = np.asarray(e.ids, dtype="<u4").tobytes()
-        return [b"".join([known[c] for c in pieces]) for pieces in cut]
+        if self.held > CACHE_BYTES:
+            self.whole.clear()
+            self.spaced.clear()
+            self.held = 0
+        whole, spaced, cut = set(), set(), []
+        for t in texts:
+            if _NO_CUT.search(t):
+                pieces = _CUT.split(t)
+                whole.update(pieces)
+                cut.append((pieces, None))
+            else:
+                pieces = t.split(" ")
+                whole.add(pieces[0])
+                spaced.update(pieces[1:])
+                cut.append((pieces[:1], pieces[1:]))
+        self._learn(self.whole, whole, "")
+        self._learn(self.spaced, spaced, " ")
+        first, rest = self.whole.__getitem__, self.spaced.__getitem__
+        return [b"".join(map(first, a)) + (b"".join(map(rest, b)) if b else b"") for a, b in cut]
+
+
+class RankBytes:
+    """The same ids from the vocabulary's ranks (a tiktoken file and its split pattern):
+    a text at a time, nothing kept."""
+
+    def __init__(self, ranks: str, pattern: str):
+        import tiktoken
+
+        with open(ranks, "rb") as f:
+            known = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, f)}
+        self.encoding = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=known, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [self.encoding.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes() for t in texts]
 
 
 @lru_cache(maxsize=1)
-def token_bytes(path: str) -> TokenBytes:
-    return TokenBytes(path)
+def token_bytes(path: str, ranks: str | None = None, pattern: str | None = None) -> TokenBytes | RankBytes:
+    return RankBytes(ranks, pattern) if ranks and pattern else TokenBytes(path)
 
 
 @dataclass
@@ -142,12 +184,17 @@ class Packer:
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, linear: float = 1.0,
                    quadratic: float = 1.0 / 1024, end_id: int = 0, group_tokens: int = 1 << 20,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: its document, token range, ids and place in a sequence."""
+                   id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None,
+                   pattern: str | None = None) -> DataFrame:
+    """One row per piece: its document, token range, ids and place in a sequence.
+
+    ``tokenizer`` is a tokenizers file; ``ranks`` and ``pattern`` are the same
+    vocabulary as a tiktoken file and its split pattern, where there is one: the ids
+    are equal and cost a fraction."""
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = token_bytes(tokenizer)
+        tokens = token_bytes(tokenizer, ranks, pattern)
         context = TaskContext.get()
         base = (context.partitionId() if context else 0) << 32
         ids, docs_ids, held, done = [], [], 0, 0

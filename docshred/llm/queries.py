@@ -86,7 +86,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_digest(pack_documents(table(spark, sf_dir, "documents"), TOKENIZER))
+    return piece_digest(pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, ranks=RANKS,
+                                       pattern=public_tokenizers.PATTERN))
 
 
 def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:

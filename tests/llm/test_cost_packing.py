@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from docshred.llm.cost_packing import Packer, TokenBytes, pack_documents, piece_digest
+from docshred.llm.cost_packing import Packer, RankBytes, TokenBytes, pack_documents, piece_digest
 from docshred.llm.queries import TOKENIZER
 from tests.llm.fixtures import empty, frame
 
@@ -71,3 +71,22 @@ def test_rows_against_the_tokenizer(spark):
         assert any(len(t) == size and zlib.crc32(np.array(t[start:start + n], "<u4").tobytes()) == crc
                    for t in candidates[doc])
     assert pack_documents(empty(spark), TOKENIZER).count() == 0
+
+
+ODD = ["a  b", " a", "a ", "", "  ", "日本 語 x", "x\n y", "é  ñ ß", "don't  you 're", " ", "a \t b", "\x00\u2028 \u00a0x",
+       "<|endoftext|> a<|endoftext|>", "\U0001F600\U0001F468\u200d\U0001F469 x", "e\u0301 \ud7ff", "x" * 20_000, "ab" * 5_000,
+       " " * 5_000, "\n" * 3_000, "1234567890" * 500, "!?" * 999]
+
+
+def test_both_ways_of_taking_ids_equal_the_tokenizer():
+    import public_tokenizers
+    import pyarrow.parquet as pq
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    cached = TokenBytes(path)
+    ranked = RankBytes(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    texts = ODD + [t or "" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()]
+    want = [np.asarray(e.ids, dtype="<u4").tobytes()
+            for e in cached.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert cached.encode(texts) == want == ranked.encode(texts)
+    cached.held = 1 << 40       # the cache is emptied
+    assert cached.encode(texts[:30]) == want[:30] and cached.held < 1 << 30
