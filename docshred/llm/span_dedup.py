@@ -200,8 +200,9 @@ def remove_repeats(docs: DataFrame, rule: Spans = Spans(), id_col: str = "doc_id
     where = F.struct("doc_id", "place")
     # written, so that the join below shuffles both sides itself and adaptive
     # execution may split a hot hash (or broadcast a small table)
-    repeated = stored(spans.groupBy("h").agg(F.min(where).alias("first"), F.max(where).alias("last")).where(
-        ~F.col("first").eqNullSafe(F.col("last"))).select("h", "first"), "repeated")
+    # (a hash whose only other place is the same row again keeps nothing in the join)
+    repeated = stored(spans.groupBy("h").agg(F.min(where).alias("first"), F.count("*").alias("n")).where(
+        "n > 1").select("h", "first"), "repeated")
     later = spans.join(repeated, "h").where(~where.eqNullSafe(F.col("first")))
     check = F.shiftright("place", 32)
     marks = later.groupBy("doc_id", check.alias("check")).agg(
