@@ -22,15 +22,17 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
             .csv(path).select(F.col(COLUMN).cast("string").alias(COLUMN)))
 
 
-def dictionary_names(dictionary: DataFrame | list[str]) -> list[str]:
-    """Names in file order; checked for size, blanks and case-insensitive clashes."""
+def dictionary_names(dictionary: DataFrame | list[str], max_names: int = MAX_DICTIONARY_NAMES) -> list[str]:
+    """Names in file order; checked for blanks and case-insensitive clashes, and a
+    frame for size before it comes to the driver (``max_names``; more raises).  A list
+    is on the driver already and may have any length."""
     if isinstance(dictionary, DataFrame):
-        rows = dictionary.select(COLUMN).limit(MAX_DICTIONARY_NAMES + 1).collect()
+        rows = dictionary.select(COLUMN).limit(max_names + 1).collect()
         names = [r[0] for r in rows]
+        if len(names) > max_names:
+            raise ValueError(f"dictionary has more than {max_names} names (max_names)")
     else:
         names = list(dictionary)
-    if len(names) > MAX_DICTIONARY_NAMES:
-        raise ValueError(f"dictionary has more than {MAX_DICTIONARY_NAMES} names")
     seen: set[str] = set()
     for n in names:
         if n is None or not n.strip():
