@@ -13,7 +13,8 @@ Words are runs of letters and digits in lower case (A-Z); punctuation does not
 count.  Null and empty texts have no words and no overlap; an item shorter than
 ``min_words`` cannot be found.  Repeated document rows each report their
 overlaps; repeated items are reported under every id.  An empty benchmark leaves
-all documents as they are.
+all documents as they are.  A text of one word repeated overlaps an item of that word
+on every diagonal: its rows grow with its words, never with words times places.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +37,19 @@ MASKS = ("110110111", "111011011", "1101101011")
 # End of fixed values.
 SCHEMA = "doc_id bigint, item_id bigint, doc_start bigint, item_start bigint, n_words bigint, n_equal bigint"
 FILTER_BITS = 22
+DENSE = 64  # places of one seed in a document, above which pairs with an item's places are not listed
+ROWS = 10_000  # overlaps handed on at a time
+PAIRS = 1 << 20  # pairs of places listed, or of words compared, at a time
 
 
 @dataclass(frozen=True)
 class Rule:
     min_words: int = 12
     min_match: float = 0.8
-    penalty: float = 2.0  # of the earlier best-scoring stretch; the verification does not read it
+
+    @property
+    def share(self) -> Fraction:
+        return Fraction(self.min_match).limit_denominator(10_000)
 
 
 def seed_hashes(batch: WordBatch, mask: str) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +73,7 @@ def stretches(equal: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
     With the surplus of equal words over ``min_match`` summed up to every word, a
     stretch is accepted when the sum at its end is not below that at its start;
     the greatest sum still to come gives each start's farthest end by bisection."""
-    share = Fraction(rule.min_match).limit_denominator(10_000)
+    share = rule.share
     out, todo = [], [(0, len(equal))]
     while todo:
         lo, hi = todo.pop()
@@ -100,36 +108,116 @@ class SeedIndex:
             self.tables.append((mask, h[order], at[order], near))
 
     def hits(self, batch: WordBatch) -> np.ndarray:
-        """Distinct (document, item, diagonal) rows that share a seed."""
-        found = []
+        """Distinct (document, item, diagonal) rows that share a seed, in order.
+
+        Pairs of places are listed, ``PAIRS`` at a time, only where a document
+        holds a seed at most ``DENSE`` times; more places meet an item's by their
+        set of differences (``differences``), whose size is linear."""
+        found = [np.empty((0, 3), np.int64)]
+        dense: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
         for mask, keys, places, near in self.tables:
             h, at = seed_hashes(batch, mask)
             some = near[h >> np.uint64(64 - FILTER_BITS)]
             h, at = h[some], at[some]
             lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
-            count = hi - lo
-            at = np.repeat(at, count)
-            base = np.repeat(lo - np.concatenate(([0], np.cumsum(count)[:-1])), count) if len(count) else lo
-            place = places[base + np.arange(len(at))]
+            some = hi > lo
+            at, lo, hi = at[some], lo[some], hi[some]
             doc = np.searchsorted(batch.first, at, "right") - 1
+            order = np.lexsort((at, doc, lo))
+            at, lo, hi, doc = at[order], lo[order], hi[order], doc[order]
+            start = np.flatnonzero(np.concatenate(([True], (lo[1:] != lo[:-1]) | (doc[1:] != doc[:-1])))) if len(at) else at
+            size = np.diff(np.append(start, len(at)))
+            few = np.repeat(size <= DENSE, size)
+            found += self._listed(batch, at[few], doc[few], lo[few], hi[few], places)
+            for k, n in zip(start[size > DENSE].tolist(), size[size > DENSE].tolist(), strict=True):
+                d = int(doc[k])
+                place = np.sort(places[lo[k]:hi[k]])
+                item = np.searchsorted(self.words.first, place, "right") - 1
+                cut = np.flatnonzero(np.diff(item)) + 1
+                for i, b in zip(item[np.append(0, cut)].tolist(), np.split(place, cut), strict=True):
+                    dense.setdefault((d, i), []).append((at[k:k + n] - batch.first[d], b - self.words.first[i]))
+        for (d, i), pairs in dense.items():
+            diagonal = differences(pairs, int(batch.first[d + 1] - batch.first[d]),
+                                   int(self.words.first[i + 1] - self.words.first[i]))
+            found.append(np.column_stack([np.full(len(diagonal), d), np.full(len(diagonal), i), diagonal]))
+        return distinct(np.concatenate(found))
+
+    def _listed(self, batch: WordBatch, at, doc, lo, hi, places) -> Iterator[np.ndarray]:
+        """Distinct (document, item, diagonal) rows of all pairs, a part at a time."""
+        count = hi - lo
+        part = np.cumsum(count) // PAIRS
+        for rows in np.split(np.arange(len(at)), np.flatnonzero(np.diff(part)) + 1):
+            n = count[rows]
+            place = places[np.arange(n.sum()) + np.repeat(lo[rows] - (np.cumsum(n) - n), n)]
+            d, a = np.repeat(doc[rows], n), np.repeat(at[rows], n)
             item = np.searchsorted(self.words.first, place, "right") - 1
-            found.append(np.stack([doc, item, (at - batch.first[doc]) - (place - self.words.first[item])], axis=1))
-        return np.unique(np.concatenate(found), axis=0)
+            yield distinct(np.column_stack([d, item, (a - batch.first[d]) - (place - self.words.first[item])]))
 
-    def verify(self, batch: WordBatch, doc: int, item: int, diagonal: int) -> list[tuple[int, int, int, int]]:
-        """(document start, item start, words, equal words) of every accepted stretch, in order."""
+    def verify(self, batch: WordBatch, doc: int, item: int, diagonals: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(document start, item start, words, equal words) of every accepted stretch, by diagonal and start.
+
+        Many diagonals are compared at once, along the shorter of the two; only
+        those that are neither refused for too few equal words nor accepted from
+        the first equal word to the last are searched for stretches."""
         a = batch.hash[batch.first[doc]:batch.first[doc + 1]]
         b = self.words.hash[self.words.first[item]:self.words.first[item + 1]]
-        lo, hi = max(0, -diagonal), min(len(b), len(a) - diagonal)
-        equal = a[lo + diagonal:hi + diagonal] == b[lo:hi]
-        return [(lo + s + diagonal, lo + s, e - s, int(equal[s:e].sum())) for s, e in stretches(equal, self.rule)]
+        short, long, sign = (a, b, -1) if len(a) < len(b) else (b, a, 1)
+        share, least = self.rule.share, self.rule.min_words
+        out, along = [], np.arange(len(short))
+        step = max(1, PAIRS // max(len(short), 1))
+        for k in range(0, len(diagonals), step):
+            shift = diagonals[k:k + step]
+            place = along + sign * shift[:, None]
+            equal = (place >= 0) & (place < len(long)) & (long[np.clip(place, 0, len(long) - 1)] == short)
+            n = equal.sum(axis=1)
+            first, last = equal.argmax(axis=1), len(short) - equal[:, ::-1].argmax(axis=1)
+            whole = (last - first >= least) & (share.denominator * n >= share.numerator * (last - first))
+            for j in np.flatnonzero(share.denominator * n >= share.numerator * least).tolist():
+                spans = [(int(first[j]), int(last[j]))] if whole[j] else stretches(equal[j], self.rule)
+                d = int(shift[j])
+                for s, e in spans:
+                    in_doc, in_item = (s + d, s) if sign > 0 else (s, s - d)
+                    out.append((in_doc, in_item, e - s, int(n[j]) if whole[j] else int(equal[j, s:e].sum())))
+        return out
 
-    def overlaps(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int, int]]:
+    def overlaps(self, texts: list[str | None]) -> Iterator[tuple[int, int | None, tuple[int, int, int, int]]]:
+        """(text, item id, overlap), by text and item."""
         batch = split_words(texts, punctuation=False)
-        out = []
-        for doc, item, diagonal in self.hits(batch).tolist():
-            out += [(doc, self.item_ids[item], *v) for v in self.verify(batch, doc, item, diagonal)]
-        return out
+        hits = self.hits(batch)
+        cut = np.flatnonzero((hits[1:, :2] != hits[:-1, :2]).any(axis=1)) + 1
+        for part in np.split(hits, cut) if len(hits) else ():
+            doc, item = int(part[0, 0]), int(part[0, 1])
+            for found in self.verify(batch, doc, item, part[:, 2]):
+                yield doc, self.item_ids[item], found
+
+
+def distinct(rows: np.ndarray) -> np.ndarray:
+    """Distinct (document, item, diagonal) rows in order, by one sort of whole numbers."""
+    if not len(rows):
+        return rows
+    item = rows[:, 1]
+    pair, which = np.unique(rows[:, 0] * (int(item.max()) + 1) + item, return_inverse=True)
+    low = int(rows[:, 2].min())
+    span = int(rows[:, 2].max()) - low + 1
+    code = np.unique(which * span + (rows[:, 2] - low))
+    pair = pair[code // span]
+    return np.column_stack([pair // (int(item.max()) + 1), pair % (int(item.max()) + 1), code % span + low])
+
+
+def differences(pairs: list[tuple[np.ndarray, np.ndarray]], n: int, m: int) -> np.ndarray:
+    """Distinct a - b over all (places a of n, places b of m), without listing
+    pairs: marks shifted by every b, or one convolution where b are many."""
+    mark = np.zeros(n + m, dtype=bool)
+    for a, b in pairs:
+        if len(a) * len(b) <= DENSE * (n + m):
+            for shift in (m - 1 - b).tolist():
+                mark[a + shift] = True
+            continue
+        size = 1 << (n + m).bit_length()
+        left = np.fft.rfft(np.bincount(a, minlength=size))
+        right = np.fft.rfft(np.bincount(m - 1 - b, minlength=size))
+        mark |= np.fft.irfft(left * right, size)[:n + m] > 0.5
+    return np.flatnonzero(mark) - (m - 1)
 
 
 def blocks(benchmark: DataFrame, rule: Rule, block_chars: int, id_col: str, text_col: str) -> Iterator[SeedIndex]:
@@ -157,12 +245,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), bl
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
-                found = shared.value.overlaps(batch.column(1).to_pylist())
-                ids = batch.column(0)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array([f[0] for f in found], pa.int64())),
-                     *(pa.array([f[k] for f in found], pa.int64()) for k in range(1, 6))],
-                    ["doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal"])
+                ids, every = batch.column(0), shared.value.overlaps(batch.column(1).to_pylist())
+                while found := list(islice(every, ROWS)):
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array([f[0] for f in found], pa.int64())), pa.array([f[1] for f in found], pa.int64()),
+                         *(pa.array([f[2][k] for f in found], pa.int64()) for k in range(4))],
+                        ["doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal"])
 
         part = rows.mapInArrow(work, SCHEMA)
         out = part if out is None else out.unionAll(part)
@@ -180,7 +268,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), bl
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, text=at):
                 clean = np.ones(batch.num_rows, dtype=bool)
-                clean[[f[0] for f in shared.value.overlaps(batch.column(at).to_pylist())]] = False
+                for found in shared.value.overlaps(batch.column(at).to_pylist()):
+                    clean[found[0]] = False
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(work, schema)

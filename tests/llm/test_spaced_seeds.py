@@ -1,8 +1,11 @@
 import random
+import time
+import tracemalloc
 
 import numpy as np
 
-from docshred.llm.spaced_seeds import MASKS, Rule, decontaminate, find_overlaps, stretches
+from docshred.llm import spaced_seeds
+from docshred.llm.spaced_seeds import MASKS, Rule, SeedIndex, decontaminate, find_overlaps, seed_hashes, stretches
 from docshred.llm.words import split_words
 from tests.llm.fixtures import EXTRA, empty, frame, prose
 
@@ -13,7 +16,7 @@ def bench(spark, rows):
     return spark.createDataFrame([(*r, "clash") for r in rows], ITEMS)
 
 
-def slow(docs, items, rule=Rule()):
+def slow(docs, items, rule=Rule(), penalty=2.0):
     """(doc, item) pairs with a seed hit and an accepted stretch, by plain loops."""
     def words(t):
         b = split_words([t], punctuation=False)
@@ -35,7 +38,7 @@ def slow(docs, items, rule=Rule()):
                 for s in range(len(runs)):
                     score = 0.0
                     for e in range(s, len(runs)):
-                        score += 1.0 if runs[e] else -rule.penalty
+                        score += 1.0 if runs[e] else -penalty
                         if score > best:
                             best, span = score, (s, e + 1)
                 if span and span[1] - span[0] >= rule.min_words and sum(runs[span[0]:span[1]]) >= rule.min_match * (
@@ -117,3 +120,51 @@ def test_overlap_beyond_a_substitution_and_a_second_one_are_found(spark):
     assert sorted(tuple(r) for r in got) == [(1, 7, 0, 0, 13, 12), (2, 7, 0, 0, 15, 15), (2, 7, 40, 40, 15, 15)]
     left = decontaminate(frame(spark, docs), bench(spark, [(7, " ".join(item))])).collect()
     assert [r["doc_id"] for r in left] == [3]
+
+
+def every_overlap(texts, items, rule=Rule()):
+    """All accepted stretches of all diagonals that share a seed, by plain loops."""
+    out = set()
+    for d, text in enumerate(texts):
+        a = split_words([text], punctuation=False)
+        for i, item in items:
+            b = split_words([item], punctuation=False)
+            diagonals = set()
+            for mask in MASKS:
+                places = {}
+                for h, at in zip(*map(list, seed_hashes(b, mask))):
+                    places.setdefault(h, []).append(int(at))
+                for h, at in zip(*map(list, seed_hashes(a, mask))):
+                    diagonals |= {int(at) - p for p in places.get(h, ())}
+            for g in diagonals:
+                lo, hi = max(0, -g), min(len(b.hash), len(a.hash) - g)
+                equal = a.hash[lo + g:hi + g] == b.hash[lo:hi]
+                out |= {(d, i, lo + s + g, lo + s, e - s, int(equal[s:e].sum())) for s, e in stretches(equal, rule)}
+    return out
+
+
+def test_repetitive_texts_give_the_rows_of_the_plain_search(monkeypatch):
+    rng = random.Random(12)
+    texts = ["go " * 90, "a b " * 60, None, "", " ".join(rng.choice("xy") for _ in range(150)),
+             " ".join(rng.choice("xy") * 3 for _ in range(30)) + " go" * 30, "a b c " * 7, prose(rng, 6)]
+    items = [(1, "go " * 40), (2, "a b " * 12), (3, " ".join(rng.choice("xy") for _ in range(60))), (4, "a b c " * 30),
+             (5, texts[7] + " x y" * 20)]
+    want = every_overlap(texts, items)
+    assert len(want) > 250
+    for dense, pairs in ((64, 1 << 20), (0, 100), (2, 100), (10**9, 50)):
+        monkeypatch.setattr(spaced_seeds, "DENSE", dense)
+        monkeypatch.setattr(spaced_seeds, "PAIRS", pairs)
+        got = [(d, i, *f) for d, i, f in SeedIndex(items, Rule()).overlaps(texts)]
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_one_word_repeated_is_linear():
+    index = SeedIndex([(1, "go " * 400)], Rule())
+    text = "go " * 100_000
+    tracemalloc.start()
+    began = time.monotonic()
+    rows = sum(1 for _ in index.overlaps([text]))
+    assert rows == 100_000 + 400 - 1 - 2 * 11
+    assert time.monotonic() - began < 30  # about a second; listing all pairs takes minutes
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
