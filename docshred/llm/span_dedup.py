@@ -138,7 +138,7 @@ def _cut(rule: Spans):
         for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             words = split_words(texts, hashes=True)
-            _, text, begin, last, first = runs(words, rule)
+            h, text, begin, last, first = runs(words, rule)
             _, of_text = sentences(words, rule)
             first_run = np.searchsorted(text, np.arange(len(texts)))
             out, total, gone, gone_words, removed = [], [], [], [], []
@@ -146,8 +146,10 @@ def _cut(rule: Spans):
                 a, b = int(of_text[k]), int(of_text[k + 1])
                 drop = np.zeros(b - a, dtype=bool)
                 for m in marks or ():
-                    r = int(first_run[k]) + m
-                    drop[begin[r] - a:last[r] - a + 1] = True
+                    r = int(first_run[k]) + (m & 0xFFFFFFFF)
+                    # another text of equal id and checksum has other runs: not its mark
+                    if r < len(text) and text[r] == k and int(h[r]) & 0xFFFFFFFF == m >> 32 & 0xFFFFFFFF:
+                        drop[begin[r] - a:last[r] - a + 1] = True
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], drop.view(np.int8), [0])))).reshape(-1, 2)
                 total.append(b - a)
                 gone.append(int(drop.sum()))
@@ -191,7 +193,8 @@ def remove_repeats(docs: DataFrame, rule: Spans = Spans(), id_col: str = "doc_id
     many documents share is one row per task; the repeated ones set a filter of
     fixed size, and only runs that pass it go to the aggregate that finds the
     first occurrence and to the join, where adaptive execution splits a hot one.
-    A document's marks are bounded by its own runs."""
+    A document's marks are bounded by its own runs; each carries half of its run's
+    hash, so that it holds for no other text of equal id and checksum."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("check", F.coalesce(F.crc32(F.encode("text", "utf-8")), F.lit(0).cast("bigint")).bitwiseAND(
         F.lit(0x7FFFFFFF)))
@@ -206,7 +209,7 @@ def remove_repeats(docs: DataFrame, rule: Spans = Spans(), id_col: str = "doc_id
     later = spans.join(repeated, "h").where(~where.eqNullSafe(F.col("first")))
     check = F.shiftright("place", 32)
     marks = later.groupBy("doc_id", check.alias("check")).agg(
-        F.collect_set(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))).alias("marks"))
+        F.collect_set(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.shiftleft("h", 32))).alias("marks"))
     marks = marks.select(F.col("doc_id").alias("_id"), F.col("check").alias("_check"), "marks")
     joined = rows.join(marks, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["check"] == F.col("_check")), "left")
     return joined.select("doc_id", "text", "marks").mapInArrow(_cut(rule), RESULT_SCHEMA)

@@ -1,5 +1,6 @@
 import random
 import re
+import zlib
 
 from docshred.llm.span_dedup import WHOLE, Spans, remove_repeats, sentences
 from docshred.llm.words import split_words
@@ -10,8 +11,6 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 def slow(docs, rule=Spans()):
     """Removed sentence numbers of every distinct (id, text) by plain dictionaries."""
-    import zlib
-
     def parts(text):
         out, current, last_end = [], [], 0
         for m in WORD.finditer(text):
@@ -89,8 +88,6 @@ def test_empty_table(spark):
 
 def all_runs(rows, rule):
     """Removed words of every distinct (id, text) when every run that is long enough is looked up."""
-    import zlib
-
     first, removed = {}, {}
     for key in sorted({(r[0], r[1]) for r in rows}, key=lambda r: (r[0], zlib.crc32(r[1].encode()) & 0x7FFFFFFF)):
         batch = split_words([key[1]])
@@ -132,3 +129,24 @@ def test_whole_rule_leaves_no_tail_and_finds_passages_without_punctuation(spark)
     assert got[0] == got[10] == 0
     assert got[1] >= 37 and got[2] >= 37
     assert got[11] >= 40 and got[12] >= 40
+
+
+def test_texts_of_equal_id_and_checksum_keep_their_own_marks(spark):
+    rng = random.Random(21)
+    copied, own = prose(rng, 9), prose(rng, 9)
+    crc, tail = {}, 0
+    start = zlib.crc32((copied + " ").encode())
+    for k in range(200_000):
+        crc.setdefault(zlib.crc32(f"one {k}.".encode(), start) & 0x7FFFFFFF, k)
+    start = zlib.crc32((own + " ").encode())
+    while zlib.crc32(f"two {tail}.".encode(), start) & 0x7FFFFFFF not in crc:
+        tail += 1
+    a = f"{copied} one {crc[zlib.crc32(f'two {tail}.'.encode(), start) & 0x7FFFFFFF]}."
+    b = f"{own} two {tail}."
+    assert zlib.crc32(a.encode()) & 0x7FFFFFFF == zlib.crc32(b.encode()) & 0x7FFFFFFF
+    for same in (7, None):
+        first = 1 if same else None
+        rows = [(first, copied, "", "", 1), (same, a, "", "", 1), (same, b, "", "", 1)]
+        got = {r["text"] for r in remove_repeats(frame(spark, rows), WHOLE).collect()}
+        assert b in got
+        assert same is None or a not in got
