@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docshred.session import scratch_path
+from docshred.sources.runs import empty
 
 SLICE_BYTES = 4 << 20
 BROADCAST_KEYS = 10_000
@@ -62,4 +63,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Take the files of ``stored`` frames away.  Only for frames whose every
+    reader has been written: a lost executor's tasks read them no more."""
+    for df in frames:
+        empty(df.sparkSession, df.stored_at)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docshred.llm.common import stored
+from docshred.llm.common import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,6 +25,7 @@ def components(links: DataFrame) -> DataFrame:
         new = stored(small.select(high, low).distinct(), "links")
         state = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")]
         before = edges.select(high, low).distinct().agg(*state).first()
+        discard(edges)
         if new.agg(*state).first() == before:
             break
         edges = new

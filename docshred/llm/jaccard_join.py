@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docshred.llm.common import slices, stored
+from docshred.llm.common import discard, slices, stored
 from docshred.llm.components import components
 from docshred.llm.words import mix, split_words, windows
 
@@ -268,23 +268,25 @@ def divide_skip(query: np.ndarray, candidates: list[np.ndarray], sizes: np.ndarr
 
 def _verify(percent: int):
     def work(key, table):
-        query = table.column("q_tokens")[0].values.to_numpy(zero_copy_only=False)
-        candidates = [c.values.to_numpy(zero_copy_only=False) for c in table.column("c_tokens")]
-        sizes = table.column("c_n").to_numpy()
-        hit = divide_skip(query, candidates, sizes, table.column("q_n")[0].as_py(), percent)
-        names = table.column("c").to_pylist()
-        return pa.table({"a": pa.array([table.column("q")[0].as_py()] * len(hit), pa.string()),
-                         "b": pa.array([names[k] for k in hit], pa.string())})
+        names = table.column("cls").to_pylist()
+        tokens = [c.values.to_numpy(zero_copy_only=False) for c in table.column("shared")]
+        sizes = table.column("n").to_numpy()
+        q = names.index(key[0].as_py())
+        others = np.array([k for k in range(len(names)) if k != q], dtype=np.int64)
+        hit = divide_skip(tokens[q], [tokens[k] for k in others], sizes[others], int(sizes[q]), percent)
+        return pa.table({"a": pa.array([names[q]] * len(hit), pa.string()),
+                         "b": pa.array([names[others[k]] for k in hit], pa.string())})
     return work
 
 
 def search(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among candidate pairs (q, c): DivideSkip per query and block of candidates."""
-    left = sets.select(F.col("cls").alias("q"), F.col("n").alias("q_n"), F.col("shared").alias("q_tokens"))
-    right = sets.select(F.col("cls").alias("c"), F.col("n").alias("c_n"), F.col("shared").alias("c_tokens"))
+    """Links among candidate pairs (q, c): DivideSkip per query and block of
+    candidates; the query's own row comes once to each of its blocks."""
     many = pairs.groupBy("q").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    placed = pairs.join(many, "q").select("q", "c", F.pmod(F.xxhash64("c"), "blocks").alias("block"))
-    rows = placed.join(left, "q").join(right, "c")
+    placed = pairs.join(many, "q").select("q", F.pmod(F.xxhash64("c"), "blocks").alias("block"), F.col("c").alias("cls"))
+    queries = many.select("q", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"),
+                          F.col("q").alias("cls"))
+    rows = placed.unionAll(queries).join(sets.select("cls", "n", "shared"), "cls")
     return rows.groupBy("q", "block").applyInArrow(_verify(percent), "a string, b string")
 
 
@@ -303,6 +305,7 @@ def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80, id
     classes = members.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"), F.min("key").alias("key"))
     links = similar_classes(rows, classes.select("key"), width, percent)
     joined = components(links)
+    discard(links)
     named = joined.join(classes, F.col("node") == F.col("cls"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     label = classes.join(joined, F.col("cls") == F.col("node"), "left").join(least, "root", "left").select(
@@ -322,7 +325,9 @@ def similar_classes(rows: DataFrame, one_each: DataFrame, width: int, percent: i
     alive = rows.select("key", "text").join(kept.join(one_each, "key"), "key", "left_semi").dropDuplicates(["key"])
     sets = stored(alive.mapInArrow(_sets(width), "key bigint, cls string, tokens array<bigint>"), "sets")
     again = possible(sets.select("key", "tokens").mapInArrow(_marks(width, percent, 1.0), MARKS))
-    sets = stored(sets.join(again, "key", "left_semi"), "sets")
+    alive = sets
+    sets = stored(alive.join(again, "key", "left_semi"), "sets")
+    discard(alive)
     owned = sets.select("cls", F.size("tokens").cast("bigint").alias("n"), F.explode("tokens").alias("token"))
     lists = owned.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     shared = owned.join(lists, "token").groupBy("cls", "n").agg(
@@ -332,6 +337,7 @@ def similar_classes(rows: DataFrame, one_each: DataFrame, width: int, percent: i
     active = stored(shared.where(own < prefix).select(
         "cls", "n", own.alias("own"), F.array_sort("by_df.token").alias("shared"),
         F.slice(F.col("by_df.token"), 1, (prefix - own).cast("int")).alias("prefix")), "active")
+    discard(sets)
     lists = active.select("cls", "n", "own", F.posexplode("prefix").alias("i", "token")).select(
         "token", "cls", "n", (F.col("n") - F.col("own") - F.col("i")).alias("rest"))
     pivot = lists.groupBy("token").agg(F.min(F.struct("n", "cls", "rest")).alias("p"), F.count("*").alias("df")).where("df > 1")
@@ -356,7 +362,9 @@ def similar_classes(rows: DataFrame, one_each: DataFrame, width: int, percent: i
         F.min("root").alias("lo"), F.max("root").alias("hi"))
     asked = placed.select("token", F.col("cls"), F.col("root")).join(reach, "token").where(
         (F.col("lo") != F.col("root")) | (F.col("hi") != F.col("root"))).select("cls", "block").distinct()
-    return first.unionAll(block_search(asked, home.select("cls", "block"), rooted, percent))
+    links = stored(first.unionAll(block_search(asked, home.select("cls", "block"), rooted, percent)), "links")
+    discard(active, first, home)
+    return links
 
 
 def block_search(asked: DataFrame, home: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
