@@ -1,10 +1,9 @@
 """Quality rules by distribution divergence (DataFrame functions only).
 
 Every language has two reference distributions, taken from all its documents:
-the shares of character classes, and the shares of its common words (words of at
-most ``common_length`` code points that make up at least ``common_share`` of the
-language's words, so there are at most 1/share of them) with one bucket for all
-other words.  A document whose own distribution is farther from its language's
+the shares of character classes, and the shares of its common words (words that
+make up at least ``common_share`` of the language's words, so there are at most
+1/share of them, whatever their length) with one bucket for all other words.  A document whose own distribution is farther from its language's
 reference than a limit (Jensen-Shannon distance, base 2, 0 to 1) is rejected.  A
 document shorter than a distribution's least length is not judged by it.
 
@@ -87,7 +86,7 @@ def base_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.drop("_hashes", "_windows", "_lines").withColumn("base_failed", failed)
 
 
-def language_references(docs: DataFrame, min_reference_chars: int, common_share: float, common_length: int,
+def language_references(docs: DataFrame, min_reference_chars: int, common_share: float,
                         text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per language with enough text (key, common words, their shares,
     class counts), each of at most 1/common_share words; marked for broadcast
@@ -101,10 +100,9 @@ def language_references(docs: DataFrame, min_reference_chars: int, common_share:
     sizes = stored(sizes.where(sum(map(F.col, classes)) >= min_reference_chars).select(
         "_key", "w", F.array(*classes).alias("c")), "languages")
     few = F.broadcast if sizes.count() <= BROADCAST_KEYS else (lambda df: df)
-    short = rows.select("_key", F.explode(F.filter(
-        _words(F.col("_text")), lambda w: F.length(w) <= common_length)).alias("word")).groupBy("_key", "word").agg(
+    words = rows.select("_key", F.explode(_words(F.col("_text"))).alias("word")).groupBy("_key", "word").agg(
         F.count("*").alias("n"))
-    common = short.join(few(sizes.select("_key", "w")), "_key").where(F.col("n") >= common_share * F.col("w"))
+    common = words.join(few(sizes.select("_key", "w")), "_key").where(F.col("n") >= common_share * F.col("w"))
     common = common.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct(
         "word", (F.col("n") / F.col("w")).alias("share")))).alias("common"))
     return few(sizes.join(common, "_key", "left").select(
@@ -128,15 +126,16 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def judge(docs: DataFrame, class_limit: float = 0.3, word_limit: float = 0.35, min_chars: int = 200,
-          min_words: int = 60, min_reference_chars: int = 10_000, common_share: float = 0.01, common_length: int = 4,
+          min_words: int = 60, min_reference_chars: int = 10_000, common_share: float = 0.01,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Base counts, both distances (null below the least length, or without a
     reference) and the verdict."""
-    refs = language_references(docs, min_reference_chars, common_share, common_length, text_col, lang_col)
+    refs = language_references(docs, min_reference_chars, common_share, text_col, lang_col)
     rows = base_measures(docs, id_col, text_col, lang_col).withColumnRenamed("_lang", "_key")
     rows = rows.join(refs, "_key", "left")
-    rows = rows.withColumn("_short", F.filter("_words", lambda w: F.length(w) <= common_length))
-    hits = F.transform("_common", lambda c: (F.size("_short") - F.size(F.array_remove(F.col("_short"), c))).cast("double"))
+    # the common words' places first, so that counting each looks at few words
+    rows = rows.withColumn("_met", F.filter("_words", lambda w: F.array_contains(F.col("_common"), w)))
+    hits = F.transform("_common", lambda c: (F.size("_met") - F.size(F.array_remove(F.col("_met"), c))).cast("double"))
     rows = rows.withColumn("_hits", hits)
     known = F.aggregate("_hits", F.lit(0.0), lambda s, x: s + x)
     mine = F.transform(F.concat("_hits", F.array(F.col("n_words") - known)),

@@ -1,12 +1,14 @@
 import math
+import random
 import re
 from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from docshred.llm.divergence_rules import base_measures, js_distance, judge
-from tests.llm.fixtures import empty, frame
+from tests.llm.fixtures import documents, empty, frame, prose
 
 
 def slow_base(text):
@@ -72,3 +74,70 @@ def test_rare_languages_have_their_own_reference_and_unknown_ones_none(spark):
     alone = {r["doc_id"]: r for r in judge(frame(spark, [r for r in rows if r[2] == "ru"])).collect()}
     assert all(alone[i]["kept"] == got[i]["kept"] and abs(alone[i]["class_distance"] - got[i]["class_distance"]) < 1e-12
                for i in alone)
+
+
+def slow_judge(rows):
+    """(id, class distance, word distance, kept) of every row by plain counting."""
+    def classes(text):
+        out, left = [], text
+        for pattern in ("[a-z]", r"[\x20\x09-\x0D]", r"(?![A-Z])[\p{L}\p{M}]", "[A-Z]", r"[.,;:!?'\"()-]", r"\p{N}"):
+            rest = regex.sub(pattern, "", left)
+            out.append(len(left) - len(rest))
+            left = rest
+        return [*out, len(left)]
+
+    def words(text):
+        return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+    def distance(p, q):
+        total = 0.0
+        for a, b in zip(p, q, strict=True):
+            for x in (a, b):
+                total += x * math.log2(2 * x / (a + b)) / 2 if x > 0 else 0
+        return math.sqrt(max(total, 0))
+
+    def shares(counts):
+        return [c / max(sum(counts), 1) for c in counts]
+
+    refs = {}
+    for lang in {r[2] for r in rows if r[2] is not None}:
+        texts = [r[1] or "" for r in rows if r[2] == lang]
+        total = [sum(c) for c in zip(*map(classes, texts))]
+        if sum(total) >= 10_000:
+            count = Counter(w for t in texts for w in words(t))
+            n = sum(count.values())
+            refs[lang] = shares(total), {w: c / n for w, c in sorted(count.items()) if c >= 0.01 * n}
+    out = []
+    for i, text, lang, *_ in rows:
+        text, by_class, by_word = text or "", None, None
+        if lang in refs:
+            mine, common = Counter(words(text)), refs[lang][1]
+            n = sum(mine.values())
+            if len(text) >= 200:
+                by_class = distance(shares(classes(text)), refs[lang][0])
+            if n >= 60 and common:
+                hits = [mine[w] for w in common]
+                by_word = distance([h / n for h in [*hits, n - sum(hits)]], [*common.values(), 1 - sum(common.values())])
+        out.append((i, by_class, by_word, not slow_base(text)[-1] and (by_class or 0) <= 0.3 and (by_word or 0) <= 0.35))
+    return out
+
+
+def test_references_and_verdicts_against_plain_counting(spark):
+    rng = random.Random(14)
+    rows = documents()
+    usual = "notwithstanding the committee's considerations of a proposal"  # long words that are common
+    for i in range(40):
+        words = usual.split() * 12 + prose(rng, 12).split()
+        rng.shuffle(words)
+        rows.append((100 + i, " ".join(words), "xx", "", 1))
+    rows += [(200, prose(rng, 40), "xx", "", 1), (201, " ".join(f"{k}#{k}%{k * 7}&" for k in range(200)), "xx", "", 1),
+             (202, "ДОМ на и 日本 ① " * 30 + usual, "xx", "", 1), (203, usual * 9, "few", "", 1), (204, usual, None, "", 1)]
+    want = slow_judge(rows)
+    got = [(r["doc_id"], r["class_distance"], r["word_distance"], r["kept"]) for r in judge(frame(spark, rows)).collect()]
+    for a, b in zip(sorted(got, key=repr), sorted(want, key=repr), strict=True):
+        assert (a[0], a[3]) == (b[0], b[3])
+        for x, y in zip(a[1:3], b[1:3], strict=True):
+            assert x == (None if y is None else pytest.approx(y, abs=1e-9))
+    verdict = {r[0]: r for r in want}
+    assert verdict[100][3] and not verdict[201][3]
+    assert not verdict[200][3] and verdict[200][1] < 0.3 and verdict[200][2] > 0.35  # lacks the long common words
