@@ -11,7 +11,9 @@ code wins.
 The context trees of all languages are kept as one table per order: gram ->
 code lengths per language, each computed by that language's own recursion, so
 scoring a byte is one lookup (a miss adds the escapes and tries the next shorter
-gram).  Training takes a bounded sample (``train_bytes`` over all languages).
+gram).  Training takes a bounded sample (``train_bytes`` over all languages, an
+equal part each) of pieces of texts, so a language of a few very long texts has
+its part too and no text exceeds it.
 
 Null text and text without a letter give ``und`` with score 0; so does
 everything if no row has a language.  Ties go to the smaller language name.
@@ -27,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docshred.llm.common import bounded_sample, fold, slices
+from docshred.llm.common import BROADCAST_KEYS, fold, slices, stored
 from docshred.llm.words import mix
 
 UNKNOWN = "und"
+PIECE = 4096  # code points of a training piece
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double, code_bits double"
 
 
@@ -157,16 +160,24 @@ class ContextTrees:
 def training_sample(docs: DataFrame, train_bytes: int, where: Column, id_col: str, text_col: str,
                     lang_col: str) -> dict[str, list[bytes]]:
     """At most about ``train_bytes`` of labelled text, shared evenly by the
-    languages, chosen by the hash of id and text; brought to the driver."""
+    languages; brought to the driver.  Texts are taken in pieces of ``PIECE`` code
+    points, chosen by the hash of id, text and piece number: of a language with
+    less than its part every piece, else the same share of all its pieces."""
     rows = docs.where(where & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    size = F.octet_length("text")
-    names = rows.select("lang").distinct().count()
+        F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    sizes = stored(rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")), "languages")
+    names = sizes.count()
     if not names:
         return {}
-    chosen = bounded_sample(rows, size, max(1, train_bytes // names), F.struct("doc_id", "text"), F.col("lang"))
+    sizes = F.broadcast(sizes) if names <= BROADCAST_KEYS else sizes
+    share = F.lit(float(max(1, train_bytes // names))) / F.greatest("bytes", F.lit(1))
+    last = F.greatest(F.floor((F.length("text") - 1) / PIECE), F.lit(0))
+    pieces = F.filter(F.sequence(F.lit(0).cast("bigint"), last), lambda i: F.pmod(
+        F.xxhash64("key", i), F.lit(1 << 30)) < F.lit(float(1 << 30)) * F.col("share"))
+    chosen = rows.join(sizes, "lang").withColumn("share", share).select("lang", "text", F.explode(pieces).alias("i"))
+    piece = F.substring("text", (F.col("i") * PIECE + 1).cast("int"), F.lit(PIECE))
     out: dict[str, list[bytes]] = {}
-    for r in chosen.select("lang", F.encode("text", "utf-8").alias("raw")).collect():
+    for r in chosen.select("lang", F.encode(piece, "utf-8").alias("raw")).collect():
         out.setdefault(r["lang"], []).append(bytes(r["raw"]))
     return {k: sorted(v) for k, v in out.items()}
 

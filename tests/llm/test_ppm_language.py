@@ -1,10 +1,12 @@
 import math
+import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from docshred.llm.ppm_language import ContextTrees, identify
-from tests.llm.fixtures import empty, frame
+from docshred.llm.ppm_language import PIECE, ContextTrees, identify, training_sample
+from tests.llm.fixtures import empty, frame, prose
 
 
 def slow_code_length(train: list[bytes], text: bytes, order: int) -> float:
@@ -65,3 +67,20 @@ def test_awkward_rows(spark):
     assert identify(empty(spark)).count() == 0
     unlabelled = frame(spark, [(1, "some text", None, None, 1), (2, "1234", None, None, 1)])
     assert {r["lang_pred"] for r in identify(unlabelled).collect()} == {"und"}
+
+
+def test_a_language_of_a_few_long_texts_gets_its_part(spark):
+    rng = random.Random(4)
+    long = prose(rng, 20_000)
+    rows = [(i, long[i * 7:], "xx", "", 1) for i in range(3)]
+    rows += [(100 + i, f"kurze zeile {i} " * 20, "yy", "", 1) for i in range(400)] + [(900, "a few words", "zz", "", 1)]
+    bound = 150_000
+    got = training_sample(frame(spark, rows), bound, F.lit(True), "doc_id", "text", "lang")
+    size = {k: sum(map(len, v)) for k, v in got.items()}
+    assert set(got) == {"xx", "yy", "zz"} and size["zz"] == len("a few words")
+    assert bound / 6 < size["xx"] < bound / 2 and bound / 6 < size["yy"] < bound / 2
+    assert max(map(len, got["xx"])) <= PIECE and all(p.decode() in long for p in got["xx"])
+    whole = training_sample(frame(spark, rows), 1 << 30, F.lit(True), "doc_id", "text", "lang")
+    assert sum(map(len, whole["xx"])) == sum(len(r[1]) for r in rows[:3])
+    said = {r["doc_id"]: r["lang_pred"] for r in identify(frame(spark, rows), train_bytes=bound).collect()}
+    assert [said[i] for i in range(3)] == ["xx"] * 3
