@@ -44,13 +44,11 @@ def _class_counts(text: Column) -> Column:
     return F.array(*counts, F.length(left).cast("double"))
 
 
-def _repeat_words(hashes: Column, n: Column) -> Column:
-    """Words inside a window of five that occurs at least twice in the text."""
-    m = n - (WINDOW - 1)
-    h = F.slice(hashes, 1, m)
-    for k in range(1, WINDOW):
-        h = F.zip_with(h, F.slice(hashes, k + 1, m), lambda a, b: F.xxhash64(a, b))
-    return F.when(n < WINDOW, F.array().cast("array<bigint>")).otherwise(h)
+def _repeat_windows(words: Column) -> Column:
+    """Hash of every window of five words, by place."""
+    m = F.size(words) - (WINDOW - 1)
+    return F.when(m < 1, F.array().cast("array<bigint>")).otherwise(F.transform(
+        F.slice(words, 1, m), lambda w, i: F.xxhash64(w, *(F.get(words, i + k) for k in range(1, WINDOW)))))
 
 
 def _covered(windows: Column) -> Column:
@@ -79,11 +77,10 @@ def base_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = rows.withColumns({"n_words": F.size("_words").cast("bigint"),
                              "word_chars": F.length(F.array_join("_words", "")).cast("bigint"),
                              "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
-                             "_hashes": F.transform("_words", lambda w: F.xxhash64(w))})
-    rows = rows.withColumn("_windows", _repeat_words(F.col("_hashes"), F.size("_hashes")))
+                             "_windows": _repeat_windows(F.col("_words"))})
     rows = rows.withColumn("n_repeat_words", _covered(F.col("_windows")))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return rows.drop("_hashes", "_windows", "_lines").withColumn("base_failed", failed)
+    return rows.drop("_windows", "_lines").withColumn("base_failed", failed)
 
 
 def language_references(docs: DataFrame, min_reference_chars: int, common_share: float,
@@ -133,9 +130,7 @@ def judge(docs: DataFrame, class_limit: float = 0.3, word_limit: float = 0.35, m
     refs = language_references(docs, min_reference_chars, common_share, text_col, lang_col)
     rows = base_measures(docs, id_col, text_col, lang_col).withColumnRenamed("_lang", "_key")
     rows = rows.join(refs, "_key", "left")
-    # the common words' places first, so that counting each looks at few words
-    rows = rows.withColumn("_met", F.filter("_words", lambda w: F.array_contains(F.col("_common"), w)))
-    hits = F.transform("_common", lambda c: (F.size("_met") - F.size(F.array_remove(F.col("_met"), c))).cast("double"))
+    hits = F.transform("_common", lambda c: (F.size("_words") - F.size(F.array_remove(F.col("_words"), c))).cast("double"))
     rows = rows.withColumn("_hits", hits)
     known = F.aggregate("_hits", F.lit(0.0), lambda s, x: s + x)
     mine = F.transform(F.concat("_hits", F.array(F.col("n_words") - known)),
