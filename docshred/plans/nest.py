@@ -31,7 +31,7 @@ from docshred.sources.dictionary import write_dictionary
 from docshred.sources.documents import read_documents, well_formed
 from docshred.sources.runs import publish_once
 
-CORPUS_VERSION = "v8"
+CORPUS_VERSION = "v9"
 
 # ---- scalar fields of one document, as SQL over the joined row -----------------------
 # {ts:x} → 'yyyy-MM-dd HH:mm:ss.SSS' text, {day:x} → 'yyyy-MM-dd' text, per dialect.
@@ -100,6 +100,11 @@ SOURCE_COLUMNS = {
 PAYLOAD_ITEMS = ("L_ORDERKEY", "L_PARTKEY", "L_SUPPKEY", "L_LINENUMBER", "L_QUANTITY",
                  "L_RETURNFLAG", "L_LINESTATUS", "L_SHIPDATE")
 OASIS_WIDTH, MDS_WIDTH = 557, 1247
+# Rows whose payloads fill two of every five other dictionary positions as well, and
+# the item of position i in them: given, null, and its text (a bare number or quoted).
+DENSE = "l_orderkey % 64 = 0"
+ITEM_GIVEN, ITEM_NULL, ITEM_TEXT = "(l_orderkey + i) % 5 < 2", "(l_orderkey + i) % 13 = 0", "(l_orderkey + i) % 7"
+ITEM_BARE = "i % 11 = 0"
 # ---------------------------------------------------------------------------------------
 
 
@@ -117,11 +122,22 @@ def render(sql: str, dialect: str) -> str:
 
 
 def dictionary_items(kind: str) -> list[str]:
-    """Item names of a generated dictionary: the payload keys, then fillers
-    that no payload carries (their columns stay null, as in real dictionaries)."""
-    width = {"oasis": OASIS_WIDTH, "mds": MDS_WIDTH}[kind]
-    prefix = kind.upper()
-    return list(PAYLOAD_ITEMS) + [f"{prefix}_ITEM_{i:04d}" for i in range(len(PAYLOAD_ITEMS) + 1, width + 1)]
+    """Item names of a generated dictionary: the keys of every payload, then those
+    that only dense payloads carry (about 220 and 500 of them each)."""
+    return list(PAYLOAD_ITEMS) + [f"{kind.upper()}_ITEM_{i:04d}" for i in dense_positions(kind)]
+
+
+def dense_positions(kind: str) -> range:
+    return range(len(PAYLOAD_ITEMS) + 1, {"oasis": OASIS_WIDTH, "mds": MDS_WIDTH}[kind] + 1)
+
+
+def dense_items(kind: str) -> str:
+    """SQL for the further members of a dense payload, as JSON text."""
+    at = dense_positions(kind)
+    text = f"CAST({ITEM_TEXT} AS STRING)"
+    return f"""concat_ws(',', transform(filter(sequence({at[0]}, {at[-1]}), i -> {ITEM_GIVEN}),
+        i -> concat('"{kind.upper()}_ITEM_', lpad(CAST(i AS STRING), 4, '0'), '":',
+                    CASE WHEN {ITEM_NULL} THEN 'null' WHEN {ITEM_BARE} THEN {text} ELSE concat('"', {text}, '"') END)))"""
 
 
 def joined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,6 +165,9 @@ PAYLOAD_FIELDS = {
     "L_LINESTATUS": f"CASE WHEN l_linestatus = 'O' THEN {NULL} ELSE l_linestatus END", "L_SHIPDATE": "k_shipday"}
 ALT_KEYS = ("id", "authority", "facility", "type", "ty pe")
 _NULL_TEXT = '"\\\\u0001"'     # how to_json writes the sentinel, escaped for an SQL literal
+# The place of a dense payload's further items, likewise.
+MORE = {"oasis": "chr(2)", "mds": "chr(3)"}
+_MORE_TEXT = {"oasis": '"MORE":"\\\\u0002"', "mds": '"MORE":"\\\\u0003"'}
 
 
 def _st(**fields: str) -> str:
@@ -239,16 +258,18 @@ def document_json() -> str:
         CASE WHEN l_returnflag = 'R' THEN {_st(filename="file2", displayFilename=none, filetype="'xml'",
                                                dataType="'labResults'")} END)"""
     documents = f"filter({documents}, x -> x IS NOT NULL)"
-    payload = _st(**PAYLOAD_FIELDS, EXTRA_NOTE="'outside the dictionary'")
+    def payload(mark):
+        return _st(**PAYLOAD_FIELDS, EXTRA_NOTE="'outside the dictionary'", MORE=f"CASE WHEN {DENSE} THEN {mark} END")
+    first, second = payload(f"CASE l_returnflag WHEN 'R' THEN {MORE['oasis']} ELSE {MORE['mds']} END"), payload(MORE["mds"])
     # payloads without any dictionary item, in three writings: {}, unknown keys
     # only, and no payload at all; and a true duplicate of the second assessment
     nothing = {k: f"nullif({v}, {v})" for k, v in PAYLOAD_FIELDS.items()}
-    empty, unknown = _st(**nothing, EXTRA_NOTE=none), _st(**nothing, EXTRA_NOTE="'outside the dictionary'")
+    empty, unknown = (_st(**nothing, EXTRA_NOTE=note, MORE=none) for note in (none, "'outside the dictionary'"))
     asmt = "named_struct('id', {}, 'type', {}, 'occurredAt', {}, 'assessmentData', {})"
     assessments = _arr(
-        ("true", asmt.format("asmt1_id", "asmt1_type", "disch", payload)),
-        ("l_linestatus = 'F'", asmt.format("asmt2_id", "'mds'", "admit", payload)),
-        ("l_linestatus = 'F' AND l_returnflag = 'A'", asmt.format("asmt2_id", "'mds'", "admit", payload)),
+        ("true", asmt.format("asmt1_id", "asmt1_type", "disch", first)),
+        ("l_linestatus = 'F'", asmt.format("asmt2_id", "'mds'", "admit", second)),
+        ("l_linestatus = 'F' AND l_returnflag = 'A'", asmt.format("asmt2_id", "'mds'", "admit", second)),
         *((BARE, asmt.format("asmt3_id", "'mds'", "admit", p)) for p in (
             empty, unknown, f"CASE WHEN l_linenumber < 0 THEN {empty} END")),
         *((BARE, asmt.format("asmt3_id", "'oasis'", "admit", p)) for p in (empty, unknown)),
@@ -262,6 +283,13 @@ def document_json() -> str:
     return f"replace({spliced}, '{_NULL_TEXT}', 'null')"
 
 
+def with_dense_items(value: str) -> str:
+    """SQL for the text ``value`` of a document, the marks of dense payloads replaced."""
+    for kind, mark in _MORE_TEXT.items():
+        value = f"replace({value}, '{mark}', {dense_items(kind)})"
+    return value
+
+
 # Documents that do not fit, one per supplier, by s_suppkey % 10: sections and
 # elements of the wrong kind, and a line that breaks off (6).
 MISFIT_SECTIONS = {
@@ -291,7 +319,9 @@ def build_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     those that do not fit."""
     # in the order of their keys, so that "first" has a meaning that SQL can state
     rows = joined_rows(spark, sf_dir).orderBy("l_orderkey", "l_linenumber")
-    return rows.select(F.expr(document_json()).alias("value")).unionAll(misfit_documents(spark, sf_dir))
+    text = rows.select("l_orderkey", F.expr(document_json()).alias("value"))
+    text = text.select(F.expr(f"CASE WHEN {DENSE} THEN {with_dense_items('value')} ELSE value END").alias("value"))
+    return text.unionAll(misfit_documents(spark, sf_dir))
 
 
 TURN_ITEMS = ("TURN", "ROLE", "TEXT")
@@ -320,7 +350,7 @@ def _corpus_key(spark: SparkSession, sf_dir: str) -> str:
     if known not in _KEYS:
         paths = [f"{sf_dir}/{t}.parquet" for t in [*SOURCE_COLUMNS, "conversations"]]
         files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime").collect()
-        parts = [CORPUS_VERSION, document_json(), repr(MISFIT_SECTIONS), repr(sorted(BASE_FIELDS.items())),
+        parts = [CORPUS_VERSION, document_json(), with_dense_items("value"), repr(MISFIT_SECTIONS), repr(sorted(BASE_FIELDS.items())),
                  *sorted(f"{r[0]} {r[1]} {r[2]}" for r in files)]
         _KEYS[known] = hashlib.sha1("\n".join(parts).encode()).hexdigest()[:16]
     return _KEYS[known]
