@@ -6,8 +6,9 @@ label of the line before.  Forward-backward gives each line's marginal, and the
 marginals weighted by line length give the document's quality, which a logistic
 model maps to a score between 0 and 1.
 
-Training: documents of a bounded, class-balanced sample (``train_docs`` a class,
-cut into segments of ``segment`` lines for training only).  Lines start with
+Training: documents of a bounded, class-balanced sample (about ``train_docs`` a class and
+``train_bytes`` of text a class, no text above a sixteenth of that; cut into segments of
+``segment`` lines for training only), until the gradient is small.  Lines start with
 their document's label; as good lines also stand in bad documents, the lines of
 bad documents that the first fit finds good are relabelled (each bad document
 keeps its worst line as bad) before the second fit.
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docshred.llm.common import fold, slices
+from docshred.llm.common import bounded_sample, fold, slices, stored
 from docshred.llm.toxicity_grammar import fit_logistic, labelled_sample
 from docshred.llm.words import split_words
 
@@ -152,9 +153,11 @@ class Chain:
         return good[:, 1] / good.sum(axis=1), pair_sum
 
 
-def train_chain(x: np.ndarray, first: np.ndarray, labels: np.ndarray, weight: np.ndarray, steps: int = 60,
-                rate: float = 0.15, penalty: float = 1e-3) -> Chain:
-    """Gradient ascent (Adam) on the conditional log likelihood of the labels.
+def train_chain(x: np.ndarray, first: np.ndarray, labels: np.ndarray, weight: np.ndarray, tolerance: float = 1e-3,
+                max_steps: int = 2000, rate: float = 0.15, penalty: float = 1e-3) -> Chain:
+    """Gradient ascent (Adam, falling rate) on the conditional log likelihood of the
+    labels, until no component of its gradient (a mean over lines) exceeds ``tolerance``;
+    ``max_steps`` only guards against data on which it never does.
 
     ``weight`` balances lines of the two labels; pair counts use equal weights."""
     chain = Chain(np.zeros(x.shape[1]), np.zeros((2, 2)))
@@ -165,17 +168,20 @@ def train_chain(x: np.ndarray, first: np.ndarray, labels: np.ndarray, weight: np
     np.add.at(seen, (labels[nxt - 1], labels[nxt]), 1.0)
     moments = [np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros((2, 2)), np.zeros((2, 2))]
     scale = max(weight.sum(), 1.0)
-    for step in range(1, steps + 1):
+    for step in range(1, max_steps + 1):
         p, pair = chain.marginals(x, first)
         grads = (x.T @ ((labels - p) * weight) / scale - penalty * chain.weights,
                  (seen - pair) / max(len(nxt), 1) - penalty * chain.pairs)
+        if max(np.abs(g).max() for g in grads) <= tolerance:
+            break
+        pace = rate / np.sqrt(1 + step / 50)
         for k, (value, g) in enumerate(zip((chain.weights, chain.pairs), grads, strict=True)):
             m, v = moments[2 * k], moments[2 * k + 1]
             m *= 0.9
             m += 0.1 * g
             v *= 0.99
             v += 0.01 * g * g
-            value += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+            value += pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return chain
 
 
@@ -233,11 +239,11 @@ def fit_model(texts: list[str], y: np.ndarray, segment: int) -> QualityModel:
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, train_docs: int = 1000, segment: int = 64, modulus: int = 4,
-                  held: int = 2, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "quality") -> DataFrame:
+                  held: int = 2, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+                  train_bytes: int = 8 << 20) -> DataFrame:
     """(doc_id, held_out, score, quality, n_lines, worst) of every row of
     ``docs``; labels of ids in fold ``held`` are never read."""
-    model = quality_model(docs, labels, train_docs, segment, modulus, held, id_col, text_col, label_col)
+    model = quality_model(docs, labels, train_docs, segment, modulus, held, id_col, text_col, label_col, train_bytes)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,9 +260,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, train_docs: int = 1000, se
 
 
 def quality_model(docs: DataFrame, labels: DataFrame, train_docs: int = 1000, segment: int = 64, modulus: int = 4,
-                  held: int = 2, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "quality") -> QualityModel:
+                  held: int = 2, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+                  train_bytes: int = 8 << 20) -> QualityModel:
     sample = labelled_sample(docs, labels, label_col, lambda i: fold(i, modulus) != held, train_docs, id_col, text_col)
+    size = F.octet_length("text")
+    sample = bounded_sample(stored(sample.where(size <= train_bytes // 16), "quality-sample"), size, train_bytes,
+                            F.concat(F.lit("bytes"), F.col("doc_id").cast("string")), by=F.col("y"))
     rows = sorted((r["doc_id"], r["text"], r["y"]) for r in sample.collect())
     return fit_model([r[1] for r in rows], np.array([r[2] for r in rows], dtype=int), segment)
 

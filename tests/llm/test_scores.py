@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from docshred.llm.crf_quality import Chain, fit_model, keep_good, line_features, score_quality, with_neighbours
+from docshred.llm.crf_quality import Chain, fit_model, keep_good, line_features, score_quality, train_chain, with_neighbours
 from docshred.llm.queries import THRESHOLD, op1_crf_quality, op4_toxicity_grammar
 from docshred.llm import toxicity_grammar as grammar_module
 from docshred.llm.toxicity_grammar import (INSULT, NEGATION, OTHER, REPORT, TARGET, THREAT, Lexicon, Scorer, grammar, machines,
@@ -66,6 +66,34 @@ def test_neighbours_do_not_cross_texts():
     assert (x[1, k:2 * k] == lines.own[0]).all()
 
 
+def test_quality_training_ends_where_its_gradient_is_small():
+    rng = np.random.default_rng(5)
+    x = np.column_stack([np.ones(400), rng.normal(size=400)])
+    y = (x[:, 1] + rng.normal(size=400) > 0).astype(int)
+    first = np.arange(0, 401, 8)
+    fine, coarse = (train_chain(x, first, y, np.ones(400), tolerance=t) for t in (1e-5, 1e-3))
+    p, _ = fine.marginals(x, first)
+    assert np.abs(x.T @ (y - p) / 400 - 1e-3 * fine.weights).max() <= 1e-5
+    assert np.allclose(fine.weights, coarse.weights, atol=0.05)
+
+
+def test_quality_sample_is_bounded_by_bytes(spark):
+    words = ["plain words of a line.\n", "## $$ || buy buy buy\n"]
+    rows = [(k, words[k % 2] * (5000 if k < 2 else 4), "en", "a", 0) for k in range(200)]
+    docs = frame(spark, rows)
+    known = labels(spark, [(k, 1 - k % 2, 0) for k in range(200)])
+    seen = []
+
+    def fit(texts, y, segment):
+        seen.append((sum(len(t) for t, v in zip(texts, y) if v == 1), max(map(len, texts))))
+        return fit_model(texts, y, segment)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("docshred.llm.crf_quality.fit_model", fit)
+        out = score_quality(docs, known, train_bytes=4096).collect()
+    assert len(out) == 200 and 0 < seen[0][0] <= 2 * 4096 and seen[0][1] <= 256
+
+
 def test_quality_model_without_both_labels_scores_a_half():
     model = fit_model(["a b c", "d e f"], np.array([1, 1]), 64)
     assert model.score(model.summary(["some words", "", None])).tolist() == [0.5, 0.0, 0.0]
