@@ -34,14 +34,23 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, SEPARATOR), lambda w: w != "")
 
 
-def _class_counts(text: Column) -> Column:
-    """Code points of each class, and of no class."""
-    counts, left = [], text
-    for _, pattern in CLASSES:
+def _with_classes(rows: DataFrame) -> DataFrame:
+    """``_words``, ``_joined`` (all words as one text), ``_marks`` (what of it is no lower
+    letter) and ``_classes`` (code points of each class, and of no class) beside ``_text``.
+
+    Separators are what the joined words lack of the text; the other classes are taken
+    from what the class before has left."""
+    rows = rows.withColumn("_words", _words(F.col("_text"))).withColumn("_joined", F.array_join("_words", ""))
+    (lower, pattern), others = CLASSES[0], [c for c in CLASSES[1:] if c[0] != "space"]
+    rows = rows.withColumn("_marks", F.regexp_replace("_joined", pattern, ""))
+    counts = {lower: F.length("_joined") - F.length("_marks"), "space": F.length("_text") - F.length("_joined")}
+    left = F.col("_marks")
+    for name, pattern in others:
         rest = F.regexp_replace(left, pattern, "")
-        counts.append((F.length(left) - F.length(rest)).cast("double"))
+        counts[name] = F.length(left) - F.length(rest)
         left = rest
-    return F.array(*counts, F.length(left).cast("double"))
+    return rows.withColumn("_classes", F.array(*(counts[name].cast("double") for name, _ in CLASSES),
+                                               F.length(left).cast("double")))
 
 
 def _repeat_windows(words: Column) -> Column:
@@ -71,11 +80,10 @@ def base_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
                        F.col(lang_col).alias("_lang"))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    rows = rows.select("doc_id", "_lang", _words(t).alias("_words"), lines.alias("_lines"),
-                       _class_counts(t).alias("_classes"),
-                       F.length(F.regexp_replace(t, SYMBOLS, "")).cast("bigint").alias("n_symbols"))
+    rows = _with_classes(rows).select(
+        "doc_id", "_lang", "_words", lines.alias("_lines"), "_classes", F.length("_joined").cast("bigint").alias("word_chars"),
+        F.length(F.regexp_replace("_marks", SYMBOLS, "")).cast("bigint").alias("n_symbols"))  # no symbol is a lower letter
     rows = rows.withColumns({"n_words": F.size("_words").cast("bigint"),
-                             "word_chars": F.length(F.array_join("_words", "")).cast("bigint"),
                              "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
                              "_windows": _repeat_windows(F.col("_words"))})
     rows = rows.withColumn("n_repeat_words", _covered(F.col("_windows")))
@@ -91,8 +99,7 @@ def language_references(docs: DataFrame, min_reference_chars: int, common_share:
     rows = docs.select(F.col(lang_col).alias("_key"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).where(
         F.col("_key").isNotNull())
     classes = [f"c{k}" for k in range(len(CLASSES) + 1)]
-    sizes = rows.select("_key", _class_counts(F.col("_text")).alias("c"),
-                        F.size(_words(F.col("_text"))).alias("w")).groupBy("_key").agg(
+    sizes = _with_classes(rows).select("_key", F.col("_classes").alias("c"), F.size("_words").alias("w")).groupBy("_key").agg(
         F.sum("w").alias("w"), *(F.sum(F.col("c")[k]).alias(name) for k, name in enumerate(classes)))
     sizes = stored(sizes.where(sum(map(F.col, classes)) >= min_reference_chars).select(
         "_key", "w", F.array(*classes).alias("c")), "languages")
