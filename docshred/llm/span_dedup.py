@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docshred.llm.common import slices, stored
+from docshred.llm.common import HIGH_BITS, bit_filter, bit_set, discard, passing, slices, stored
 from docshred.llm.words import _MULTIPLIER, WordBatch, mix, split_words
 
 # Characters that end a sentence or a part of one.
@@ -56,8 +56,6 @@ class Spans:
 
 
 WHOLE = Spans(both_ends=True, cut_share=6)
-# Bits of the filter that repeated hashes set (16 MB on driver and executors).
-FILTER_BITS = 27
 
 
 @lru_cache(maxsize=4)
@@ -115,16 +113,18 @@ def runs(batch: WordBatch, rule: Spans) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _spans(rule: Spans, repeated=None):
-    """Rows of all runs, or of those whose bit is set in the broadcast ``repeated``."""
+    """Rows of all runs, by the high bits of their hashes, or of those whose bit is set in
+    the broadcast ``repeated``."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             words = split_words(batch.column(1).to_pylist())
             h, text, _, _, _ = runs(words, rule)
             check = batch.column(2).to_numpy(zero_copy_only=False)
             place = (check[text] << 32) + (np.arange(len(text)) - np.searchsorted(text, text))
-            if repeated is not None:
-                at = h >> np.uint64(64 - FILTER_BITS)
-                some = (repeated.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+            if repeated is None:
+                h = h & HIGH_BITS
+            else:
+                some = bit_set(repeated.value, h)
                 h, text, place = h[some], text[some], place[some]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h.view(np.int64)), batch.column(0).take(pa.array(text)), pa.array(place, pa.int64())],
@@ -132,10 +132,12 @@ def _spans(rule: Spans, repeated=None):
     return work
 
 
-def _cut(rule: Spans):
+def _cut(rule: Spans, unmarked=None):
+    """Results of (doc_id, text, marks); with ``unmarked``, of the rows whose fourth
+    column has no bit set there."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for batch in slices(batches):
+        for batch in slices(batches if unmarked is None else passing(unmarked, 3, keep=False)(batches)):
             texts = batch.column(1).to_pylist()
             words = split_words(texts, hashes=True)
             h, text, begin, last, first = runs(words, rule)
@@ -175,17 +177,6 @@ def _cut(rule: Spans):
     return work
 
 
-def _filter(hashes: DataFrame):
-    """Broadcast bits, one set by the high bits of every hash; at most 2^21 words come to the driver."""
-    at = F.shiftrightunsigned("h", 64 - FILTER_BITS)
-    words = hashes.select(F.shiftrightunsigned(at, 6).alias("word"), F.expr(
-        f"shiftleft(1L, int(shiftrightunsigned(h, {64 - FILTER_BITS}) & 63))").alias("bits"))
-    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
-    bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return hashes.sparkSession.sparkContext.broadcast(bits)
-
-
 def remove_repeats(docs: DataFrame, rule: Spans = Spans(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document with the sentences that a non-first repeated run covers removed.
 
@@ -193,13 +184,15 @@ def remove_repeats(docs: DataFrame, rule: Spans = Spans(), id_col: str = "doc_id
     many documents share is one row per task; the repeated ones set a filter of
     fixed size, and only runs that pass it go to the aggregate that finds the
     first occurrence and to the join, where adaptive execution splits a hot one.
+    The texts that have marks are shuffled to them, the others are not: the marks
+    set a filter of fixed size, too.
     A document's marks are bounded by its own runs; each carries half of its run's
     hash, so that it holds for no other text of equal id and checksum."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("check", F.coalesce(F.crc32(F.encode("text", "utf-8")), F.lit(0).cast("bigint")).bitwiseAND(
         F.lit(0x7FFFFFFF)))
     counts = rows.mapInArrow(_spans(rule), SPAN_SCHEMA).groupBy("h").agg(F.count("*").alias("n"))
-    spans = rows.mapInArrow(_spans(rule, _filter(counts.where("n > 1"))), SPAN_SCHEMA)
+    spans = rows.mapInArrow(_spans(rule, bit_filter(counts.where("n > 1"))), SPAN_SCHEMA)
     where = F.struct("doc_id", "place")
     # written, so that the join below shuffles both sides itself and adaptive
     # execution may split a hot hash (or broadcast a small table)
@@ -210,6 +203,13 @@ def remove_repeats(docs: DataFrame, rule: Spans = Spans(), id_col: str = "doc_id
     check = F.shiftright("place", 32)
     marks = later.groupBy("doc_id", check.alias("check")).agg(
         F.collect_set(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.shiftleft("h", 32))).alias("marks"))
-    marks = marks.select(F.col("doc_id").alias("_id"), F.col("check").alias("_check"), "marks")
-    joined = rows.join(marks, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["check"] == F.col("_check")), "left")
-    return joined.select("doc_id", "text", "marks").mapInArrow(_cut(rule), RESULT_SCHEMA)
+    marks = stored(marks.select(F.col("doc_id").alias("_id"), F.col("check").alias("_check"), "marks"), "marks")
+    discard(repeated)
+    marked = bit_filter(marks.select(F.xxhash64("_id", "_check").alias("h")))
+    keyed = rows.withColumn("h", F.xxhash64("doc_id", "check"))
+    none = F.lit(None).cast("array<bigint>").alias("marks")
+    untouched = keyed.select("doc_id", "text", none, "h").mapInArrow(_cut(rule, marked), RESULT_SCHEMA)
+    some = keyed.select("doc_id", "text", "check", "h").mapInArrow(
+        passing(marked, 3), "doc_id bigint, text string, check bigint, h bigint")
+    joined = some.join(marks, some["doc_id"].eqNullSafe(F.col("_id")) & (some["check"] == F.col("_check")), "left")
+    return untouched.unionAll(joined.select("doc_id", "text", "marks").mapInArrow(_cut(rule), RESULT_SCHEMA))

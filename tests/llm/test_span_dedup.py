@@ -2,9 +2,14 @@ import random
 import re
 import zlib
 
-from docshred.llm.span_dedup import WHOLE, Spans, remove_repeats, sentences
+import numpy as np
+import pyarrow as pa
+
+from docshred.llm.common import HIGH_BITS
+from docshred.llm.span_dedup import WHOLE, Spans, _spans, remove_repeats, sentences
 from docshred.llm.words import split_words
 from tests.llm.fixtures import SYLLABLES, documents, empty, frame, prose
+from tests.shuffles import noise, shuffled, texts_frame
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -150,3 +155,21 @@ def test_texts_of_equal_id_and_checksum_keep_their_own_marks(spark):
         got = {r["text"] for r in remove_repeats(frame(spark, rows), WHOLE).collect()}
         assert b in got
         assert same is None or a not in got
+
+
+def test_texts_without_a_mark_are_not_shuffled(spark):
+    texts = noise(40, 3000)
+    passage = "one two three, four five six seven, eight nine ten eleven twelve. " * 3
+    rows = [(k, t) for k, t in enumerate(texts)] + [(100, passage + texts[0][:50]), (101, passage + texts[1][:50]), (None, None)]
+    with shuffled(spark) as total:
+        got = remove_repeats(texts_frame(spark, rows)).collect()
+    assert total[0] < 0.2 * sum(map(len, texts))
+    gone = {r["doc_id"]: r["n_removed"] for r in got}
+    assert len(got) == len(rows) and gone[101] > 0 and not any(gone[k] for k in range(40))
+    assert {r["doc_id"]: r["text"] for r in got if r["doc_id"] in range(40)} == dict(enumerate(texts))
+
+
+def test_runs_are_counted_by_the_high_bits_of_their_hashes(spark):
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [noise(1, 200)[0].replace(" ", ". ")], "check": [7]})
+    h = next(_spans(WHOLE)(iter([batch]))).column(0).to_numpy().view(np.uint64)
+    assert len(h) and not (h & ~HIGH_BITS).any()
