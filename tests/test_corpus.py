@@ -1,6 +1,7 @@
 """The documents are read as they are derived: no copy of them on disk."""
 
 import os
+import re
 
 from docshred.plans import nest, queries
 from docshred.sources.documents import CORRUPT, MISFITS, ORDINAL, read_documents, well_formed
@@ -47,3 +48,10 @@ def test_documents_are_ordered_by_their_keys(spark):
     first = [r["documents"][0]["filename"] for r in docs.orderBy(ORDINAL).limit(50).collect()]
     keys = [tuple(map(int, f.removesuffix(".pdf").split("-"))) for f in first]
     assert keys == sorted(keys) and len(keys) == 50
+
+
+def test_part_texts_join_after_suppliers(spark):
+    """They are the widest columns of a line: joined last, they are shuffled once."""
+    plan = nest.joined_rows(spark, SF)._jdf.queryExecution().analyzed().toString()
+    at = [re.search(rf"Join Inner, \(\w+#\w+ = {key}#", plan).start() for key in ("o_orderkey", "p_partkey", "s_suppkey")]
+    assert at == sorted(at)     # the plan names the last join first
