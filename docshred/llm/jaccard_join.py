@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docshred.llm.common import discard, slices, stored
+from docshred.llm.common import HIGH_BITS, bit_filter, discard, passing, slices, stored
 from docshred.llm.components import components
 from docshred.llm.words import mix, split_words, windows
 
@@ -107,7 +107,9 @@ def _marks(width: int, percent: int, share: float):
 
     A shingle with several owners in the slice is announced once (known 0, no
     owner asked for); its owners get one row each with the number of such
-    shingles, under a spread-out token of their own."""
+    shingles, under a spread-out token of their own.  Of a token the high bits are
+    given: shingles equal in them count as shared, so the pruning errs on the safe
+    side."""
     limit = np.uint64(int(share * 2**63) * 2 - 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +133,7 @@ def _marks(width: int, percent: int, share: float):
             figures = mix(key[docs].view(np.uint64))
             # kinds: 0 owner to be counted, 1 announcement, 2 the document's own figures
             yield pa.RecordBatch.from_arrays(
-                [_signed(np.concatenate([token[one], token[shared], figures])),
+                [_signed(np.concatenate([token[one], token[shared], figures]) & HIGH_BITS),
                  pa.array(np.concatenate([key[owner[one]], np.zeros(len(shared), np.int64), key[docs]])),
                  pa.array(np.concatenate([np.zeros(len(one), np.int8), np.ones(len(shared), np.int8),
                                           np.full(len(docs), 2, np.int8)])),
@@ -322,8 +324,13 @@ def similar_classes(rows: DataFrame, one_each: DataFrame, width: int, percent: i
     similarity (not every link inside one component is listed).  ``rows`` have a
     key, ``one_each`` names one row of each class."""
     kept = possible(rows.select("key", "text").mapInArrow(_marks(width, percent, MARK_SHARE), MARKS))
-    alive = rows.select("key", "text").join(kept.join(one_each, "key"), "key", "left_semi").dropDuplicates(["key"])
+    wanted = stored(kept.join(one_each, "key"), "wanted")
+    # only texts that may be among the wanted ones are shuffled to their keys
+    alive = rows.select("key", "text").mapInArrow(
+        passing(bit_filter(wanted.select(F.col("key").alias("h"))), 0), "key bigint, text string")
+    alive = alive.join(wanted, "key", "left_semi").dropDuplicates(["key"])
     sets = stored(alive.mapInArrow(_sets(width), "key bigint, cls string, tokens array<bigint>"), "sets")
+    discard(wanted)
     again = possible(sets.select("key", "tokens").mapInArrow(_marks(width, percent, 1.0), MARKS))
     alive = sets
     sets = stored(alive.join(again, "key", "left_semi"), "sets")

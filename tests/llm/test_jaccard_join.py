@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from docshred.llm.components import components
 from docshred.llm.jaccard_join import divide_skip, required, similarity_components
 from tests.llm.fixtures import documents, empty, frame, prose
+from tests.shuffles import noise, shuffled, texts_frame
 
 
 def sets_of(text):
@@ -95,3 +96,13 @@ def test_components_of_links(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a string, b string")).collect()}
     assert got == {**dict.fromkeys("abcdez", "a"), "x": "x", "y": "x"}
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_texts_without_a_partner_are_not_shuffled(spark):
+    texts = noise(40, 3000)
+    near = texts[0].rsplit(" ", 20)[0]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(100, near), (101, near), (None, None)]
+    with shuffled(spark) as total:
+        got = similarity_components(texts_frame(spark, rows)).collect()
+    assert total[0] < 0.8 * sum(map(len, texts))
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == {k: k for k in range(40)} | {100: 0, 101: 0}
