@@ -63,10 +63,10 @@ def _repeat_windows(words: Column) -> Column:
 def _covered(windows: Column) -> Column:
     """Sum over the repeated windows' positions of the words each adds."""
     m = F.size(windows)
-    ordered = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    ordered = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     both = F.zip_with(F.slice(ordered, 1, m - 1), F.slice(ordered, 2, m - 1),
                       lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>")))
-    at = F.array_sort(F.array_distinct(F.flatten(both)))
+    at = F.sort_array(F.array_distinct(F.flatten(both)))
     start = F.struct(F.lit(-WINDOW).alias("end"), F.lit(0).cast("bigint").alias("n"))
     total = F.aggregate(at, start, lambda s, i: F.struct(
         i.alias("end"), (s["n"] + F.least(F.lit(WINDOW), i - s["end"])).alias("n")), lambda s: s["n"])

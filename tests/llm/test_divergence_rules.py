@@ -55,6 +55,12 @@ def test_main_path_has_no_python(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_windows_sort_without_a_comparator_per_pair(spark):
+    """array_sort evaluates a lambda for every pair that it compares."""
+    plan = base_measures(frame(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in plan and "array_sort(" not in plan
+
+
 def test_awkward_rows(spark):
     assert judge(frame(spark)).count() == frame(spark).count()
     assert judge(empty(spark)).count() == 0
