@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from docshred.plans import nest, travel
+from tests.shuffles import shuffled
 
 DAY = dt.datetime(1996, 9, 13)
 
@@ -110,3 +111,41 @@ def test_lines_are_shuffled_once_for_suppliers_and_parts(spark, tmp_path):
             break
     shuffled = [x for x in above if "Exchange" in x]
     assert "o_orderkey" in above[-1] and len(shuffled) == 2, above
+
+
+def test_longs_and_joined_texts_come_back(spark):
+    kinds = {"k": 40, "j": 30, "d": travel.DAY, "q": travel.NUMBER, "n": travel.DIGITS, "f": travel.LETTER}
+    texts = ["a", "b", "m"]
+    good = (2 ** 40 - 1, 2 ** 30 - 1, DAY, 17.0, 3, "A", "x y", "", 7)
+    odd = [None, -1, 2 ** 62, dt.datetime(2900, 1, 1), DAY + dt.timedelta(hours=5), 1.5, float("nan"), 70000.0, 40, "", "AB", "é", "a\0b", "\0", "日本"]
+    rows = [good, (0, 0, dt.datetime(1970, 1, 1), 0.0, 0, "\0", "", "", 0), (None,) * len(good)]
+    for i, kept in enumerate(good):
+        rows += [(*good[:i], x, *good[i + 1:]) for x in odd if x is None or isinstance(x, type(kept))]
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.createDataFrame(rows, f"k long, j long, d {kind}, q double, n long, f string, a string, b string, m long")
+        packed = travel.joined(travel.longs(df, "_l", kinds), "_t", texts)
+        names = list(travel.in_longs("_l", kinds))
+        assert names == ["_l_0", "_l_1", "_l_2"]
+        assert set(packed.columns) == {c for n in (*names, "_t") for c in (n, f"{n}_apart")}
+        for n in (*names, "_t"):
+            assert packed.where(F.col(n).isNull() == F.col(f"{n}_apart").isNull()).isEmpty()
+            assert not packed.where(F.col(n).isNull()).isEmpty() and packed.where(F.col(n).isNotNull()).count() > 2
+        columns = travel.longs_columns(packed, "_l", kinds) | travel.joined_columns(packed, "_t", texts)
+        back = packed.select(*(x.alias(c) for c, x in columns.items()))
+        assert back.dtypes == df.dtypes
+        assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+
+
+def test_bits_of_keys():
+    assert [travel.key_bits(x) for x in (None, -5, 0, 1, 2, 255, 256, 2 ** 63 - 1)] == [1, 3, 1, 1, 2, 8, 9, 63]
+    assert travel.in_longs("_l", {"a": 63, "b": 1, "c": 62, "d": 1}) == {"_l_0": {"a": 63}, "_l_1": {"b": 1, "c": 62}, "_l_2": {"d": 1}}
+
+
+def test_star_join_shuffles_few_bytes_a_line(spark, tmp_path):
+    """57 when only some columns were packed; nation and region are broadcast, as they always are."""
+    _tables(spark, tmp_path, 10000)
+    with shuffled(spark) as total:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+        rows = nest.joined_rows(spark, str(tmp_path))
+        n = rows.agg(F.count(F.lit(1)), F.max(F.xxhash64(*rows.columns))).first()[0]
+    assert total[0] / n < 40
