@@ -5,9 +5,13 @@ import re
 
 from pyspark.sql import functions as F
 
+from docshred.operators.shredder import occurring_items
 from docshred.plans import nest
-from docshred.sources.documents import CORRUPT, MISFITS, read_documents
+from docshred.plans.clinical import clinical_specs
+from docshred.sources.documents import CORRUPT, MISFITS, read_documents, stage_documents
 from tests.conftest import rows
+from tests.test_plans import _plan
+from tests.test_shred import DICTS, HAPPY
 
 SF = "/root/testdata/sf0.001"
 QUOTED = 'a"b\\c\td\u0002é'
@@ -97,3 +101,11 @@ def test_a_line_that_fits_is_parsed_once(spark, monkeypatch):
     assert {r.id: r[CORRUPT] is None for r in docs.collect()} == {"a": True, "b": False, "c": True}
     plan = docs._jdf.queryExecution().optimizedPlan().toString()
     assert "StructField(diagnoses,ArrayType(StructType" in plan      # read in its own types first
+
+
+def test_report_and_items_read_the_documents_once(spark, write_lines, tmp_path):
+    from docshred.operators.quality import quality_report, row_count_checks
+    staged = stage_documents(read_documents(spark, write_lines([HAPPY])), str(tmp_path / "q"))
+    for df in (quality_report(staged, None, clinical_specs()), row_count_checks(staged, None, clinical_specs()),
+               occurring_items(staged, clinical_specs(), DICTS)):
+        assert _plan(df).count("FileScan parquet") == 1
